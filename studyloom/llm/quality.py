@@ -117,7 +117,7 @@ def shape_of(x: dict[str, float]) -> str:
         return "junk"
     if common < 0.2 and unit > 3.9:
         return "junk"
-    if common < 0.2 or (unit < 2.3 and x["log_sentence_words"] > 3.6):
+    if common < 0.2 or (unit < 2.65 and x["log_sentence_words"] > 3.6):
         return "list"
     return "prose"
 

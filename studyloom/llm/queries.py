@@ -4,10 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from studyloom.llm import mixing, quality
+from studyloom.llm import leaks, mixing, quality
 from studyloom.session import cut, table
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+def p8_documents(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaked_pairs(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p8_near(spark: SparkSession, d: str) -> DataFrame:
+    """Also passages with up to two words changed in a window of 16."""
+    return leaks.leaked_pairs(table(spark, d, "documents"), table(spark, d, "eval_items"), window=16, max_edits=2)
+
+
+def p8_items(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return mixing.short_sources(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
@@ -30,4 +47,4 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p9_found, p9_mix, p9_report, p10_found, p10_stats)}
+QUERIES = {f.__name__: f for f in (p8_found, p8_documents, p8_near, p8_items, p9_found, p9_mix, p9_report, p10_found, p10_stats)}
