@@ -3,11 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from studyloom.llm import leaks, mixing, quality
+from studyloom.llm import leaks, mapping, mixing, quality
 from studyloom.session import cut, table
 
 
+def _places(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
+    return tuple(table(spark, d, t) for t in ("resources", "choice_matches", "countries", "regions"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    found = mapping.mapped_places(*_places(spark, d))
+    return found.select("tbl", "row_id", "field", "pos", F.coalesce("code", F.lit("UNMATCHED")).alias("code")).distinct()
+
+
+def p5_matches(spark: SparkSession, d: str) -> DataFrame:
+    return mapping.corrected_matches(*_places(spark, d))
+
+
+def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """Values without an entry, with their number of rows."""
+    found = mapping.mapped_places(*_places(spark, d)).filter("code IS NULL")
+    return found.groupBy("lst", "val").agg(F.count(F.lit(1)).alias("n"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
 
@@ -47,4 +67,4 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p8_found, p8_documents, p8_near, p8_items, p9_found, p9_mix, p9_report, p10_found, p10_stats)}
+QUERIES = {f.__name__: f for f in (p5_found, p5_matches, p5_unmatched, p8_found, p8_documents, p8_near, p8_items, p9_found, p9_mix, p9_report, p10_found, p10_stats)}
