@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studyloom.llm import leaks, mapping, mixing, quality
+from studyloom.llm import leaks, mapping, mixing, names, quality
 from studyloom.session import cut, table
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.linked_pairs(table(spark, d, "organisations"), table(spark, d, "contacts")).distinct()
+
+
+def p2_entities(spark: SparkSession, d: str) -> DataFrame:
+    return names.entities(table(spark, d, "organisations"), table(spark, d, "contacts"))
+
+
 def _places(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     return tuple(table(spark, d, t) for t in ("resources", "choice_matches", "countries", "regions"))
 
@@ -67,4 +75,4 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_matches, p5_unmatched, p8_found, p8_documents, p8_near, p8_items, p9_found, p9_mix, p9_report, p10_found, p10_stats)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p5_found, p5_matches, p5_unmatched, p8_found, p8_documents, p8_near, p8_items, p9_found, p9_mix, p9_report, p10_found, p10_stats)}
