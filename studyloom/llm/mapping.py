@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from studyloom.llm.placenames import edits, forms, grams, letters, words_of
 from studyloom.operators.multivalue import explode_values
+from studyloom.operators.skew import join_hot
 from studyloom.session import blank, cut
 
 JACCARD = 0.4
-HOT_SHARE = 1000  # a value with more than rows / HOT_SHARE rows is hot, so at most this many are
 
 
 def value_forms(values: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def value_forms(values: DataFrame) -> DataFrame:
                         code = letters(v) if k == 0 else code
                         if 1 < len(code) <= 16:
                             rows.append((f, v, "c", k, code, grams(code)))
-            yield pd.DataFrame(rows, columns=["field", "val", "kind", "reading", "form", "grams"])
+            yield pd.DataFrame(rows, columns=["field", "val", "kind", "reading", "form", "grams"], dtype=object)
 
     return values.mapInPandas(run, "field string, val string, kind string, reading int, form string, grams array<string>")
 
@@ -61,7 +61,7 @@ def list_forms(entries: DataFrame) -> DataFrame:
                 for x in (c, a):
                     if isinstance(x, str) and (w := letters(x)):
                         rows.add((f, c, "c", w))
-            yield pd.DataFrame([(*r, grams(r[3])) for r in sorted(rows)], columns=["field", "code", "kind", "form", "grams"])
+            yield pd.DataFrame([(*r, grams(r[3])) for r in sorted(rows)], columns=["field", "code", "kind", "form", "grams"], dtype=object)
 
     return entries.filter("code IS NOT NULL").distinct().mapInPandas(run, "field string, code string, kind string, form string, grams array<string>")
 
@@ -124,18 +124,6 @@ def map_values(values: DataFrame, entries: DataFrame, t: float = JACCARD) -> Dat
     return known.join(one, ["field", "val"], "left")
 
 
-def attach(rows: DataFrame, mapped: DataFrame, counts: DataFrame) -> DataFrame:
-    """rows with (lst, val) joined to their mapping; hot values by broadcast, so no task gets all rows of one value."""
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot = counts.filter(F.col("n") > max(total / HOT_SHARE, 100_000)).select("lst", "val")
-    m = mapped.withColumnRenamed("field", "lst")
-    few = m.join(F.broadcast(hot), ["lst", "val"], "left_semi").withColumn("is_hot", F.lit(True))
-    with_hot = rows.join(F.broadcast(few), ["lst", "val"], "left")
-    done = with_hot.filter("is_hot").drop("is_hot")
-    rest = with_hot.filter("is_hot IS NULL").select(*rows.columns).join(m, ["lst", "val"], "left")
-    return done.unionByName(rest)
-
-
 def typed_places(resources: DataFrame, matches: DataFrame) -> DataFrame:
     """(tbl, row_id, field, pos, val, lst) of all typed countries and regions; lst names the list."""
     packed = explode_values(resources, "resources", "row_id", "countries").unionAll(explode_values(resources, "resources", "row_id", "regions"))
@@ -156,7 +144,7 @@ def mapped_places(resources: DataFrame, matches: DataFrame, countries: DataFrame
     rows = typed_places(resources, matches)
     counts = cut(rows.groupBy("lst", "val").agg(F.count(F.lit(1)).alias("n")))
     mapped = cut(map_values(counts.select(F.col("lst").alias("field"), "val"), place_list(countries, regions)))
-    return attach(rows, mapped, counts)
+    return join_hot(rows, mapped.withColumnRenamed("field", "lst"), ["lst", "val"], counts)
 
 
 def corrected_matches(resources: DataFrame, matches: DataFrame, countries: DataFrame, regions: DataFrame) -> DataFrame:

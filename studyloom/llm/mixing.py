@@ -66,7 +66,7 @@ def with_tokens(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "tokens": [count_tokens(t, path) for t in b["text"]]})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"].astype(object), "tokens": [count_tokens(t, path) for t in b["text"]]})
 
     return docs.select("doc_id", "source", "text").mapInPandas(run, "doc_id long, source string, tokens long")
 

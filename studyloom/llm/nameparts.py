@@ -24,7 +24,7 @@ FAMILIAR = {
     "fritz": "friedrich", "hans": "johannes", "jan": "johannes", "piet": "pieter", "kees": "cornelis", "greta": "margareta", "gretchen": "margareta",
 }
 TITLES = frozenset("dr prof professor mr mrs ms miss mx phd md msc bsc ir drs ing jr sr mag dipl habil em sir dame".split())
-PARTICLES = frozenset("van von der den de la le les di da del della ter ten te zu zum zur af av t het dos das du".split())
+PARTICLES = frozenset("van von der den de la le les di da del della ter ten te zu zum zur af het dos das du".split())
 # What words and abbreviations in names of organisations stand for; "" for words that tell no body apart.
 CONCEPT = {
     "university": "university", "univ": "university", "uni": "university", "universitat": "university", "universiteit": "university", "universite": "university",

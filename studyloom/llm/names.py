@@ -83,7 +83,7 @@ def organisation_entities(organisations: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             parts = [body_parts(w) for w in b["w"]]
-            yield pd.DataFrame({"w": b["w"], "n": b["n"], "word": [p[0] for p in parts], "body": [p[1] for p in parts]})
+            yield pd.DataFrame([(w, n, *p) for w, n, p in zip(b["w"], b["n"], parts)], columns=["w", "n", "word", "body"], dtype=object)
 
     parsed = cut(counts.mapInPandas(run, "w string, n long, word string, body string").filter("word <> ''"))
     words = parsed.groupBy(F.lit("o").alias("space"), "word").agg(F.sum("n").alias("n"))
@@ -114,7 +114,7 @@ def contact_entities(contacts: DataFrame) -> DataFrame:
                     # Sides 0 and 1: typed as given and as family name; one word each side, or the parts of a double name.
                     out.append((w, n, 0, [p for p in given[0].split("-") if p] or [given[0]]))
                     out.append((w, n, 1, family[-1] or [""]))
-            yield pd.DataFrame(out, columns=["w", "n", "side", "parts"])
+            yield pd.DataFrame(out, columns=["w", "n", "side", "parts"], dtype=object)
 
     sides = cut(counts.mapInPandas(run, "w string, n long, side int, parts array<string>"))
     tokens = sides.select("w", "n", "side", F.posexplode("parts").alias("pos", "word"))

@@ -43,7 +43,8 @@ def with_stats(docs: DataFrame) -> DataFrame:
             out = pd.DataFrame(rows, columns=["lang", *STATS]) if rows else pd.DataFrame(columns=["lang", *STATS])
             out.insert(0, "doc_id", b["doc_id"].to_numpy())
             declared = b["lang"].astype("string").str.strip().str.lower().to_numpy(dtype=object)
-            out["lang"] = [f or (d if isinstance(d, str) and d in LANGS else None) for f, d in zip(out["lang"], declared)]
+            found = [r[0] or (d if isinstance(d, str) and d in LANGS else None) for r, d in zip(rows, declared)]
+            out["lang"] = pd.Series(found, dtype=object, index=out.index)
             yield out
 
     schema = "doc_id long, lang string, " + ", ".join(f"{s} double" for s in STATS)
@@ -148,7 +149,7 @@ def quality(docs: DataFrame) -> DataFrame:
             out = b.copy()
             out["distance"] = np.where(blank, np.nan, np.sqrt(np.maximum(d2, 0)))
             out["contributions"] = [None if e else p for e, p in zip(blank, part)]
-            out["shape"] = shapes
+            out["shape"] = pd.Series(shapes, dtype=object, index=out.index)
             yield out
 
     schema = ", ".join(f"{n} {t}" for n, t in stats.dtypes) + ", distance double, contributions array<double>, shape string"

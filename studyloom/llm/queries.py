@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studyloom.llm import leaks, mapping, mixing, names, quality
-from studyloom.session import cut, table
+from studyloom.llm import leaks, mapping, mixing, names, ocr, quality
+from studyloom.session import cut, spread, table
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -36,6 +36,14 @@ def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("lst", "val").agg(F.count(F.lit(1)).alias("n"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.damage(spread(table(spark, d, "pdf_text"))).distinct()
+
+
+def p6_text(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.repaired(spread(table(spark, d, "pdf_text")))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
 
@@ -75,4 +83,4 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p5_found, p5_matches, p5_unmatched, p8_found, p8_documents, p8_near, p8_items, p9_found, p9_mix, p9_report, p10_found, p10_stats)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p5_found, p5_matches, p5_unmatched, p6_found, p6_text, p8_found, p8_documents, p8_near, p8_items, p9_found, p9_mix, p9_report, p10_found, p10_stats)}
