@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studyloom.llm import leaks, mapping, mixing, names, ocr, quality
+from studyloom.llm import leaks, mapping, mixing, names, ocr, pieces, quality
 from studyloom.session import cut, spread, table
 
 
@@ -17,6 +17,15 @@ def p2_entities(spark: SparkSession, d: str) -> DataFrame:
     return names.entities(table(spark, d, "organisations"), table(spark, d, "contacts"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    found = pieces.long_paragraphs(table(spark, d, "pdf_text"), "paper_id", "paper_text")
+    return found.select(F.col("item").alias("paper_id"), "para_no").distinct()
+
+
+def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.split_cells(table(spark, d, "pdf_text"), "paper_id", "paper_text").withColumnRenamed("item", "paper_id")
+
+
 def _places(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     return tuple(table(spark, d, t) for t in ("resources", "choice_matches", "countries", "regions"))
 
@@ -83,4 +92,4 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p5_found, p5_matches, p5_unmatched, p6_found, p6_text, p8_found, p8_documents, p8_near, p8_items, p9_found, p9_mix, p9_report, p10_found, p10_stats)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p4_pieces, p5_found, p5_matches, p5_unmatched, p6_found, p6_text, p8_found, p8_documents, p8_near, p8_items, p9_found, p9_mix, p9_report, p10_found, p10_stats)}
