@@ -12,7 +12,7 @@ def dedupe_ci(arr: Column) -> Column:
     """A5: first of each value without case and outer space; blanks dropped."""
     keep = F.filter(arr, lambda x: x.isNotNull() & (F.trim(x) != ""))
     keys = F.transform(keep, lambda x: F.lower(F.trim(x)))
-    return F.filter(F.transform(keep, lambda x, i: F.when(F.array_position(keys, F.lower(F.trim(x))) == i + 1, x)), lambda x: x.isNotNull())
+    return F.transform(F.array_distinct(keys), lambda k: F.element_at(keep, F.array_position(keys, k).cast("int")))
 
 
 def csv_join(arr: Column) -> Column:
