@@ -82,16 +82,16 @@ def similar_forms(left: DataFrame, right: DataFrame, t: float = JACCARD) -> Data
 
     def prefixed(df: DataFrame, name: str) -> DataFrame:
         o = _ordered(df, rarity, keys).withColumn("len", F.size("toks"))
-        p = o.withColumn("pre", F.expr(f"slice(toks, 1, len - cast(ceil({t} * len) as int) + 1)"))
+        p = o.withColumn("pre", F.expr(f"slice(toks, 1, len - cast(ceil({t} * len - 1e-9) as int) + 1)"))
         return p.select("field", "kind", F.col("form").alias(name), F.col("toks").alias(f"{name}_toks"), F.col("len").alias(f"{name}_len"),
                         F.posexplode("pre").alias(f"{name}_pos", "g"))
 
     x, y = prefixed(a, "form"), prefixed(b, "other")
-    need = F.ceil(F.lit(t / (1 + t)) * (F.col("form_len") + F.col("other_len")))
+    need = F.ceil(F.lit(t / (1 + t)) * (F.col("form_len") + F.col("other_len")) - 1e-9)  # the slack is for rounding of floats
     left_over = F.least(F.col("form_len") - F.col("form_pos"), F.col("other_len") - F.col("other_pos"))
     pairs = (
         x.join(y, ["field", "kind", "g"])
-        .filter((F.col("other_len") >= t * F.col("form_len")) & (F.col("form_len") >= t * F.col("other_len")))
+        .filter((F.col("other_len") >= t * F.col("form_len") - 1e-9) & (F.col("form_len") >= t * F.col("other_len") - 1e-9))
         # Positional filter at the first shared prefix token of the pair: what is left must still reach the overlap.
         .groupBy("field", "kind", "form", "other").agg(
             F.max(left_over).alias("left_over"), F.first("form_toks").alias("p"), F.first("other_toks").alias("q"), F.first(need).alias("need")
@@ -100,7 +100,7 @@ def similar_forms(left: DataFrame, right: DataFrame, t: float = JACCARD) -> Data
     )
     common = F.size(F.array_intersect("p", "q"))
     jaccard = common / (F.size("p") + F.size("q") - common)
-    return pairs.select("field", "kind", "form", "other", jaccard.alias("jaccard")).filter(F.col("jaccard") >= t)
+    return pairs.select("field", "kind", "form", "other", jaccard.alias("jaccard")).filter(F.col("jaccard") >= t - 1e-9)
 
 
 @F.pandas_udf(IntegerType())

@@ -67,6 +67,19 @@ def _row(line: str) -> bool:
     return bool(s) and bool(_ROW.match(s)) and any(c.isdigit() for c in s)
 
 
+def _apart(lines: list[str], i: int) -> bool:
+    """True if a line stands between blank lines and the next lines with text on both sides are no rows of a table."""
+    for step in (-1, 1):
+        j = i + step
+        if 0 <= j < len(lines) and lines[j].strip():
+            return False
+        while 0 <= j < len(lines) and not lines[j].strip():
+            j += step
+        if not 0 <= j < len(lines) or _row(lines[j]):
+            return False
+    return True
+
+
 def furniture(lines: list[str], n_pages: int | None = None) -> set[int]:
     """Indices of running headers, footers and page numbers."""
     out: set[int] = set()
@@ -82,6 +95,8 @@ def furniture(lines: list[str], n_pages: int | None = None) -> set[int]:
             out.add(i)
         elif i in numbers and not any(_row(lines[j]) and j not in numbers for j in (i - 1, i + 1) if 0 <= j < len(lines)):
             out.add(i)
+        elif _LONE.match(s) and i not in numbers and _apart(lines, i):
+            out.add(i)
     # The title block and the authors' line tell what headers may say.
     first = next((i for i in full if i not in out and not _bare(lines[i])[1]), full[0])
     # A header above the title reads like its beginning.
