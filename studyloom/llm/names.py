@@ -9,7 +9,7 @@ posterior; chains of typos are followed. Candidates come from shared one-letter
 edit. An initial is attached to the family's most frequent given name that begins with it.
 
 Defined results: blank names, names of a unit only, and persons without a given or a family name get no entity; equal
-frequencies go to the alphabetically first; repeated rows share their entity; empty tables give empty results; names of any
+frequencies go to the alphabetically first; repeated rows share their entity (rows without a row_id of their own are not told apart); empty tables give empty results; names of any
 length are compared whole. Only the columns named are read, so clashing names cannot matter.
 """
 
@@ -29,6 +29,7 @@ from studyloom.session import blank, cut, strip
 
 TYPO = 0.15  # chance that a written name has a typo
 LETTER = 1.73  # nats that a letter of a name carries
+BLOCK = 2000  # rows of a writing, and writings of an entity, that are paired at once
 LEAST = 5  # shorter words are compared as written
 
 
@@ -158,8 +159,21 @@ def entities(organisations: DataFrame, contacts: DataFrame) -> DataFrame:
     return e.join(size, ["kind", "entity"]).select("kind", "row_id", F.regexp_replace("writing", "\u0001", " ").alias("writing"), "entity", "n_rows")
 
 
-def linked_pairs(organisations: DataFrame, contacts: DataFrame) -> DataFrame:
-    """(kind, row_a, row_b): rows of one entity in different writing, row_a < row_b."""
+def linked_pairs(organisations: DataFrame, contacts: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(kind, row_a, row_b): rows of one entity in different writing, row_a < row_b.
+
+    Pairs are formed between the distinct writings of an entity; the rows of a writing are joined on in blocks. Rows in equal
+    writing are never paired, and no task holds all rows of a writing.
+    """
     e = cut(organisation_entities(organisations).unionByName(contact_entities(contacts)))
-    pairs = self_pairs(e, ["kind", "entity"], "row_id", ["writing"])
-    return pairs.filter("writing_a <> writing_b").select("kind", F.col("row_id_a").alias("row_a"), F.col("row_id_b").alias("row_b"))
+    written = cut(e.groupBy("kind", "entity", "writing").agg(F.count(F.lit(1)).alias("n")))
+    written = written.withColumn("blocks", F.ceil(F.col("n") / block).cast("long"))
+    pairs = self_pairs(written, ["kind", "entity"], "writing", ["blocks"], block)
+    for side in ("a", "b"):
+        pairs = pairs.withColumn(f"block_{side}", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"blocks_{side}") - 1)))
+    rows = join_hot(e.select("kind", "writing", "row_id"), written.select("kind", "writing", "blocks"), ["kind", "writing"], written)
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("row_id"), F.col("blocks"))).drop("blocks")
+    for side in ("a", "b"):
+        own = rows.select("kind", *[F.col(c).alias(f"{c}_{side}") for c in ("writing", "block", "row_id")])
+        pairs = pairs.join(own, ["kind", f"writing_{side}", f"block_{side}"])
+    return pairs.select("kind", F.least("row_id_a", "row_id_b").alias("row_a"), F.greatest("row_id_a", "row_id_b").alias("row_b"))

@@ -145,11 +145,27 @@ def furniture(lines: list[str], n_pages: int | None = None) -> set[int]:
     return out - set(authors_at) - set(title_at)
 
 
+def _indent(line: str) -> bool:
+    return line[:2] == "  "
+
+
+def _indents_tell(lines: list[str]) -> bool:
+    """True if paragraphs are told by the indent of their first line."""
+    full = [x for x in lines if x.strip()]
+    return 0 < sum(map(_indent, full)) < 0.35 * len(full)
+
+
 def _head(lines: list[str], taken: set[int], paged: Counter) -> tuple[list[int], str, list[int], str]:
     """(title lines, title in lower case, authors' line, authors in lower case)."""
     blocks: list[list[int]] = []
     run: list[int] = []
+    indents = _indents_tell(lines)
     for i, x in enumerate(lines[:60]):
+        if run and indents and _indent(x):
+            blocks.append(run)
+            run = []
+            if len(blocks) >= 4:
+                break
         if not x.strip():
             if run:
                 blocks.append(run)
@@ -186,6 +202,7 @@ def blocks_of(lines: list[str], gone: set[int]) -> list[list[int]]:
     out: list[list[int]] = []
     run: list[int] = []
     blank_since, crossed = False, False
+    indents = _indents_tell([x for i, x in enumerate(lines) if i not in gone])
     for i, x in enumerate(lines):
         if i in gone:
             crossed = True
@@ -196,7 +213,8 @@ def blocks_of(lines: list[str], gone: set[int]) -> list[list[int]]:
         if run:
             last = lines[run[-1]].rstrip()
             goes_on = crossed and (last[-1:] in HYPHENS or (last[-1:] not in ".!?:" and not _row(last) and (x.lstrip()[:1].islower() or not _HEADING.match(x.strip()) or len(last) > 30)))
-            if (blank_since or crossed) and not goes_on:
+            opens = indents and _indent(x) and last[-1:] not in HYPHENS
+            if opens or ((blank_since or crossed) and not goes_on):
                 out.append(run)
                 run = []
         run.append(i)

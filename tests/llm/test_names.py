@@ -47,3 +47,10 @@ def test_empty_and_repeated(spark):
     assert names.linked_pairs(o, c).count() == 0 and names.entities(o, c).count() == 0
     twice = spark.createDataFrame([(1, None, "Rivumstanden Biobank", ""), (2, None, "Rivumstanden Biobank", "")], ORG)
     assert names.linked_pairs(twice, c).count() == 0 and {r.n_rows for r in names.entities(twice, c).collect()} == {2}
+
+
+def test_blocks_of_a_hot_writing_give_all_pairs(spark):
+    o = spark.createDataFrame([(i, None, "Rivumstanden Biobank" if i % 10 else "Biobank of Rivumstanden" if i % 20 else "RIVUMSTANDEN BIOBANK", "") for i in range(60)], ORG)
+    got = links(names.linked_pairs(o, spark.createDataFrame([], PER), block=4), "organisation")
+    kind = lambda i: "plain" if i % 10 else i % 20
+    assert got == {(a, b) for a in range(60) for b in range(a + 1, 60) if kind(a) != kind(b)}
