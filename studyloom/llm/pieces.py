@@ -10,7 +10,7 @@ A piece has at most ``limit`` characters with its overlap. It ends at the last p
 sentence start, else the last word start, else at the limit. It begins with about ``overlap`` characters of the piece
 before, from a word start on. ``core_start`` tells where its own text begins: the texts from there on join to the item.
 
-Defined results: null and empty items give no piece and no paragraph; blank items give pieces but no paragraph; rows
+Defined results: null and empty items, and rows without id, give no piece and no paragraph; blank items give pieces but no paragraph; rows
 repeated whole count once; different texts under one id are kept apart (and numbered apart); an empty table gives empty
 results. Only the id and text columns are read.
 """
@@ -73,7 +73,7 @@ def boundaries(core: str, halo: str) -> tuple:
 def cell_ranges(items: DataFrame, item: str, text: str, size: int = RANGE) -> DataFrame:
     """(item, h, rng, core, halo) of the texts in a column."""
     t = F.col("t")
-    rows = items.select(F.col(item).alias("item"), F.col(text).alias("t")).filter(F.length("t") > 0).withColumn("h", F.xxhash64("t"))
+    rows = items.select(F.col(item).alias("item"), F.col(text).alias("t")).filter((F.length("t") > 0) & F.col("item").isNotNull()).withColumn("h", F.xxhash64("t"))
     at = (F.col("rng") * size + 1).cast("int")
     out = rows.withColumn("rng", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(length(t) - 1) div {size}")))).select(
         "item", "h", "rng", t.substr(at, F.lit(size)).alias("core"), t.substr((at + size).cast("int"), F.lit(HALO)).alias("halo")
@@ -122,31 +122,36 @@ def stitched(ranges: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["item", "h", "rng", *names], dtype=object)
 
     local = cut(ranges.mapInPandas(run, f"item {kind}, h long, rng long, {BOUNDS}"))
+    keys = ["item", "h", "rng"]
+    # Windows see a few numbers of each range, never the boundaries: a giant file has many ranges but a small window.
+    s = local.select(
+        *keys, "n", "nl_lead", "first_ink", "nl_trail", "last_ink", "nl_all", F.size("gap_starts").alias("n_gaps"), F.try_element_at("gap_ends", F.lit(1)).alias("first_gap")
+    )
     by = Window.partitionBy("item", "h").orderBy("rng")
     before = by.rowsBetween(Window.unboundedPreceding, -1)
     after = by.rowsBetween(1, Window.unboundedFollowing)
     blank_nl = F.coalesce(F.sum(F.when(F.col("first_ink").isNull(), F.col("nl_all")).otherwise(0)).over(before), F.lit(0))
-    s = local.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("blank_nl", blank_nl)
+    s = s.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("blank_nl", blank_nl)
     ink = F.when(F.col("first_ink").isNotNull(), F.struct((F.col("base") + F.col("last_ink")).alias("end"), "nl_trail", "blank_nl"))
     s = s.withColumn("prev", F.last(ink, ignorenulls=True).over(before))
     gap_nl = F.col("prev.nl_trail") + F.col("blank_nl") - F.col("prev.blank_nl") + F.col("nl_lead")
-    opens = F.col("first_ink").isNotNull() & (F.col("prev").isNull() | (gap_nl >= 2))
-    s = s.withColumn("opens", opens)
-    first = F.when(F.col("opens"), F.array(F.col("base") + F.col("first_ink"))).otherwise(F.array().cast("array<bigint>"))
-    s = s.withColumn("par_starts", F.concat(first, F.transform("gap_starts", lambda x: x + F.col("base"))))
-    s = s.withColumn("inner_ends", F.transform("gap_ends", lambda x: x + F.col("base")))
+    s = s.withColumn("opens", F.col("first_ink").isNotNull() & (F.col("prev").isNull() | (gap_nl >= 2)))
     # End of the paragraph that is open when a range begins: told by the range itself if it has a gap, or by the next one that has.
-    s = s.withColumn("closes", F.when(F.col("opens") & F.col("prev").isNotNull(), F.col("prev.end")).when(F.size("inner_ends") > 0, F.element_at("inner_ends", 1)))
+    s = s.withColumn("closes", F.when(F.col("opens") & F.col("prev").isNotNull(), F.col("prev.end")).otherwise(F.col("base") + F.col("first_gap")))
     whole = Window.partitionBy("item", "h")
     s = s.withColumn("length", F.sum("n").over(whole)).withColumn("ink_end", F.max(F.when(F.col("first_ink").isNotNull(), F.col("base") + F.col("last_ink"))).over(whole))
     s = s.withColumn("next_close", F.coalesce(F.first("closes", ignorenulls=True).over(after), F.col("ink_end")))
+    s = s.withColumn("para_base", F.coalesce(F.sum(F.col("n_gaps") + F.col("opens").cast("int")).over(before), F.lit(0)))
+    s = s.select(*keys, "base", "length", "opens", "next_close", "para_base").join(local, keys)
+    first = F.when(F.col("opens"), F.array(F.col("base") + F.col("first_ink"))).otherwise(F.array().cast("array<bigint>"))
+    s = s.withColumn("par_starts", F.concat(first, F.transform("gap_starts", lambda x: x + F.col("base"))))
+    s = s.withColumn("inner_ends", F.transform("gap_ends", lambda x: x + F.col("base")))
     # Ends of the paragraphs that start in the range, in order.
     own = F.when(F.col("opens"), F.col("inner_ends")).otherwise(F.expr("slice(inner_ends, 2, greatest(size(inner_ends), 1))"))
     s = s.withColumn("par_ends", F.when(F.size("par_starts") > 0, F.concat(own, F.array("next_close"))).otherwise(F.array().cast("array<bigint>")))
-    s = s.withColumn("para_base", F.coalesce(F.sum(F.size("par_starts")).over(before), F.lit(0)))
     for c in ("sentences", "words"):
         s = s.withColumn(c, F.transform(c, lambda x: x + F.col("base")))
-    return s.select("item", "h", "rng", "n", "base", "length", "par_starts", "par_ends", "para_base", "sentences", "words")
+    return s.select(*keys, "n", "base", "length", "par_starts", "par_ends", "para_base", "sentences", "words")
 
 
 def paragraphs(stitch: DataFrame) -> DataFrame:
@@ -187,14 +192,15 @@ def piece_offsets(stitch: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP)
     """(item, h, rng, piece_no, start, core_start, end): rng is the range in which the piece's span begins."""
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be less than limit")
-    by = Window.partitionBy("item", "h").orderBy("rng")
+    keys = ["item", "h", "rng"]
     inside = lambda c: F.filter(c, lambda x: (x >= F.col("base")) & (x < F.col("base") + F.col("n")))
     pick = lambda c: F.try_element_at(inside(c), F.lit(1))
     anchor = F.when(F.col("rng") == 0, F.lit(0)).otherwise(F.coalesce(pick("par_starts"), pick("sentences"), pick("words"), F.col("base")))
     a = stitch.withColumn("anchor", anchor.cast("long"))
-    near = F.struct("par_starts", "sentences", "words")
-    a = a.withColumn("next_anchor", F.coalesce(F.lead("anchor").over(by), F.col("length")))
-    a = a.withColumn("ahead", F.lead(near).over(by)).withColumn("behind", F.lag("words").over(by))
+    # Neighbouring ranges meet by equi-join, so each is handled on its own wherever it is.
+    ahead = a.select("item", "h", (F.col("rng") - 1).alias("rng"), F.col("anchor").alias("next_anchor"), F.struct("par_starts", "sentences", "words").alias("ahead"))
+    behind = a.select("item", "h", (F.col("rng") + 1).alias("rng"), F.col("words").alias("behind"))
+    a = a.join(ahead, keys, "left").join(behind, keys, "left").withColumn("next_anchor", F.coalesce("next_anchor", "length"))
     kind = dict(stitch.dtypes)["item"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,10 +217,10 @@ def piece_offsets(stitch: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP)
             yield pd.DataFrame(rows, columns=["item", "h", "rng", "found"], dtype=object)
 
     cols = ["item", "h", "rng", "anchor", "next_anchor", "par_starts", "sentences", "words", "ahead", "behind"]
-    spans = a.select(*cols).mapInPandas(run, f"item {kind}, h long, rng long, found array<array<long>>")
-    before = by.rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.withColumn("piece_base", F.coalesce(F.sum(F.size("found")).over(before), F.lit(0)))
-    return spans.select("item", "h", "rng", "piece_base", F.posexplode("found").alias("k", "p")).select(
+    spans = cut(a.select(*cols).mapInPandas(run, f"item {kind}, h long, rng long, found array<array<long>>"))
+    before = Window.partitionBy("item", "h").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
+    bases = spans.select(*keys, F.size("found").alias("m")).select(*keys, F.coalesce(F.sum("m").over(before), F.lit(0)).alias("piece_base"))
+    return spans.join(bases, keys).select("item", "h", "rng", "piece_base", F.posexplode("found").alias("k", "p")).select(
         "item", "h", "rng", (F.col("piece_base") + F.col("k") + 1).alias("piece_no"), F.col("p")[0].alias("start"), F.col("p")[1].alias("core_start"), F.col("p")[2].alias("end")
     )
 

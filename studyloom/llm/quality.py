@@ -110,7 +110,7 @@ def fit_prose(stats: DataFrame, steps: int = 2) -> dict[str, tuple[np.ndarray, n
 def shape_of(x: dict[str, float]) -> str:
     """prose, list, table or junk of a document that lies beyond the cut."""
     common, unit = x["common_share"], x["log_unit_words"]
-    if x["repetition"] > 0.75:
+    if x["repetition"] > 0.9 or (x["repetition"] > 0.75 and x["cell_share"] < 0.5):
         return "junk"
     if x["cell_share"] >= 0.5 and x["symbol_ratio"] < 0.6:
         return "table"

@@ -21,7 +21,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 _END = (".", "!", "?", ":", "…", '."', ".”", ".'", '?"', ".)")
 _MARK = re.compile(r"\s*(?:[-*•>–—·+]|\(?[0-9]{1,3}[.):]|\(?[a-zA-Z][.)]|[ivx]{1,5}[.)])\s+")
 _NUMBERED = re.compile(r"\s*\w{1,5}\.\s")
-_GAP = re.compile(r"\S {2,}(?=\S)|\t")
+_WIDE = re.compile(r"\S {3,}\S")
 _SENTENCE = re.compile(r"[.!?][\"')”]*(?:\s|$)")
 _BLANK = re.compile(r"\n[ \t\f]*\n")
 #: Least share of common words by which a text tells its language.
@@ -62,7 +62,10 @@ def cell_share(lines: list[str]) -> float:
         total = whole.count(mark)
         if total < n or len(whole) > 30 * (total + n):
             continue
-        found = [len(_GAP.findall(x.strip())) for x in lines] if mark == "  " else [x.count(mark) for x in lines]
+        if mark == "  ":  # columns by width: blank cells make the number of gaps vary
+            best = max(best, sum(1 for x in lines if _WIDE.search(x.strip())) / n)
+            continue
+        found = [x.count(mark) for x in lines]
         per = Counter(c for c in found if c >= 2)
         if per:
             m = per.most_common(1)[0][0]
