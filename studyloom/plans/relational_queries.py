@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from studyloom.functions import text as T
 from studyloom.operators import relational as R
+from studyloom.operators import templates
 from studyloom.operators.fuzzy import fuzzy_match
+from studyloom.operators.repair import adult_age, contact_from_people, resolve_array
 from studyloom.session import strip, table
 
 QUERIES: dict = {}
@@ -319,3 +321,77 @@ def project_row(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "organisations").select(
         "row_id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("resource", "name")], F.lit("").alias("logo"), (F.lower(F.trim(F.coalesce("type", F.lit("")))) != "individual").alias("is_organisation")
     )
+
+
+@query("""WITH p AS (SELECT resource, row_id, first_name, last_name, email FROM contacts WHERE resource IS NOT NULL AND length(trim(coalesce(first_name, ''))) > 1),
+ c AS (SELECT row_id, resource, first_name, last_name, email FROM contacts WHERE resource IS NOT NULL),
+ h AS (SELECT c.row_id, min(p.row_id) AS hit FROM c JOIN p ON p.resource = c.resource AND ((lower(trim(coalesce(p.email, ''))) <> '' AND lower(trim(p.email)) = lower(trim(c.email))) OR (lower(trim(coalesce(p.last_name, ''))) <> '' AND lower(trim(p.last_name)) = lower(trim(c.last_name)))) GROUP BY 1),
+ r AS (SELECT c.*, length(trim(coalesce(c.first_name, ''))) <= 1 AS short, p.first_name AS pf, p.last_name AS pl, p.email AS pe FROM c LEFT JOIN h ON h.row_id = c.row_id LEFT JOIN p ON p.row_id = h.hit)
+ SELECT row_id, CASE WHEN short THEN coalesce(pf, first_name) ELSE first_name END AS first_name, CASE WHEN short AND trim(coalesce(last_name, '')) = '' THEN pl ELSE last_name END AS last_name,
+  CASE WHEN short AND trim(coalesce(email, '')) = '' THEN pe ELSE email END AS email FROM r""")
+def contact_repair(spark: SparkSession, d: str) -> DataFrame:
+    """Contacts without a first name completed from the people of their resource (the first match by row_id)."""
+    c = table(spark, d, "contacts").filter("resource IS NOT NULL").select("row_id", "resource", "first_name", "last_name", "email")
+    low = lambda x: F.lower(F.trim(F.coalesce(x, F.lit(""))))
+    # Only people who share a key with a contact meet it: equi-joins, one person a contact and key.
+    people = c.filter("length(trim(coalesce(first_name, ''))) > 1")
+    hits = None
+    for key in ("email", "last_name"):
+        firsts = people.select("resource", low(_C(key)).alias("k"), F.struct("row_id", "first_name", "last_name", "email").alias("p")).filter("k <> ''").groupBy("resource", "k").agg(F.min("p").alias("p"))
+        h = c.select("row_id", "resource", low(_C(key)).alias("k")).join(firsts, ["resource", "k"]).select("row_id", "p")
+        hits = h if hits is None else hits.unionAll(h)
+    best = hits.groupBy("row_id").agg(F.min("p").alias("p"))
+    full = c.join(best, "row_id", "left").withColumn("people", F.array_compact(F.array("p")))
+    fixed = contact_from_people(_C("first_name"), _C("last_name"), _C("email"), _C("people")).alias("f")
+    return full.select("row_id", fixed).select("row_id", "f.first_name", "f.last_name", "f.email")
+
+
+@query("""SELECT row_id, CASE WHEN row_id % 2 = 0 AND age_min < 18 THEN NULL ELSE age_min END AS age_min FROM resources""")
+def age_contradiction(spark: SparkSession, d: str) -> DataFrame:
+    """N14"""
+    groups = F.when(_C("row_id") % 2 == 0, F.array(F.lit(" Adults (18+)"))).otherwise(F.array(F.lit("Children")))
+    return table(spark, d, "resources").select("row_id", adult_age(_C("age_min"), groups).alias("age_min"))
+
+
+@query(f"""WITH l AS (SELECT DISTINCT {_K.format('r_name')} AS k, r_name FROM region), o AS (SELECT o_orderkey, [upper(o_orderstatus), 'asia.', 'Europe', 'ASIA', ''] AS xs FROM orders),
+ x AS (SELECT o_orderkey, unnest(xs) AS raw, unnest(range(5)) AS pos FROM o), m AS (SELECT o_orderkey, r_name, min(pos) AS pos FROM x JOIN l ON l.k = {_K.format('raw')} AND l.k <> '' GROUP BY 1, 2)
+ SELECT o.o_orderkey, coalesce(string_agg(m.r_name, ';' ORDER BY m.pos), '') AS names FROM o LEFT JOIN m ON m.o_orderkey = o.o_orderkey GROUP BY 1""")
+def ontology_array(spark: SparkSession, d: str) -> DataFrame:
+    """R6, R7"""
+    ix = R.unambiguous_index(table(spark, d, "region"), "r_name", ["r_name"], T.norm_key)
+    o = table(spark, d, "orders").select("o_orderkey", F.array(F.upper("o_orderstatus"), F.lit("asia."), F.lit("Europe"), F.lit("ASIA"), F.lit("")).alias("names"))
+    return resolve_array(o, "o_orderkey", "names", [("normalized", ix, T.norm_key)]).withColumn("names", F.array_join("names", ";"))
+
+
+_OLD = {"task_a": '{"name": "string|null", "tags": ["string"], "sub": [{"x": "integer|null", "y": "string|null"}]}', "task_b": '{"k": "string"}'}
+_NEW = {"task_a": '{"name": "string|null", "tags": ["integer"], "sub": [{"x": "integer|null", "z": "string|null"}]}', "task_c": '{"k": "string"}'}
+
+
+@query("""SELECT * FROM (VALUES ('task_a', 'tags[]', 'changed'), ('task_a', 'sub[].y', 'removed'), ('task_a', 'sub[].z', 'added'), ('task_b', 'k', 'removed'), ('task_c', 'k', 'added')) t(task, path, action)""")
+def template_changes(spark: SparkSession, d: str) -> DataFrame:
+    """A18, A19, U1"""
+    return templates.template_diff(templates.template_table(spark, _OLD), templates.template_table(spark, _NEW))
+
+
+@query("""SELECT 'seg' AS path, concat('seg: one of ', (SELECT string_agg(s, ', ' ORDER BY s) FROM (SELECT DISTINCT c_mktsegment AS s FROM customer))) AS line
+ UNION ALL SELECT 'country', concat('country: one of ', (SELECT count(DISTINCT name) FROM countries), ' values of countries')""")
+def constraint_lines(spark: SparkSession, d: str) -> DataFrame:
+    """M4"""
+    fields = spark.createDataFrame([("seg", "customer"), ("country", "countries"), ("none", "nowhere")], "path string, src string")
+    c = table(spark, d, "customer").select(F.lit("customer").alias("src"), _C("c_mktsegment").alias("name")).distinct()
+    return templates.constraint_lines(fields, c.unionAll(table(spark, d, "countries").select(F.lit("countries").alias("src"), "name")))
+
+
+@query("""SELECT o_orderkey, CAST(b AS BIGINT) AS block, CASE b WHEN 1 THEN 'Name' WHEN 2 THEN 'Type' END AS head, CASE b WHEN 0 THEN 'intro' WHEN 1 THEN concat('- ', o_orderstatus, chr(10), '- second') ELSE o_orderpriority END AS body FROM orders, (VALUES (0), (1), (2)) v(b)""")
+def instruction_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """T28"""
+    t = F.concat(F.lit("intro\nName:\n- "), _C("o_orderstatus"), F.lit("\n- second\nType:\n"), _C("o_orderpriority"))
+    return templates.blocks(table(spark, d, "orders").select("o_orderkey", t.alias("t")), "o_orderkey", "t")
+
+
+@query()
+def text_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Unified difference of each paper's text and its cleaned text."""
+    p = table(spark, d, "pdf_text").select("paper_id", F.coalesce("paper_text", F.lit("")).alias("a"))
+    clean = F.regexp_replace(F.regexp_replace("a", "\r", ""), "[ \t]+\n", "\n")
+    return p.select("paper_id", (F.length(clean) - F.length("a")).alias("delta"), templates.capped_lines(templates.text_diff(_C("a"), clean), 1000).alias("diff"))
