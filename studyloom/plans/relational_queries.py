@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from studyloom.functions import text as T
 from studyloom.operators import relational as R
 from studyloom.operators import templates
-from studyloom.operators.fuzzy import fuzzy_match
+from studyloom.operators.fuzzy import MOST_CHOICES, fuzzy_match
 from studyloom.operators.repair import adult_age, contact_from_people, resolve_array
 from studyloom.session import strip, table
 
@@ -288,7 +288,7 @@ def ontology_issues(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def ontology_fuzzy(spark: SparkSession, d: str) -> DataFrame:
     """The residual of the cascade against the list by sequence-matcher ratio."""
-    names = [r[0] for r in table(spark, d, "countries").select("name").filter("name IS NOT NULL").distinct().collect()]
+    names = [r[0] for r in table(spark, d, "countries").select("name").filter("name IS NOT NULL").distinct().limit(MOST_CHOICES + 1).collect()]
     keyed = sorted((n.lower(), n) for n in names)
     miss = _cascade(spark, d).filter("canonical IS NULL AND field = 'countries' AND trim(coalesce(raw, '')) <> ''").select(F.lower(F.trim("raw")).alias("raw"))
     done = fuzzy_match(miss, "raw", keyed, cutoff=0.9)
