@@ -3,8 +3,8 @@
 Method: noisy-channel attribution. Distinct writings are counted first, so that repeats cost nothing. A name is taken apart
 into its proper words and the rest (kind of body, given name, titles, particles); abbreviations and familiar forms are
 undone by fixed tables. Frequent spellings of a proper word are the candidate canonical forms; for a variant v and a
-candidate c within one edit, the posterior combines the frequency prior with the chance that n(c) writers would produce
-exactly this typo n(v) times, against the chance that v is a name of its own. Each variant is attached to its maximum
+candidate c within one edit, the posterior combines the frequency prior with the chance that writers of c would produce
+exactly this typo in the share n(v) / n(c), at typo rates of the data, against the chance that v is a name of its own. Each variant is attached to its maximum
 posterior; chains of typos are followed. Candidates come from shared one-letter deletions, which loses no pair within one
 edit. An initial is attached to the family's most frequent given name that begins with it.
 
@@ -16,7 +16,7 @@ length are compared whole. Only the columns named are read, so clashing names ca
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import lgamma, log
+from math import lgamma, log, log1p
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -27,39 +27,67 @@ from studyloom.llm.placenames import within
 from studyloom.operators.skew import join_hot, self_pairs
 from studyloom.session import blank, cut, strip
 
-TYPO = 0.15  # chance that a written name has a typo
+TYPO = 0.15  # chance that a written name has a typo, as far as the data do not tell
+PRIOR = 20  # names that this chance counts as, against those of the data
+SHAPE = 0.1  # of the gamma distribution of a typo's rate: some typos are far more usual than others
+RARE = 10  # a word so many times rarer than a neighbour counts as its typo when the chance is estimated
 LETTER = 1.73  # nats that a letter of a name carries
 BLOCK = 2000  # rows of a writing, and writings of an entity, that are paired at once
 LEAST = 5  # shorter words are compared as written
 
 
-def log_odds(n_c: int, n_v: int, length: int) -> float:
-    """Log of the posterior odds that v (n_v times) is a typo of c (n_c times) rather than a name of its own."""
+def log_odds(n_c: float, n_v: float, length: int, typo: float = TYPO) -> float:
+    """Log of the posterior odds that v (n_v times) is a typo of c (n_c times) rather than a name of its own.
+
+    A typo is counted by a negative binomial, so that the share n_v / n_c decides at any size; a typo rarer than expected
+    scores as one at its expected share. The count of a name of its own is log-uniform up to n_c.
+    """
     ways = 30.0 * length
-    rate = n_c * TYPO / ways
-    typo = n_v * log(rate) - rate - lgamma(n_v + 1)
-    return typo - (log(ways) - LETTER * length)
+    n_c = min(n_c, n_v * ways / typo)
+    rate = n_c * typo / ways
+    seen = lgamma(n_v + SHAPE) - lgamma(SHAPE) - lgamma(n_v + 1) + n_v * log(rate / (rate + SHAPE)) + SHAPE * log(SHAPE / (rate + SHAPE))
+    own = log(ways) - LETTER * length - log(n_v) - log1p(log(max(n_c, 1)))
+    return seen - own
+
+
+def evidence(n_c: int, n_v: int, d_c: int, d_v: int) -> tuple[float, float]:
+    """Counts of c and v in the share of their rows, scaled to their distinct writings: copies of rows are no evidence."""
+    part = min(1.0, (d_c + d_v) / (n_c + n_v))
+    n_v = n_v * part
+    return n_c * part / min(n_v, 1), max(n_v, 1.0)
 
 
 def attach_variants(words: DataFrame) -> DataFrame:
-    """(space, word, canon, odds) of words (space, word, n): each word with its canonical form."""
+    """(space, word, canon, odds) of words (space, word, n, and d, the distinct writings, else n): each word with its canonical form."""
+    if "d" not in words.columns:
+        words = words.withColumn("d", F.col("n"))
     long = words.filter(F.length("word") >= LEAST)
     deletes = F.array_distinct(F.concat(F.array("word"), F.expr(
         "transform(sequence(1, length(word)), i -> concat(substring(word, 1, i - 1), substring(word, i + 1)))")))
-    keyed = long.select("space", "word", "n", F.explode(deletes).alias("key"))
-    v = keyed.withColumnRenamed("word", "v").withColumnRenamed("n", "n_v")
-    c = keyed.withColumnRenamed("word", "c").withColumnRenamed("n", "n_c")
+    keyed = long.select("space", "word", "n", "d", F.explode(deletes).alias("key"))
+    v = keyed.withColumnRenamed("word", "v").withColumnRenamed("n", "n_v").withColumnRenamed("d", "d_v")
+    c = keyed.withColumnRenamed("word", "c").withColumnRenamed("n", "n_c").withColumnRenamed("d", "d_c")
     # Words that share a deletion differ in one place of it: an alphabet's worth of words at most, not a group of rows.
-    pairs = v.join(c, ["space", "key"]).filter("n_c > n_v OR (n_c = n_v AND c < v)").select("space", "v", "c", "n_v", "n_c").distinct()
+    pairs = v.join(c, ["space", "key"]).filter("n_c > n_v OR (n_c = n_v AND c < v)").select("space", "v", "c", "n_v", "n_c", "d_v", "d_c").distinct()
+
+    @F.pandas_udf("boolean")
+    def near(v: pd.Series, c: pd.Series) -> pd.Series:
+        return pd.Series([within(a, b, 1) <= 1 for a, b in zip(v, c)], dtype="bool")
 
     @F.pandas_udf("double")
-    def posterior(v: pd.Series, c: pd.Series, n_v: pd.Series, n_c: pd.Series) -> pd.Series:
+    def posterior(v: pd.Series, c: pd.Series, n_v: pd.Series, n_c: pd.Series, d_v: pd.Series, d_c: pd.Series, typo: pd.Series) -> pd.Series:
         return pd.Series([
-            log_odds(int(k), int(m), max(len(a), len(b))) if within(a, b, 1) <= 1 else None for a, b, m, k in zip(v, c, n_v, n_c)
+            log_odds(*evidence(*n), max(len(a), len(b)), t) for a, b, t, *n in zip(v, c, typo, n_c, n_v, d_c, d_v)
         ], dtype="float64")
 
-    scored = pairs.withColumn("odds", posterior("v", "c", "n_v", "n_c")).filter("odds > 0")
-    best = scored.groupBy("space", "v").agg(F.min(F.struct((-F.col("odds")).alias("o"), "c")).alias("b"))
+    pairs = cut(pairs.filter(near("v", "c")))
+    # The chance of a typo in each space, one row a space: the mean over its names, so that a hot one counts as one.
+    share = F.sum("n_v") / (F.sum("n_v") + F.first("n_c"))
+    wrong = pairs.filter(F.col("n_c") >= RARE * F.col("n_v")).groupBy("space", F.col("c").alias("word")).agg(share.alias("share"))
+    typo = (F.coalesce(F.sum("share"), F.lit(0)) + TYPO * PRIOR) / (F.count(F.lit(1)) + PRIOR)
+    chance = long.filter(F.col("n") >= RARE).join(wrong, ["space", "word"], "left").groupBy("space").agg(typo.alias("typo"))
+    scored = pairs.join(F.broadcast(chance), "space", "left").fillna(TYPO, ["typo"]).withColumn("odds", posterior("v", "c", "n_v", "n_c", "d_v", "d_c", "typo")).filter("odds > 0")
+    best = scored.groupBy("space", "v").agg(F.min(F.struct((-F.col("odds")).alias("o"), (-F.col("n_c")).alias("m"), "c")).alias("b"))
     link = cut(best.select("space", F.col("v").alias("word"), F.col("b.c").alias("canon"), (-F.col("b.o")).alias("odds")))
     out = link
     for _ in range(3):  # a typo of a typo: counts grow along a chain, so it ends
@@ -87,7 +115,7 @@ def organisation_entities(organisations: DataFrame) -> DataFrame:
             yield pd.DataFrame([(w, n, *p) for w, n, p in zip(b["w"], b["n"], parts)], columns=["w", "n", "word", "body"], dtype=object)
 
     parsed = cut(counts.mapInPandas(run, "w string, n long, word string, body string").filter("word <> ''"))
-    words = parsed.groupBy(F.lit("o").alias("space"), "word").agg(F.sum("n").alias("n"))
+    words = parsed.groupBy(F.lit("o").alias("space"), "word").agg(F.sum("n").alias("n"), F.countDistinct("w").alias("d"))
     canon = attach_variants(words).select("word", "canon")
     entity = parsed.join(canon, "word").select("w", F.concat_ws("|", "canon", "body").alias("entity"))
     joined = join_hot(rows, entity, ["w"], counts).filter("entity IS NOT NULL")
@@ -119,7 +147,7 @@ def contact_entities(contacts: DataFrame) -> DataFrame:
 
     sides = cut(counts.mapInPandas(run, "w string, n long, side int, parts array<string>"))
     tokens = sides.select("w", "n", "side", F.posexplode("parts").alias("pos", "word"))
-    words = tokens.groupBy(F.lit("p").alias("space"), "word").agg(F.sum("n").alias("n"))
+    words = tokens.groupBy(F.lit("p").alias("space"), "word").agg(F.sum("n").alias("n"), F.countDistinct("w").alias("d"))
     familiar = F.create_map(*[F.lit(x) for kv in FAMILIAR.items() for x in kv])
     canon = attach_variants(words).select("word", F.col("canon").alias("c0"))
     named = tokens.join(canon, "word").withColumn("canon", F.coalesce(F.try_element_at(familiar, F.col("c0")), "c0"))

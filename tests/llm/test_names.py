@@ -54,3 +54,14 @@ def test_blocks_of_a_hot_writing_give_all_pairs(spark):
     got = links(names.linked_pairs(o, spark.createDataFrame([], PER), block=4), "organisation")
     kind = lambda i: "plain" if i % 10 else i % 20
     assert got == {(a, b) for a in range(60) for b in range(a + 1, 60) if kind(a) != kind(b)}
+
+
+def test_a_share_of_typos_counts_alike_at_any_size(spark):
+    for times in (1, 10, 100):
+        assert names.log_odds(83 * times, 2 * times, 6) > 0 > names.log_odds(40 * times, 35 * times, 12), times
+        assert all(names.log_odds(*names.evidence(4 * times, times, 4, 1), n) > 0 for n in (8, 12)), times  # copies
+    for length in (5, 6, 7, 8, 12):
+        assert all(names.log_odds(n, 1, length) > 0 for n in (100, 10_000, 1_000_000)), length
+    words = [("p", "ursula", 83), ("p", "urula", 2), ("p", "vuldruki", 68_000), ("p", "vuldrukki", 1), ("p", "vuldruky", 30_000)]
+    got = {r.word: r.canon for r in names.attach_variants(spark.createDataFrame(words, "space string, word string, n long")).collect()}
+    assert got == {"ursula": "ursula", "urula": "ursula", "vuldruki": "vuldruki", "vuldrukki": "vuldruki", "vuldruky": "vuldruky"}
