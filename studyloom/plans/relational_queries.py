@@ -287,12 +287,17 @@ def ontology_issues(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def ontology_fuzzy(spark: SparkSession, d: str) -> DataFrame:
-    """The residual of the cascade against the list by sequence-matcher ratio."""
-    names = [r[0] for r in table(spark, d, "countries").select("name").filter("name IS NOT NULL").distinct().limit(MOST_CHOICES + 1).collect()]
-    keyed = sorted((n.lower(), n) for n in names)
-    miss = _cascade(spark, d).filter("canonical IS NULL AND field = 'countries' AND trim(coalesce(raw, '')) <> ''").select(F.lower(F.trim("raw")).alias("raw"))
-    done = fuzzy_match(miss, "raw", keyed, cutoff=0.9)
-    return done.select("raw", "canonical", "score", F.array_join("suggestions", " | ").alias("suggestions"))
+    """The residual of the cascade, of each field against its own list, by sequence-matcher ratio."""
+    residual = _cascade(spark, d).filter("canonical IS NULL AND trim(coalesce(raw, '')) <> ''")
+    both = None
+    for lst in ("countries", "regions"):
+        names = [r[0] for r in table(spark, d, lst).select("name").filter("name IS NOT NULL").distinct().limit(MOST_CHOICES + 1).collect()]
+        keyed = sorted((n.lower(), n) for n in names)
+        miss = residual.filter(_C("field") == lst).select(F.lower(F.trim("raw")).alias("raw"))
+        done = fuzzy_match(miss, "raw", keyed, cutoff=0.9)
+        done = done.select(F.lit(lst).alias("field"), "raw", "canonical", "score", F.array_join("suggestions", " | ").alias("suggestions"))
+        both = done if both is None else both.unionAll(done)
+    return both
 
 
 @query("""SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) % 3 AS backend FROM events WHERE event_id < 0 UNION ALL SELECT event_id, event_id % 3 FROM events""")

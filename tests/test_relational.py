@@ -86,3 +86,15 @@ def test_extraction_retries_reads_and_merges(spark):
     got = {r.k: r for r in inference.extract(df, "k", "t", {"name": "string|null", "tags": ["string"], "more": ["string"]}, "", stub, size=2000, overlap=0, tries=3, pause=0).collect()}
     assert json.loads(got[1].result) == {"name": "N", "tags": ["a"], "more": [], "flag": True} and got[1].n_chunks == 3 and got[1].n_calls == 5
     assert json.loads(got[2].result) == {"name": None, "tags": [], "more": []} and got[2].n_chunks == 0
+
+
+def test_fuzzy_residual_covers_both_lists(spark, tmp_path):
+    from studyloom.plans.relational_queries import ontology_fuzzy
+
+    entry = "name string, label string, acronym string, code string"
+    spark.createDataFrame([("Xylandania", None, None, "XY")], entry).write.parquet(f"{tmp_path}/countries.parquet")
+    spark.createDataFrame([("Northumbria", None, None, "NO")], entry).write.parquet(f"{tmp_path}/regions.parquet")
+    raw = [(1, "countries", "Xylandaniaa"), (2, "regions", "Northumbrja"), (3, "regions", "Northumbria"), (4, "regions", " ")]
+    spark.createDataFrame(raw, "match_id long, field string, raw string").write.parquet(f"{tmp_path}/choice_matches.parquet")
+    got = {(r.field, r.raw): r.canonical for r in ontology_fuzzy(spark, str(tmp_path)).collect()}
+    assert got == {("countries", "xylandaniaa"): "Xylandania", ("regions", "northumbrja"): "Northumbria"}
