@@ -2,9 +2,9 @@
 
 Method: a prefix-filter set-similarity join. Typed values (distinct ones only, so repeats cost nothing) and the names,
 labels, codes and acronyms of the list are brought to comparable forms; a form is the set of padded letter pairs of its
-words, ordered by global rarity; only the rare prefixes are joined, length and positional filters drop pairs that cannot
-reach the threshold, Jaccard is verified exactly, and the best entry is kept if its words pair off with the typed ones
-within the edits their lengths allow. Values without such an entry, and values whose best entries are several, are
+words, ordered by global rarity; only the rare prefixes are joined, positional filters drop pairs that cannot share the
+pairs that the allowed edits leave whole, so no acceptable pair is lost; the shared pairs are counted exactly, and the best
+entry is kept if its words pair off with the typed ones within the edits their lengths allow. Values without such an entry, and values whose best entries are several, are
 reported as UNMATCHED.
 
 Defined results: null and blank values give no row; repeated list rows count once; entries without code are never
@@ -21,13 +21,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from studyloom.llm.placenames import edits, forms, grams, letters, words_of
+from studyloom.llm.placenames import allowed, edits, forms, grams, letters, words_of
 from studyloom.operators.multivalue import explode_values
 from studyloom.operators.skew import join_hot
 from studyloom.session import blank, cut
 
-JACCARD = 0.4
-
 
 def value_forms(values: DataFrame) -> DataFrame:
     """(field, val) to (field, val, kind, reading, form, grams): kind "n" for names, "c" for codes."""
@@ -73,8 +71,15 @@ def _ordered(forms_: DataFrame, rarity: DataFrame, keys: list[str]) -> DataFrame
     return long.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "g"))), lambda s: s["g"]).alias("toks"))
 
 
-def similar_forms(left: DataFrame, right: DataFrame, t: float = JACCARD) -> DataFrame:
-    """All pairs (field, kind, form, other, jaccard) of forms of left and right with Jaccard of at least t."""
+@F.pandas_udf(IntegerType())
+def _spoiled(kind: pd.Series, form: pd.Series) -> pd.Series:
+    """Grams of a form that allowed edits (three each, a swap's) or moved spaces (two each) change at most; codes must be equal."""
+    return pd.Series([0 if k == "c" else max(3 * sum(map(allowed, x.split())), 2 * x.count(" ")) for k, x in zip(kind, form)], dtype="int32")
+
+
+def similar_forms(left: DataFrame, right: DataFrame, t: float | None = None) -> DataFrame:
+    """All pairs (field, kind, form, other, jaccard) of forms of left and right with Jaccard of at least t; without t, those
+    that share as many grams as any pair that edits() accepts."""
     keys = ["field", "kind", "form"]
     a = left.select(*keys, "grams").dropDuplicates(keys)
     b = right.select(*keys, "grams").dropDuplicates(keys)
@@ -82,16 +87,21 @@ def similar_forms(left: DataFrame, right: DataFrame, t: float = JACCARD) -> Data
 
     def prefixed(df: DataFrame, name: str) -> DataFrame:
         o = _ordered(df, rarity, keys).withColumn("len", F.size("toks"))
-        p = o.withColumn("pre", F.expr(f"slice(toks, 1, len - cast(ceil({t} * len - 1e-9) as int) + 1)"))
-        return p.select("field", "kind", F.col("form").alias(name), F.col("toks").alias(f"{name}_toks"), F.col("len").alias(f"{name}_len"),
+        own = F.greatest(F.lit(1), F.col("len") - _spoiled("kind", "form")) if t is None else F.expr(f"cast(ceil({t} * len - 1e-9) as int)")
+        p = o.withColumn("own", own).withColumn("pre", F.expr("slice(toks, 1, len - own + 1)"))
+        return p.select("field", "kind", F.col("form").alias(name), F.col("toks").alias(f"{name}_toks"), F.col("len").alias(f"{name}_len"), F.col("own").alias(f"{name}_own"),
                         F.posexplode("pre").alias(f"{name}_pos", "g"))
 
     x, y = prefixed(a, "form"), prefixed(b, "other")
-    need = F.ceil(F.lit(t / (1 + t)) * (F.col("form_len") + F.col("other_len")) - 1e-9)  # the slack is for rounding of floats
+    if t is None:
+        need, fits = F.greatest("form_own", "other_own"), F.least("form_len", "other_len") >= F.greatest("form_own", "other_own")
+    else:
+        need = F.ceil(F.lit(t / (1 + t)) * (F.col("form_len") + F.col("other_len")) - 1e-9)  # the slack is for rounding of floats
+        fits = (F.col("other_len") >= t * F.col("form_len") - 1e-9) & (F.col("form_len") >= t * F.col("other_len") - 1e-9)
     left_over = F.least(F.col("form_len") - F.col("form_pos"), F.col("other_len") - F.col("other_pos"))
     pairs = (
         x.join(y, ["field", "kind", "g"])
-        .filter((F.col("other_len") >= t * F.col("form_len") - 1e-9) & (F.col("form_len") >= t * F.col("other_len") - 1e-9))
+        .filter(fits)
         # Positional filter at the first shared prefix token of the pair: what is left must still reach the overlap.
         .groupBy("field", "kind", "form", "other").agg(
             F.max(left_over).alias("left_over"), F.first("form_toks").alias("p"), F.first("other_toks").alias("q"), F.first(need).alias("need")
@@ -100,7 +110,8 @@ def similar_forms(left: DataFrame, right: DataFrame, t: float = JACCARD) -> Data
     )
     common = F.size(F.array_intersect("p", "q"))
     jaccard = common / (F.size("p") + F.size("q") - common)
-    return pairs.select("field", "kind", "form", "other", jaccard.alias("jaccard")).filter(F.col("jaccard") >= t - 1e-9)
+    found = pairs.filter(common >= F.col("need")) if t is None else pairs.filter(jaccard >= t - 1e-9)
+    return found.select("field", "kind", "form", "other", jaccard.alias("jaccard"))
 
 
 @F.pandas_udf(IntegerType())
@@ -108,11 +119,11 @@ def _edits(kind: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([(0 if x == y else -1) if k == "c" else edits(x, y) for k, x, y in zip(kind, a, b)], dtype="int32")
 
 
-def map_values(values: DataFrame, entries: DataFrame, t: float = JACCARD) -> DataFrame:
+def map_values(values: DataFrame, entries: DataFrame) -> DataFrame:
     """(field, val, code, edits, jaccard) of each distinct (field, val); code is null if unmatched."""
     known = values.select("field", "val").distinct()
     typed, listed = cut(value_forms(known)), cut(list_forms(entries))
-    close = similar_forms(typed, listed, t).withColumn("edits", _edits("kind", "form", "other")).filter("edits >= 0")
+    close = similar_forms(typed, listed).withColumn("edits", _edits("kind", "form", "other")).filter("edits >= 0")
     hits = (
         typed.select("field", "val", "kind", "reading", "form").join(close, ["field", "kind", "form"])
         .join(listed.select("field", "kind", F.col("form").alias("other"), "code"), ["field", "kind", "other"])

@@ -51,3 +51,25 @@ def test_catalogue_and_correction(spark, rows):
     fixed = {x.match_id: (x.corrected, x.verdict) for x in mapping.corrected_matches(res, m, c, r).collect()}
     assert fixed == {5: ("Province of Sagashiré", "changed"), 6: (None, "withdrawn"), 7: (None, "unmatched"), 8: (None, "unmatched")}
     assert got.filter(F.col("row_id") == 2).count() == 0
+
+
+def test_no_pair_within_the_allowed_edits_is_lost(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (4, 4, 5, 5, 6, 8, 9, 9, 10, 12)]
+    names = [*words, *(" ".join(sorted(rng.sample(words, 2))) for _ in range(8))]
+
+    def typo(w: str) -> str:
+        i = rng.randrange(len(w) - 1)
+        return rng.choice((w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + w[i + 1 :], w[:i] + "z" + w[i:], w[:i] + "z" + w[i + 1 :]))
+
+    typed = [t for w in names for _ in range(12) for t in (typo(w), typo(typo(w)), w.replace(" ", ""))]
+    frame = lambda ws: spark.createDataFrame([("f", "n", w, grams(w)) for w in dict.fromkeys(ws) if w.strip()], "field string, kind string, form string, grams array<string>")
+    got = {(r.form, r.other) for r in mapping.similar_forms(frame(typed), frame(names)).collect()}
+    assert {(a, b) for a in typed for b in names if edits(a, b) >= 0} <= got
+
+
+def test_swaps_in_short_names_are_found(spark):
+    entries = spark.createDataFrame([("countries", "Tervo", None, None, "TV"), ("countries", "Kilm", None, None, "KM"), ("countries", "Dosrubane", None, None, "DB")], ENTRY)
+    typed = {"Trevo": "TV", "Klim": "KM", "Dosurbaen": "DB", "Tevro": "TV", "Kxxm": None}
+    values = spark.createDataFrame([("countries", v) for v in typed], "field string, val string")
+    assert {r.val: r.code for r in mapping.map_values(values, entries).collect()} == typed
