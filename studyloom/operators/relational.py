@@ -99,11 +99,20 @@ def dense_index(df: DataFrame, keys: list[str], order: str, keep: Column, into:
 
 
 def unique_slugs(df: DataFrame, slug: str, order: str, into: str = "uid") -> DataFrame:
-    """Slug, then slug-2, slug-3 ... in order, at most 80 characters; numbered forms that clash with other slugs move on."""
-    w = Window.partitionBy(slug).orderBy(order)
-    n = df.withColumn("__n", F.row_number().over(w))
-    name = F.when(F.col("__n") == 1, F.col(slug).substr(1, 80)).otherwise(F.concat(F.col(slug).substr(1, 75), F.lit("-"), F.col("__n").cast("string")))
-    return n.withColumn(into, name).drop("__n")
+    """Slug (80 characters at most), then slug-2, slug-3 ... in order (75 characters and the number); numbers whose form is
+    a slug of its own are passed over, and slugs that are equal when cut share their numbers, so no id occurs twice."""
+    cut80, stem = F.col(slug).substr(1, 80), F.col(slug).substr(1, 75)
+    n = df.withColumn("__cut", cut80).withColumn("__stem", stem)
+    n = n.withColumn("__first", F.row_number().over(Window.partitionBy("__cut").orderBy(order)) == 1)
+    n = n.withColumn("__k", F.row_number().over(Window.partitionBy("__stem", "__first").orderBy(order)))
+    form = r"^(.*)-([2-9]|[1-9][0-9]{1,17})$"
+    own = n.filter("__first").filter(F.col("__cut").rlike(form)).select(
+        F.regexp_extract("__cut", form, 1).alias("__stem"), F.regexp_extract("__cut", form, 2).cast("long").alias("__u")
+    ).groupBy("__stem").agg(F.array_sort(F.collect_set("__u")).alias("__used"))
+    # The k-th number from 2 on that no slug uses.
+    free = F.aggregate(F.coalesce("__used", F.array().cast("array<bigint>")), F.col("__k").cast("long") + 1, lambda k, u: k + (u <= k).cast("long"))
+    name = F.when(F.col("__first"), F.col("__cut")).otherwise(F.concat("__stem", F.lit("-"), free.cast("string")))
+    return n.join(own, "__stem", "left").withColumn(into, name).select(*[F.col(f"`{c}`") for c in df.columns], into)
 
 
 def counts_by_gender(df: DataFrame, keys: list[str], gender: str, n: str, pos: str) -> DataFrame:

@@ -98,3 +98,10 @@ def test_fuzzy_residual_covers_both_lists(spark, tmp_path):
     spark.createDataFrame(raw, "match_id long, field string, raw string").write.parquet(f"{tmp_path}/choice_matches.parquet")
     got = {(r.field, r.raw): r.canonical for r in ontology_fuzzy(spark, str(tmp_path)).collect()}
     assert got == {("countries", "xylandaniaa"): "Xylandania", ("regions", "northumbrja"): "Northumbria"}
+
+
+def test_slugs_are_unique_when_numbers_or_cuts_clash(spark):
+    slugs = ["a", "a", "a-2", "a", "a-2", "a-4", *("x" * 80 + c for c in "abab"), "x" * 76, "x" * 76]
+    got = [r.uid for r in R.unique_slugs(spark.createDataFrame(list(enumerate(slugs)), "row long, slug string"), "slug", "row").orderBy("row").collect()]
+    assert got[:6] == ["a", "a-3", "a-2", "a-5", "a-2-2", "a-4"]
+    assert len(set(got)) == len(slugs) and all(len(u) <= 80 for u in got)
