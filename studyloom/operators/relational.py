@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from studyloom.functions.arrays import dedupe_ci
-from studyloom.session import blank, strip
+from studyloom.session import blank, cut, parallelism, strip
 
 
 def drop_parents_with_children(parents: DataFrame, children: DataFrame, pid: str, cid: str) -> DataFrame:
@@ -98,6 +98,18 @@ def dense_index(df: DataFrame, keys: list[str], order: str, keep: Column, into:
     return df.filter(keep).withColumn(into, F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
 
 
+def global_index(df: DataFrame, order: str, into: str = "idx") -> DataFrame:
+    """Rows numbered from 1 over the whole table: ranges of the order, their sizes summed up, numbers within each range."""
+    ranged = cut(df.repartitionByRange(parallelism(df.sparkSession), order).withColumn("__part", F.spark_partition_id()))
+    before, n = [], 0
+    for r in ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).orderBy("__part").collect():  # one row a range
+        before.append((r["__part"], n))
+        n += r["n"]
+    offsets = F.broadcast(df.sparkSession.createDataFrame(before, "__part int, __before long"))
+    own = F.row_number().over(Window.partitionBy("__part").orderBy(order))
+    return ranged.withColumn("__own", own).join(offsets, "__part").withColumn(into, F.col("__before") + F.col("__own")).drop("__part", "__own", "__before")
+
+
 def unique_slugs(df: DataFrame, slug: str, order: str, into: str = "uid") -> DataFrame:
     """Slug (80 characters at most), then slug-2, slug-3 ... in order (75 characters and the number); numbers whose form is
     a slug of its own are passed over, and slugs that are equal when cut share their numbers, so no id occurs twice."""

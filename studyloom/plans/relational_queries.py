@@ -303,7 +303,7 @@ def ontology_fuzzy(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) % 3 AS backend FROM events WHERE event_id < 0 UNION ALL SELECT event_id, event_id % 3 FROM events""")
 def round_robin(spark: SparkSession, d: str) -> DataFrame:
     """Backend of each dense index, without a global window."""
-    return table(spark, d, "events").select("event_id", (_C("event_id") % 3).alias("backend"))
+    return R.global_index(table(spark, d, "events").select("event_id"), "event_id").select("event_id", ((_C("idx") - 1) % 3).alias("backend"))
 
 
 @query("""SELECT l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS rn FROM lineitem) WHERE rn <= 2""")

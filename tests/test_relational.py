@@ -105,3 +105,12 @@ def test_slugs_are_unique_when_numbers_or_cuts_clash(spark):
     got = [r.uid for r in R.unique_slugs(spark.createDataFrame(list(enumerate(slugs)), "row long, slug string"), "slug", "row").orderBy("row").collect()]
     assert got[:6] == ["a", "a-3", "a-2", "a-5", "a-2-2", "a-4"]
     assert len(set(got)) == len(slugs) and all(len(u) <= 80 for u in got)
+
+
+def test_backends_are_dealt_in_turn_across_gaps(spark, tmp_path):
+    from studyloom.plans.relational_queries import round_robin
+
+    ids = [i * i * 3 + 7 for i in range(200)]
+    spark.createDataFrame([(i,) for i in reversed(ids)], "event_id long").write.parquet(f"{tmp_path}/events.parquet")
+    assert sorted(tuple(r) for r in round_robin(spark, str(tmp_path)).collect()) == [(x, i % 3) for i, x in enumerate(ids)]
+    assert R.global_index(spark.createDataFrame([], "event_id long"), "event_id").count() == 0
