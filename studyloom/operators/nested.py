@@ -26,14 +26,19 @@ _FENCE = re.compile(r"^\s*```\w*\s*|\s*```\s*$")
 
 @dataclass(frozen=True)
 class Level:
-    """One list in the record: its key, the scalar fields kept of an entry, and the lists nested in an entry."""
+    """One list in the record: its key, the scalar fields kept of an entry, the lists nested in an entry, and the column (if
+    any) that takes all other values of an entry as JSON."""
 
     key: str
     fields: tuple[str, ...]
     children: tuple["Level", ...] = field(default=())
+    rest: str = ""
+
+    def columns(self) -> tuple[str, ...]:
+        return (*self.fields, self.rest) if self.rest else self.fields
 
     def ddl(self) -> str:
-        parts = ["pos INT"] + [f"`{f}` STRING" for f in self.fields] + [f"`{c.key}` {c.ddl()}" for c in self.children]
+        parts = ["pos INT"] + [f"`{f}` STRING" for f in self.columns()] + [f"`{c.key}` {c.ddl()}" for c in self.children]
         return f"ARRAY<STRUCT<{', '.join(parts)}>>"
 
 
@@ -143,6 +148,18 @@ def _text(v) -> str | None:
     return str(v) if isinstance(v, (int, float)) else json.dumps(v, ensure_ascii=False)
 
 
+def _unlisted(item: dict, at: dict, level: Level) -> str | None:
+    """JSON of the values of an entry that no field and no nested list takes; null if there are none."""
+    fields, lists = ({letters(x) for x in xs} for xs in (level.fields, (c.key for c in level.children)))
+    out = {}
+    for k, v in item.items():
+        n = letters(str(k))
+        taken = at[n] is v and (n in fields or n in lists and bool(_as_list(v)))
+        if filled(v) and not taken:
+            out[str(k)] = v
+    return json.dumps(out, ensure_ascii=False) if out else None
+
+
 def _canonical(items, level: Level) -> list[dict]:
     out = []
     for pos, item in enumerate(_as_list(items), 1):
@@ -150,6 +167,8 @@ def _canonical(items, level: Level) -> list[dict]:
             continue
         at = _by_letters(item)
         row = {"pos": pos} | {f: _text(at.get(letters(f))) for f in level.fields}
+        if level.rest:
+            row[level.rest] = _unlisted(item, at, level)
         for child in level.children:
             row[child.key] = _canonical(at.get(letters(child.key)), child)
         out.append(row)
@@ -188,7 +207,7 @@ def read_nested(df: DataFrame, payload: str, levels: tuple[Level, ...], into: st
 
 def project_level(df: DataFrame, keys: list[str], nested: str, level: Level) -> DataFrame:
     """Flat table of a top list: record keys, outer_pos and the entry's fields."""
-    fields = ", ".join(f"e.`{f}` AS `{f}`" for f in level.fields)
+    fields = ", ".join(f"e.`{f}` AS `{f}`" for f in level.columns())
     own = ", ".join(f"`{k}` AS `{k}`" for k in keys)
     return df.selectExpr(
         f"inline(transform(`{nested}`.`{level.key}`, e -> struct({own}, e.pos AS outer_pos, {fields})))"
@@ -210,8 +229,9 @@ COUNTS = Level("counts", ("age_group", "n_total", "n_female", "n_male"))
 SUBPOPULATIONS = Level(
     "subpopulations",
     ("name", "pid", "description", "number_of_participants", "inclusion_start", "inclusion_end", "age_min", "age_max",
-     "age_groups", "countries", "regions", "keywords"),
+     "age_groups", "countries", "regions", "keywords", "inclusion_criteria"),
     (COUNTS,),
+    "rest",
 )
 EXTERNAL = Level("external_identifiers", ("identifier", "type", "type_other"))
 

@@ -67,3 +67,9 @@ def test_filled_agrees_with_a_flat_walk(v):
             yield x
 
     assert nested.filled(v) == any(x is not None and (not isinstance(x, str) or x.strip() != "") for x in leaves(v))
+
+
+def test_no_value_of_a_subpopulation_is_dropped(spark, rows):
+    entries = [{"name": "A", "Inclusion Criteria": ["adult"], "site": {"k": 1}, "empty": None, "counts": "see table"}, {"name": "B", "counts": [{"n_total": 1}]}]
+    t = nested.section_tables(sections(spark, json.dumps({"subpopulations": entries})))["subpopulations"]
+    assert rows(t.select("name", "inclusion_criteria", "rest")) == [("A", '["adult"]', '{"site": {"k": 1}, "counts": "see table"}'), ("B", None, None)]
