@@ -1,4 +1,4 @@
-"""Text scalars as Column expressions (T1-T33). Null text counts as empty."""
+"""Text scalars as Column expressions (T2-T8, T10-T15, T17-T26). Null text counts as empty."""
 
 from __future__ import annotations
 
@@ -59,9 +59,10 @@ def normalize_ws(c: Column) -> Column:
     """No soft hyphens, one kind of dash, single spaces, trimmed."""
     t = F.regexp_replace(_text(c), "­", "")
     t = F.regexp_replace(t, "[‐‑‒–—]", "-")
-    return F.trim(F.regexp_replace(t, r"[\s ]+", " "))
+    return F.trim(F.regexp_replace(t, r"[\s\x1c-\x1f\x{85}\p{Z}]+", " "))
 
 
+# Fixed value: the form of a DOI.
 DOI = r"\b(10\.\d{4,9}/[-._;()/:A-Za-z0-9]+)\b"
 
 
@@ -78,18 +79,29 @@ def identifier(c: Column) -> Column:
     return F.when(bare.rlike(r"^10\.\d{4,9}/[-._;()/:A-Za-z0-9]+$"), bare).otherwise(raw)
 
 
+# The phrase that names a number of participants.
+PARTICIPANTS = r"(?i)\b(?:about|approximately|approx\.?|circa|around|at least)?\s*(\d{2,6})\s*(?:patients|participants)\s*(?:will be included|included)\b"
+
+
 def participant_hint(c: Column) -> Column:
-    """N of "N patients|participants (will be) included"."""
-    n = F.regexp_extract(_text(c), r"(?i)\b(\d{2,6})\s+(?:patients|participants)\s+(?:will\s+be\s+)?included\b", 1)
+    """The number in the first phrase of the kind, of text with normalised white space; null if none."""
+    n = F.regexp_extract(normalize_ws(c), PARTICIPANTS, 1)
     return F.when(n != "", n.cast("long"))
 
 
+# The phrase that names a data set, and the words cut from its beginning.
+DATASET = r"(?i)\b([A-Za-z0-9][A-Za-z0-9'()/\- ]{0,60}\bdataset)\b"
+DATASET_STOP = r"(?i)^(?:(?:and|or|the|a|an|of|for|in)(?: |$))+"
+
+
 def dataset_hints(c: Column, limit: int = 3) -> Column:
-    """Up to limit distinct phrases ending in "dataset", their last six words without leading stop words."""
-    phrases = F.regexp_extract_all(_text(c), F.lit(r"(?i)((?:[A-Za-z][A-Za-z0-9-]* )+dataset)\b"), F.lit(1))
-    last = F.transform(phrases, lambda p: F.array_join(F.slice(F.split(p, " "), -F.least(F.size(F.split(p, " ")), F.lit(6)), 6), " "))
-    clean = F.transform(last, lambda p: F.regexp_replace(p, r"(?i)^(?:(?:and|or|the|a|an|of|for|in) )+", ""))
-    return F.slice(dedupe_ci(F.filter(clean, lambda p: F.length(p) >= 8)), 1, limit)
+    """Up to limit phrases, distinct without case, that end in "dataset": of at least 8 characters, their last six
+    words without leading stop words."""
+    phrases = F.transform(F.regexp_extract_all(normalize_ws(c), F.lit(DATASET), F.lit(1)), normalize_ws)
+    long = F.filter(phrases, lambda p: F.length(p) >= 8)
+    last = F.transform(long, lambda p: F.array_join(F.slice(F.split(p, " "), -F.least(F.size(F.split(p, " ")), F.lit(6)), 6), " "))
+    clean = F.transform(last, lambda p: F.regexp_replace(p, DATASET_STOP, ""))
+    return F.slice(dedupe_ci(F.filter(clean, lambda p: ~F.lower(p).isin("dataset", "data set"))), 1, limit)
 
 
 # Patterns for sample sets, and sample types in order.
@@ -152,18 +164,38 @@ def event_name(c: Column) -> Column:
     )
 
 
+# Fixed value: words that tell an outcome, not a source.
+OUTCOMES = r"(?i)\b(survival|mortality|outcome|response|recurrence)\b"
+
+
 def drop_tokens(c: Column, pattern: str) -> Column:
     """Split at ";" and ",", drop tokens that match, distinct without case, joined by "; "."""
     toks = F.filter(F.transform(F.split(_text(c), "[;,]"), strip), lambda x: (x != "") & ~x.rlike(pattern))
     return F.array_join(dedupe_ci(toks), "; ")
 
 
-def sentence_with(c: Column, pattern: str, most: int = 400) -> Column:
-    """First sentence that matches, at most so many characters; null if none."""
-    hit = strip(F.regexp_extract(_text(c), rf"(?i)([^.]*(?:{pattern})[^.]*\.)", 1))
+# The phrase that tells restricted access, and the words that tell of a fee.
+ON_REQUEST = r"available (?:upon|on) request|upon reasonable request|made available on request"
+FEE = r"(?i)\b(fee|cost|charge|payment|paid|pricing|subscription)\b"
+
+
+def sentence_with(c: Column, pattern: str = ON_REQUEST, most: int = 400) -> Column:
+    """The sentence of the first match, white space normalised, at most so many characters (a bound of the feature); null if none."""
+    hit = normalize_ws(F.regexp_extract(normalize_ws(c), rf"(?i)([^.]*(?:{pattern})[^.]*\.)", 1))
     return F.when(hit != "", hit.substr(1, most))
 
 
+def access_rights(rights: Column, c: Column) -> Column:
+    """T24: "Restricted access" where no rights are given and the text tells access on request."""
+    return F.when((strip(_text(rights)) == "") & normalize_ws(c).rlike(f"(?i){ON_REQUEST}"), F.lit("Restricted access")).otherwise(rights)
+
+
+def access_fee(fee: Column, c: Column) -> Column:
+    """Null where a fee is claimed but no word of the text tells of one."""
+    claimed = F.lower(strip(_text(fee.cast("string")))).isin("1", "true", "yes", "on")
+    return F.when(claimed & ~normalize_ws(c).rlike(FEE), F.lit(None)).otherwise(fee)
+
+
 def strip_fences(c: Column) -> Column:
     """Without code fences, byte order marks and replacement characters."""
     t = F.regexp_replace(F.regexp_replace(_text(c), "﻿", ""), "[ �]", " ")
@@ -182,25 +214,32 @@ def strip_accents(s: pd.Series) -> pd.Series:
     return s.map(lambda x: "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)) if isinstance(x, str) else None)
 
 
+# Fixed value: marks that separate words of a place name.
+GEO_MARKS = r"[()\[\]*'’`\".,;/_-]+"
+
+
 def geo_key(c: Column, country: bool = True) -> Column:
-    """Accents dropped, "&" as "and", "(the)" dropped for countries, punctuation as spaces, single spaces."""
-    t = F.regexp_replace(F.lower(strip_accents(_text(c))), "&", " and ")
+    """Accents dropped, lower case, "&" as "and", "(the)" dropped for countries, marks as spaces, single spaces."""
+    t = F.replace(strip(F.lower(strip_accents(_text(c)))), F.lit("&"), F.lit(" and "))
     if country:
-        t = F.regexp_replace(t, r"\(the\)", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r"[^a-z0-9\s]+", " "), r"\s+", " "))
+        t = F.replace(t, F.lit("(the)"), F.lit(""))
+    return strip(F.regexp_replace(F.regexp_replace(t, GEO_MARKS, " "), r"[\s\p{Z}]+", " "))
+
 
+# Fixed value: a line that heads a reference list.
+_REF_HEAD = re.compile(r"(?im)^\s*(?:\d{1,2}(?:\.\d+)?\s*)?(?:references?|bibliography|works\s+cited|literature\s+cited|reference\s+list)\s*:?\s*$")
 
-_REF_HEAD = re.compile(r"^[ \t]*(?:\d+\.?[ \t]+)?(?:references|bibliography|literature cited|reference list)[ \t]*:?[ \t]*\r?$", re.I | re.M)
+
+# Signs of a reference list, and how often each must occur.
+_REF_SIGNS = (
+    (re.compile(r"\[\d{1,3}\]"), 3), (re.compile(r"\(\d{4}[a-z]?\)", re.I), 3), (re.compile(r"\b10\.\d{4,9}/\S+", re.I), 1),
+    (re.compile(r"\b(?:doi|vol\.?|pp\.?|et al\.)\b", re.I), 4), (re.compile(r"\b\d{4}\b"), 12),
+)
 
 
 def looks_like_references(tail: str) -> bool:
-    """Long enough, and at least two of five signs of a reference list."""
-    if len(tail) < 600:
-        return False
-    signs = (
-        (r"\[\d+\]", 3), (r"\((?:19|20)\d{2}\)", 3), (r"10\.\d{4,9}/\S+", 1), (r"(?i)\bdoi\b|\bvol\.|\bpp\.|\bet al\b", 4), (r"\b(?:19|20)\d{2}\b", 12),
-    )
-    return sum(len(re.findall(p, tail)) >= k for p, k in signs) >= 2
+    """At least 600 characters, and at least two of the five signs of a reference list."""
+    return len(tail) >= 600 and sum(sum(1 for _ in sign.finditer(tail)) >= k for sign, k in _REF_SIGNS) >= 2
 
 
 @F.pandas_udf(StringType())
@@ -210,8 +249,8 @@ def strip_references(s: pd.Series) -> pd.Series:
     def one(t):
         if not isinstance(t, str):
             return None
-        for m in _REF_HEAD.finditer(t, int(0.35 * len(t))):
-            if looks_like_references(t[m.start() :]):
+        for m in _REF_HEAD.finditer(t):
+            if m.start() >= int(0.35 * len(t)) and looks_like_references(t[m.start() :]):
                 kept = t[: m.start()].rstrip()
                 return kept if len(kept) >= max(1000, int(0.2 * len(t))) else t
         return t

@@ -43,7 +43,5 @@ class ChunkText:
 
 def chunk_table(df: DataFrame, key: str, text: str, size: int, overlap: int) -> DataFrame:
     """(key, idx, chunk) for every chunk of every text; null texts give no chunk."""
-    spark = df.sparkSession
-    spark.udtf.register("chunk_text", ChunkText)
-    df.select(F.col(key).alias("k"), F.col(text).alias("t")).createOrReplaceTempView("__chunk_source")
-    return spark.sql(f"SELECT k AS `{key}`, c.idx, c.chunk FROM __chunk_source, LATERAL chunk_text(t, {size}, {overlap}) c")
+    texts = df.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    return texts.lateralJoin(ChunkText(F.col("t").outer(), F.lit(size), F.lit(overlap))).select(F.col("k").alias(key), "idx", "chunk")

@@ -1,44 +1,59 @@
-"""Fuzzy matching of distinct values against a bounded list with the sequence-matcher ratio."""
+"""Fuzzy matching of distinct values against a list with the sequence-matcher ratio."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-MOST_CHOICES = 50_000
+from studyloom.session import cut, parallelism
 
+BLOCK = 20_000  # choices that meet a part of the values at once
 
-def fuzzy_match(values: DataFrame, col: str, choices: list[tuple[str, str]], cutoff: float = 0.96, margin: float = 0.02, top: int = 5) -> DataFrame:
+
+def _best(raw: str, keyed: list[tuple[str, str]], top: int) -> list[tuple[float, str, str]]:
+    """(-ratio, canonical, key) of the top choices; upper bounds of the ratio spare most exact ratios."""
+    out: list[tuple[float, str, str]] = []
+    for c, k in keyed:
+        floor = -out[-1][0] if len(out) >= top else -1.0
+        if 2.0 * min(len(raw), len(k)) < floor * (len(raw) + len(k)):
+            continue
+        m = SequenceMatcher(None, raw, k)  # the value first: the ratio is not symmetric
+        if m.quick_ratio() >= floor:
+            out = sorted([*out, (-m.ratio(), c, k)])[:top]
+    return out
+
+
+def fuzzy_match(values: DataFrame, col: str, choices: DataFrame, cutoff: float = 0.96, margin: float = 0.02, top: int = 5) -> DataFrame:
     """(col, canonical, score, suggestions): best choice if it scores at least cutoff and leads by the margin.
 
-    choices: (key, canonical), at most MOST_CHOICES, sent to the workers; they are the stated list that every distinct
-    value is compared with. Values are distinct residuals of the exact stages, so no row is compared twice.
+    choices: (key, canonical), one row a key; the list may have any length: blocks of it meet the distinct values, and the best of
+    all blocks are put together. Equal scores go to the lesser canonical value. Null values give no row; an empty list leaves all
+    values without a choice; suggestions are the distinct canonical values of the top choices.
     """
-    if len(choices) > MOST_CHOICES:
-        raise ValueError(f"more than {MOST_CHOICES} choices")
-    shared = values.sparkSession.sparkContext.broadcast(choices)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keyed = shared.value
-        for b in batches:
-            rows = []
-            for raw in b[col]:
-                if raw is None:
-                    continue
-                m = SequenceMatcher(None, raw, "")
-                scored = []
-                for pos, (k, c) in enumerate(keyed):
-                    m.set_seq2(k)
-                    floor = scored[-1][0] if len(scored) >= top else 0.0
-                    if m.real_quick_ratio() > floor and m.quick_ratio() > floor:
-                        scored = sorted([*scored, (m.ratio(), -pos, c)], reverse=True)[: max(top, 2)]
-                best = scored[0] if scored else (0.0, 0, None)
-                second = scored[1][0] if len(scored) > 1 else 0.0
-                hit = best[2] if best[0] >= cutoff and best[0] - second >= margin else None
-                rows.append((raw, hit, round(best[0], 6), list(dict.fromkeys(s[2] for s in scored[:top]))))
-            yield pd.DataFrame(rows, columns=[col, "canonical", "score", "suggestions"], dtype=object)
-
-    return values.select(col).distinct().mapInPandas(run, f"{col} string, canonical string, score double, suggestions array<string>")
+    top = max(top, 2)
+    vals = values.select(F.col(col).alias("raw")).filter("raw IS NOT NULL").distinct()
+    keyed = cut(choices.filter("key IS NOT NULL").select("key", "canonical"))
+    blocks = max(1, -(-keyed.count() // BLOCK))
+    salts = parallelism(values.sparkSession)
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = vals.withColumn("block", spread(blocks)).withColumn("salt", F.pmod(F.xxhash64("raw"), F.lit(salts)).cast("int"))
+    right = keyed.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")).withColumn("salt", spread(salts))
+
+    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        listed = sorted(zip(b["canonical"], b["key"]))
+        rows = [(raw, *hit) for raw in a["raw"] for hit in _best(raw, listed, top)]
+        return pd.DataFrame(rows, columns=["raw", "minus", "canonical", "key"])
+
+    hits = left.groupBy("block", "salt").cogroup(right.groupBy("block", "salt")).applyInPandas(meet, "raw string, minus double, canonical string, key string")
+    # At most top rows a value and block.
+    best = hits.groupBy("raw").agg(F.slice(F.array_sort(F.collect_list(F.struct("minus", "canonical", "key"))), 1, top).alias("hits"))
+    score = lambda i: F.coalesce(-F.try_element_at("hits", F.lit(i))["minus"], F.lit(0.0))
+    sure = (score(1) >= cutoff) & (score(1) - score(2) >= margin)
+    none = F.array().cast("array<string>")
+    return vals.join(best, "raw", "left").select(
+        F.col("raw").alias(col), F.when(sure, F.try_element_at("hits", F.lit(1))["canonical"]).alias("canonical"), F.round(score(1), 6).alias("score"),
+        F.coalesce(F.array_distinct(F.transform("hits", lambda h: h["canonical"])), none).alias("suggestions"),
+    )

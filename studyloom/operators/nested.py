@@ -68,6 +68,7 @@ def loads(text: str):
         return None
 
 
+_OBJECT = re.compile(r'\{\s*["}]')
 _PIECE = re.compile(r'"(?:[^"\\]|\\.)*"|[{}]|"', re.S)
 
 
@@ -87,14 +88,14 @@ def _balanced(text: str, start: int) -> int:
     return -1
 
 
-def read_object(payload: str | None, depth: int = 0) -> dict | None:
-    """The object in a payload: bare, as a JSON string, or within other text; None for a cut-off or unreadable one."""
-    if not payload or depth > 4:
+def read_object(payload: str | None) -> dict | None:
+    """The object in a payload: bare, as a JSON string (at any depth), or within other text; None for a cut-off or unreadable one."""
+    if not payload:
         return None
     text = _FENCE.sub("", payload.strip("﻿ \t\r\n"))
     got = loads(text)
     if isinstance(got, str):
-        return read_object(got, depth + 1)
+        return read_object(got)
     if isinstance(got, dict):
         return got
     at = text.find("{")
@@ -103,7 +104,7 @@ def read_object(payload: str | None, depth: int = 0) -> dict | None:
         if end < 0:
             # An opening brace of the text around, not of an object, may precede it.
             nxt = text.find("{", at + 1)
-            if nxt < 0 or re.match(r'\{\s*["}]', text[at : at + 200]):
+            if nxt < 0 or _OBJECT.match(text, at):
                 break
             at = nxt
             continue
@@ -115,7 +116,7 @@ def read_object(payload: str | None, depth: int = 0) -> dict | None:
     if quote >= 0 and quote + 1 < len(text) and (m := _PIECE.match(text, quote)) and len(m.group()) > 2:
         inner = loads(m.group())
         if isinstance(inner, str) and "{" in inner:
-            return read_object(inner, depth + 1)
+            return read_object(inner)
     return None
 
 
@@ -194,15 +195,17 @@ def canonical_lists(payload: str | None, levels: tuple[Level, ...]) -> dict[str,
     return out
 
 
-def read_nested(df: DataFrame, payload: str, levels: tuple[Level, ...], into: str = "nested") -> DataFrame:
-    """Add one typed column with the canonical lists of each payload (Arrow batches; no shuffle)."""
+def read_nested(df: DataFrame, payload: str, task: str, levels: dict[str, tuple[Level, ...]], into: str = "nested") -> DataFrame:
+    """Add one typed column with the canonical lists that the task of each payload has (Arrow batches; no shuffle); the lists of
+    other tasks are null."""
 
     @F.pandas_udf("string")
-    def canon(col: pd.Series) -> pd.Series:
-        return col.map(lambda p: json.dumps(canonical_lists(p, levels), ensure_ascii=False), na_action=None)
+    def canon(tasks: pd.Series, col: pd.Series) -> pd.Series:
+        found = [json.dumps(canonical_lists(p, levels[t]), ensure_ascii=False) if t in levels else None for t, p in zip(tasks, col)]
+        return pd.Series(found, dtype=object)
 
-    ddl = "STRUCT<" + ", ".join(f"`{level.key}`: {level.ddl()}" for level in levels) + ">"
-    return df.withColumn(into, F.from_json(canon(F.col(payload)), ddl))
+    ddl = "STRUCT<" + ", ".join(f"`{level.key}`: {level.ddl()}" for own in levels.values() for level in own) + ">"
+    return df.withColumn(into, F.from_json(canon(F.col(task), F.col(payload)), ddl))
 
 
 def project_level(df: DataFrame, keys: list[str], nested: str, level: Level) -> DataFrame:
@@ -236,12 +239,19 @@ SUBPOPULATIONS = Level(
 EXTERNAL = Level("external_identifiers", ("identifier", "type", "type_other"))
 
 
+LEVELS = {"task_overview": (EXTERNAL,), "task_subpopulations": (SUBPOPULATIONS,)}
+
+
+def _sections(sections: DataFrame, *tasks: str) -> DataFrame:
+    """Sections of the tasks with their lists: every payload is read once."""
+    base = sections.filter(F.col("task").isin(*tasks)).select("section_id", "resource", "task", "payload")
+    return read_nested(base, "payload", "task", {t: LEVELS[t] for t in tasks})
+
+
 def section_tables(sections: DataFrame) -> dict[str, DataFrame]:
     """The three flat tables of section_results: external_identifiers, subpopulations and counts."""
     keys = ["section_id", "resource"]
-    base = sections.select("section_id", "resource", "task", "payload")
-    over = read_nested(base.filter("task = 'task_overview'"), "payload", (EXTERNAL,))
-    subs = read_nested(base.filter("task = 'task_subpopulations'"), "payload", (SUBPOPULATIONS,))
+    over, subs = _sections(sections, "task_overview"), _sections(sections, "task_subpopulations")
     return {
         "external_identifiers": project_level(over, keys, "nested", EXTERNAL),
         "subpopulations": project_level(subs, keys, "nested", SUBPOPULATIONS),
@@ -250,13 +260,11 @@ def section_tables(sections: DataFrame) -> dict[str, DataFrame]:
 
 
 def section_entries(sections: DataFrame) -> DataFrame:
-    """(section_id, list_name, outer_pos, inner_pos) of every filled entry of the three lists."""
-    t = section_tables(sections)
-    top = [
-        t[name].select("section_id", F.lit(name).alias("list_name"), F.col("outer_pos").cast("long"), F.lit(0).cast("long").alias("inner_pos"))
-        for name in ("external_identifiers", "subpopulations")
+    """(section_id, list_name, outer_pos, inner_pos) of every filled entry of the three lists: one table, so one inline."""
+    place = lambda name, outer, inner: f"struct(section_id, '{name}' AS list_name, CAST({outer} AS BIGINT) AS outer_pos, CAST({inner} AS BIGINT) AS inner_pos)"
+    lists = [
+        f"transform(nested.external_identifiers, e -> {place('external_identifiers', 'e.pos', '0')})",
+        f"transform(nested.subpopulations, e -> {place('subpopulations', 'e.pos', '0')})",
+        f"flatten(transform(nested.subpopulations, e -> transform(e.counts, c -> {place('counts', 'e.pos', 'c.pos')})))",
     ]
-    counts = t["counts"].select(
-        "section_id", F.lit("counts").alias("list_name"), F.col("outer_pos").cast("long"), F.col("inner_pos").cast("long")
-    )
-    return top[0].unionAll(top[1]).unionAll(counts)
+    return _sections(sections, *LEVELS).selectExpr(f"inline(flatten(filter(array({', '.join(lists)}), x -> x IS NOT NULL)))")

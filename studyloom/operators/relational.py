@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from studyloom.functions.arrays import dedupe_ci
+from studyloom.operators.skew import numbered
 from studyloom.session import blank, cut, parallelism, strip
 
 
@@ -82,20 +86,26 @@ def last_non_null(df: DataFrame, keys: list[str], order: str, values: list[str])
 
 
 def merged_list(df: DataFrame, keys: list[str], order: str, values: str) -> DataFrame:
-    """Lists joined in order without repeats (without case)."""
-    parts = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order), F.col(values).alias("xs")))), lambda s: s["xs"])
-    return df.groupBy(*keys).agg(dedupe_ci(F.flatten(parts)).alias(values))
+    """Lists joined in order without repeats (without case). Repeats go before anything is collected, so what meets in one
+    task is what stands in the result."""
+    long = df.select(*keys, F.col(order).alias("__o"), F.posexplode(values).alias("__p", "__x")).filter("trim(__x) <> ''")
+    first = long.groupBy(*keys, F.lower(F.trim("__x")).alias("__k")).agg(F.min(F.struct("__o", "__p", "__x")).alias("__m"))
+    lists = first.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list("__m")), lambda m: m["__x"]).alias(values))
+    none = F.array().cast(dict(df.dtypes)[values])
+    return df.select(*keys).distinct().join(lists, keys, "left").withColumn(values, F.coalesce(values, none))
 
 
 def first_by_identity(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """First row of each non-blank key; rows without key stay."""
-    w = Window.partitionBy("__key", F.when(F.col("__key") == "", F.col(order))).orderBy(order)
-    return df.withColumn("__key", F.coalesce(key, F.lit(""))).withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__key", "__rn")
+    """First row of each non-blank key (combined before the shuffle, so a hot key is no burden); rows without key stay."""
+    keyed = df.withColumn("__key", F.coalesce(key, F.lit("")))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    first = keyed.filter("__key <> ''").groupBy("__key").agg(F.min_by(row, order).alias("__row")).select("__row.*")
+    return first.unionByName(keyed.filter("__key = ''").drop("__key"))
 
 
 def dense_index(df: DataFrame, keys: list[str], order: str, keep: Column, into: str = "idx") -> DataFrame:
-    """Rows that hold something, numbered from 1 within their parent."""
-    return df.filter(keep).withColumn(into, F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+    """Rows that hold something, numbered from 1 within their parent."""
+    return numbered(df.filter(keep), keys, order, into)
 
 
 def global_index(df: DataFrame, order: str, into: str = "idx") -> DataFrame:
@@ -110,21 +120,76 @@ def global_index(df: DataFrame, order: str, into: str = "idx") -> DataFrame:
     return ranged.withColumn("__own", own).join(offsets, "__part").withColumn(into, F.col("__before") + F.col("__own")).drop("__part", "__own", "__before")
 
 
-def unique_slugs(df: DataFrame, slug: str, order: str, into: str = "uid") -> DataFrame:
-    """Slug (80 characters at most), then slug-2, slug-3 ... in order (75 characters and the number); numbers whose form is
-    a slug of its own are passed over, and slugs that are equal when cut share their numbers, so no id occurs twice."""
-    cut80, stem = F.col(slug).substr(1, 80), F.col(slug).substr(1, 75)
-    n = df.withColumn("__cut", cut80).withColumn("__stem", stem)
-    n = n.withColumn("__first", F.row_number().over(Window.partitionBy("__cut").orderBy(order)) == 1)
-    n = n.withColumn("__k", F.row_number().over(Window.partitionBy("__stem", "__first").orderBy(order)))
-    form = r"^(.*)-([2-9]|[1-9][0-9]{1,17})$"
-    own = n.filter("__first").filter(F.col("__cut").rlike(form)).select(
-        F.regexp_extract("__cut", form, 1).alias("__stem"), F.regexp_extract("__cut", form, 2).cast("long").alias("__u")
-    ).groupBy("__stem").agg(F.array_sort(F.collect_set("__u")).alias("__used"))
-    # The k-th number from 2 on that no slug uses.
-    free = F.aggregate(F.coalesce("__used", F.array().cast("array<bigint>")), F.col("__k").cast("long") + 1, lambda k, u: k + (u <= k).cast("long"))
-    name = F.when(F.col("__first"), F.col("__cut")).otherwise(F.concat("__stem", F.lit("-"), free.cast("string")))
-    return n.join(own, "__stem", "left").withColumn(into, name).select(*[F.col(f"`{c}`") for c in df.columns], into)
+def slug(c: Column) -> Column:
+    """Lower case words joined by "-", at most 80 characters (a bound of the feature)."""
+    t = F.lower(strip(F.coalesce(c, F.lit(""))))
+    return F.regexp_replace(F.regexp_replace(t, r"[^a-z0-9]+", "-"), r"^-+|-+$", "").substr(1, 80)
+
+
+_NUMBER = r"(-\d+)+$"
+
+
+def _deal(rows: Iterator[tuple]) -> Iterator[str]:
+    """Ids of rows (family, id, slug), ids of their own first in each family; the state is one number for each slug of a family."""
+    family, used, nxt = None, set(), {}
+
+    def taken(form: str) -> bool:
+        if form in used:
+            return True
+        stem, dash, number = form.rpartition("-")
+        # Every number below the next one of a stem is used, by the stem's own rows or by others.
+        return bool(dash) and number.isdecimal() and number[0] != "0" and 2 <= int(number) < nxt.get(stem, 0)
+
+    for fam, own, base in rows:
+        if fam != family:
+            family, used, nxt = fam, set(), {}
+        if own:
+            used.add(own)
+            yield own
+        elif not taken(base):
+            used.add(base)
+            yield base
+        else:
+            k = nxt.get(base, 2)
+            while taken(f"{base}-{k}"):
+                k += 1
+            nxt[base] = k + 1
+            yield f"{base}-{k}"
+
+
+def unique_ids(df: DataFrame, group: list[str], own: str, base: str, order: str, into: str = "uid") -> DataFrame:
+    """Rows keep their own id; the others take, in order, their slug, slug-2, slug-3 ..., the first that no row of the
+    group has. Forms can clash only within a family (a slug without numbers at its end). Families of one slug and no own id are
+    numbered in parallel, hot ones in blocks; the others are dealt in order, with one number a slug as state."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    has = ~blank(F.col(own).cast("string"))
+    r = df.select(F.struct(*cols).alias("__row"), F.to_json(F.struct(*group)).alias("__g"), F.when(has, F.trim(F.col(own).cast("string"))).alias("__own"), F.col(base).alias("__base"), F.col(order).alias("__o"))
+    r = r.withColumn("__fam", F.regexp_replace(F.coalesce("__own", "__base"), _NUMBER, ""))
+    plain = r.groupBy("__g", "__fam").agg((F.max(F.col("__own").isNotNull()) | (F.min("__base") != F.max("__base"))).alias("__mixed"))
+    r = r.join(plain, ["__g", "__fam"])
+    alone = numbered(r.filter("NOT __mixed"), ["__g", "__fam"], "__o", "__k")
+    name = F.when(F.col("__k") == 1, F.col("__base")).otherwise(F.concat("__base", F.lit("-"), F.col("__k").cast("string")))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state = []
+
+        def rows() -> Iterator[tuple]:
+            for b in batches:
+                state.append(b)
+                yield from zip(zip(b["__g"], b["__fam"]), b["__own"], b["__base"])
+
+        ids: list[str] = []
+        for uid in _deal(rows()):
+            ids.append(uid)
+            if len(ids) == len(state[0]):
+                yield state.pop(0)[["__row"]].assign(uid=pd.Series(ids, dtype=object).to_numpy())
+                ids = []
+
+    kind = r.schema["__row"].dataType.simpleString()
+    mixed = r.filter("__mixed").select("__row", "__g", "__fam", "__own", "__base", F.col("__own").isNull().alias("__new"), "__o")
+    mixed = mixed.repartition("__g", "__fam").sortWithinPartitions("__g", "__fam", "__new", "__o").select("__row", "__g", "__fam", "__own", "__base")
+    dealt = mixed.mapInPandas(run, f"__row {kind}, uid string")
+    return alone.select("__row", name.alias("uid")).unionByName(dealt).select("__row.*", F.col("uid").alias(into))
 
 
 def counts_by_gender(df: DataFrame, keys: list[str], gender: str, n: str, pos: str) -> DataFrame:
@@ -153,22 +218,32 @@ def keyed_diff(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFram
     return both.withColumn("action", action).filter("action IS NOT NULL").select(F.col("k").alias(key), "action")
 
 
-def inherit_columns(spark: SparkSession, columns: DataFrame, extends: DataFrame) -> DataFrame:
-    """Columns of each table with those of its ancestors; the nearest definition wins, cycles end.
+def ancestry(tables: DataFrame, extends: DataFrame) -> DataFrame:
+    """M2: (tbl, ancestor, depth) of each table's ancestors at any depth, itself at 0; cycles end. Paths double at every step, so
+    the number of steps is the logarithm of the depth; the graph has one row a table, the table data are not touched."""
+    edge = extends.filter("parent IS NOT NULL AND parent <> tbl").select("tbl", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
+    near = lambda df: df.groupBy("tbl", "ancestor").agg(F.min("depth").alias("depth"))
+    known = cut(near(tables.select("tbl", F.col("tbl").alias("ancestor"), F.lit(0).alias("depth")).distinct().unionByName(edge)))
+    size = known.agg(F.count(F.lit(1)), F.sum("depth")).first()
+    while True:
+        up = known.select(F.col("tbl").alias("ancestor"), F.col("ancestor").alias("top"), F.col("depth").alias("more"))
+        longer = known.join(up, "ancestor").select("tbl", F.col("top").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"))
+        known = cut(near(known.unionByName(longer)))
+        now = known.agg(F.count(F.lit(1)), F.sum("depth")).first()
+        if now == size:
+            return known
+        size = now
+
+
+def inherit_columns(columns: DataFrame, extends: DataFrame) -> DataFrame:
+    """Columns of each table with those of its ancestors; the nearest definition wins.
 
-    columns: (tbl, col, pos, kind); extends: (tbl, parent). Recursive CTE over the small table graph.
+    columns: (tbl, col, pos, kind); extends: (tbl, parent).
     """
-    columns.createOrReplaceTempView("__columns")
-    extends.createOrReplaceTempView("__extends")
-    anc = spark.sql("""
-        WITH RECURSIVE anc(tbl, ancestor, depth) AS (
-          SELECT DISTINCT tbl, tbl, 0 FROM __columns
-          UNION ALL
-          SELECT a.tbl, e.parent, a.depth + 1 FROM anc a JOIN __extends e ON e.tbl = a.ancestor WHERE a.depth < 16 AND e.parent <> a.tbl
-        ) SELECT tbl, ancestor, min(depth) AS depth FROM anc GROUP BY tbl, ancestor""")
+    tables = columns.select("tbl").unionByName(extends.select("tbl")).distinct()
     cols = columns.select(F.col("tbl").alias("ancestor"), "col", "pos", "kind")
-    near = anc.join(cols, "ancestor").groupBy("tbl", "col").agg(F.min(F.struct("depth", "pos", "kind", "ancestor")).alias("m"))
-    return near.select("tbl", "col", "m.depth", "m.pos", "m.kind", F.col("m.ancestor").alias("defined_in"))
+    found = ancestry(tables, extends).join(cols, "ancestor").groupBy("tbl", "col").agg(F.min(F.struct("depth", "pos", "kind", "ancestor")).alias("m"))
+    return found.select("tbl", "col", "m.depth", "m.pos", "m.kind", F.col("m.ancestor").alias("defined_in"))
 
 
 def mapping_stats(mapped: DataFrame, group: list[str]) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from studyloom.session import cut, parallelism
+
 HOT_SHARE = 1000  # a key is hot if it has more than 1 / HOT_SHARE of the rows, so at most HOT_SHARE keys are
 HOT_ROWS = 100_000  # and at least so many
 
@@ -27,3 +29,26 @@ def self_pairs(members: DataFrame, group: list[str], item: str, keep: list[str],
     left = m.select(*group, F.pmod(F.xxhash64(item), F.col("__blocks")).alias("__b"), *[F.col(c).alias(f"{c}_a") for c in [item, *keep]])
     right = m.select(*group, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__blocks") - 1)).alias("__b"), *[F.col(c).alias(f"{c}_b") for c in [item, *keep]])
     return left.join(right, [*group, "__b"]).filter(F.col(f"{item}_a") < F.col(f"{item}_b")).drop("__b")
+
+
+def numbered(df: DataFrame, keys: list[str], order: str, into: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows numbered from 1 in order within their key. The rows of a hot key are cut into ranges of the order, numbered in each and
+    moved on by the sizes of the ranges before, so that no task holds a hot key."""
+    plain = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = cut(counts.filter(F.col("__n") > hot_rows))  # few keys: each has at least so many rows
+    if sizes.isEmpty():
+        return df.withColumn(into, plain)
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
+    hot = F.broadcast(sizes.orderBy(F.desc("__n")).limit(HOT_SHARE).select(*keys))
+    rest = df.alias("r").join(hot.alias("h"), same, "left_anti").withColumn(into, plain)
+    ranged = df.alias("r").join(hot.alias("h"), same, "left_semi").repartitionByRange(parallelism(df.sparkSession) * 2, *keys, order)
+    ranged = cut(ranged.withColumn("__part", F.spark_partition_id()))
+    per = ranged.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__m"))
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    base = per.select(*keys, "__part", F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__base"))
+    own = ranged.withColumn("__own", F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(order)))
+    meet = [*[F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], F.col("r.__part") == F.col("b.__part")]
+    # One row a hot key and range: at most HOT_SHARE keys over the ranges.
+    done = own.alias("r").join(F.broadcast(base.alias("b")), meet).select(*[F.col(f"r.`{c}`") for c in df.columns], (F.col("r.__own") + F.col("b.__base")).cast("int").alias(into))
+    return rest.unionByName(done)

@@ -25,40 +25,23 @@ def p1_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return multivalue.catalogue_values(table(spark, d, "resources"), table(spark, d, "collection_events"))
+    return multivalue.catalogue_values(table(spark, d, "resources"), table(spark, d, "collection_events")).distinct()
 
 
-def p7_found(spark: SparkSession, d: str) -> DataFrame:
+def _orphans(spark: SparkSession, d: str) -> DataFrame:
     refs = orphans.catalogue_references(*(table(spark, d, t) for t in ("subpopulation_counts", "collection_events", "resources")))
     targets = orphans.catalogue_targets(*(table(spark, d, t) for t in ("subpopulations", "organisations", "contacts")))
     return orphans.orphans(refs, targets)
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _orphans(spark, d).distinct()
+
+
 def p7_report(spark: SparkSession, d: str) -> DataFrame:
-    return orphans.orphan_report(p7_found(spark, d))
+    return orphans.orphan_report(_orphans(spark, d))
 
 
-def p7_scalar(spark: SparkSession, d: str) -> DataFrame:
-    """The fields of p7_found that hold a single reference."""
-    refs = orphans.catalogue_references(*(table(spark, d, t) for t in ("subpopulation_counts", "collection_events", "resources")))
-    targets = orphans.catalogue_targets(*(table(spark, d, t) for t in ("subpopulations", "organisations", "contacts")))
-    return orphans.orphans(refs.filter("tbl <> 'collection_events'"), targets)
-
-
-QUERIES = {f.__name__: f for f in (p1_found, p1_external_identifiers, p1_subpopulations, p1_counts, p3_found, p7_found, p7_report, p7_scalar)}
-
-_KEY = "lower(regexp_replace(regexp_replace({}, '[\\s\\p{{Z}}]+', ' ', 'g'), '^ | $', '', 'g'))"
-_FILLED = "regexp_matches(coalesce({}, ''), '[^\\s\\p{{Z}}]')"
-
-SQL: dict[str, str] = {
-    "p7_scalar": f"""WITH t AS (
-  SELECT concat('s|', {_KEY.format('resource')}, '|', {_KEY.format('name')}) AS k, loaded_at AS a, deleted_at AS z FROM subpopulations WHERE resource IS NOT NULL AND {_FILLED.format('name')}
-  UNION ALL SELECT concat('o|', {_KEY.format('id')}), loaded_at, deleted_at FROM organisations WHERE {_FILLED.format('id')}
-  UNION ALL SELECT concat('c|', {_KEY.format('contact_code')}), loaded_at, deleted_at FROM contacts WHERE {_FILLED.format('contact_code')}),
- r AS (SELECT 'subpopulation_counts' AS tbl, row_id, 'subpopulation' AS field, concat('s|', {_KEY.format('resource')}, '|', {_KEY.format('subpopulation')}) AS k, loaded_at AS l FROM subpopulation_counts WHERE {_FILLED.format('subpopulation')}
-  UNION ALL SELECT 'resources', row_id, 'contact_point', concat('c|', {_KEY.format('contact_point')}), loaded_at FROM resources WHERE {_FILLED.format('contact_point')}
-  UNION ALL SELECT 'resources', row_id, 'publisher', concat('o|', {_KEY.format('publisher')}), loaded_at FROM resources WHERE {_FILLED.format('publisher')}),
- j AS (SELECT r.tbl, r.row_id, r.field, r.l, count(t.k) AS n, count(CASE WHEN t.a <= r.l THEN 1 END) AS seen, count(CASE WHEN t.a <= r.l AND (t.z IS NULL OR r.l < t.z) THEN 1 END) AS live
-  FROM r LEFT JOIN t ON t.k = r.k GROUP BY ALL)
- SELECT tbl, row_id, field, CAST(1 AS BIGINT) AS pos, CASE WHEN n = 0 THEN 'missing' WHEN seen > 0 THEN 'deleted' ELSE 'late' END AS reason, strftime(l, '%Y-%m') AS period FROM j WHERE live = 0""",
-}
+QUERIES = {f.__name__: f for f in (p1_found, p1_external_identifiers, p1_subpopulations, p1_counts, p3_found, p7_found, p7_report)}
+
+SQL: dict[str, str] = {}

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from studyloom.functions import text as T
 from studyloom.operators import relational as R
+from studyloom.operators import resolution as Z
 from studyloom.operators import templates
-from studyloom.operators.fuzzy import MOST_CHOICES, fuzzy_match
 from studyloom.operators.repair import adult_age, contact_from_people, resolve_array
 from studyloom.session import strip, table
 
@@ -37,15 +37,15 @@ def parent_anti_join(spark: SparkSession, d: str) -> DataFrame:
     return R.drop_parents_with_children(o, table(spark, d, "lineitem"), "o_orderkey", "l_orderkey")
 
 
-@query("""WITH c AS (SELECT user_id, max(value) AS v, min(event_type) AS lo FROM events WHERE event_id % 3 = 0 GROUP BY user_id),
- e AS (SELECT user_id, max(value) AS v, max(event_type) AS hi FROM events WHERE event_id % 3 = 1 GROUP BY user_id)
+@query("""WITH c AS (SELECT user_id, max(value) AS v, min(event_type) AS lo FROM events WHERE event_id % 2 = 0 GROUP BY user_id),
+ e AS (SELECT user_id, max(value) AS v, max(event_type) AS hi FROM events WHERE event_id % 2 <> 0 GROUP BY user_id)
  SELECT coalesce(c.user_id, e.user_id) AS user_id, coalesce(e.v, c.v) AS v,
   CASE WHEN lo IS NULL THEN hi WHEN hi IS NULL OR hi = lo THEN lo ELSE concat(lo, ';', hi) END AS tags FROM c FULL OUTER JOIN e ON c.user_id = e.user_id""")
 def event_merge(spark: SparkSession, d: str) -> DataFrame:
-    """J2, J3"""
+    """The two halves of the events merged by user."""
     e = table(spark, d, "events")
-    core = e.filter("event_id % 3 = 0").groupBy("user_id").agg(F.max("value").alias("v"), F.array(F.min("event_type")).alias("tags"))
-    extra = e.filter("event_id % 3 = 1").groupBy("user_id").agg(F.max("value").alias("v"), F.array(F.max("event_type")).alias("tags"))
+    core = e.filter("event_id % 2 = 0").groupBy("user_id").agg(F.max("value").alias("v"), F.array(F.min("event_type")).alias("tags"))
+    extra = e.filter("event_id % 2 <> 0").groupBy("user_id").agg(F.max("value").alias("v"), F.array(F.max("event_type")).alias("tags"))
     return R.full_merge(core, extra, "user_id", ["v", "tags"]).withColumn("tags", F.array_join("tags", ";"))
 
 
@@ -145,12 +145,20 @@ def list_explode_index(spark: SparkSession, d: str) -> DataFrame:
     return R.dense_index(c, ["resource"], "row_id", keep).select("resource", "row_id", "idx")
 
 
-@query("""WITH s AS (SELECT row_id, regexp_replace(regexp_replace(lower(name), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug FROM resources WHERE name IS NOT NULL)
- SELECT row_id, CASE WHEN n = 1 THEN substr(slug, 1, 80) ELSE concat(substr(slug, 1, 75), '-', n) END AS uid FROM (SELECT row_id, slug, row_number() OVER (PARTITION BY slug ORDER BY row_id) AS n FROM s)""")
+_SLUG = "substr(regexp_replace(regexp_replace(lower(coalesce(organisation, name)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 80)"
+
+
+# A slug's k-th row without an id gets the k-th free number; the slugs of these tables are numbered by no other slug.
+@query(f"""WITH o AS (SELECT row_id, coalesce(resource, '') AS resource, CASE WHEN row_id % 3 = 0 THEN {_SLUG} END AS own, {_SLUG} AS slug FROM organisations WHERE coalesce(organisation, name) IS NOT NULL),
+ u AS (SELECT DISTINCT resource, own FROM o WHERE own IS NOT NULL),
+ n AS (SELECT row_id, o.resource, slug, row_number() OVER (PARTITION BY o.resource, slug ORDER BY row_id) + CASE WHEN u.own IS NULL THEN 0 ELSE 1 END AS k FROM o LEFT JOIN u ON u.resource = o.resource AND u.own = o.slug WHERE o.own IS NULL)
+ SELECT row_id, resource, own AS uid FROM o WHERE own IS NOT NULL UNION ALL SELECT row_id, resource, CASE WHEN k = 1 THEN slug ELSE concat(slug, '-', k) END FROM n""")
 def slug_unique(spark: SparkSession, d: str) -> DataFrame:
-    """W4, T19"""
-    r = table(spark, d, "resources").filter("name IS NOT NULL").select("row_id", T.snake_case(_C("name")).alias("slug"))
-    return R.unique_slugs(r, "slug", "row_id").select("row_id", "uid")
+    """Organisations of a resource; every third has an id of its own."""
+    written = F.coalesce("organisation", "name")
+    o = table(spark, d, "organisations").filter(written.isNotNull()).select("row_id", F.coalesce("resource", F.lit("")).alias("resource"), R.slug(written).alias("slug"))
+    o = o.withColumn("own", F.when(_C("row_id") % 3 == 0, _C("slug")))
+    return R.unique_ids(o, ["resource"], "own", "slug", "row_id").select("row_id", "resource", "uid")
 
 
 @query("""SELECT resource, age_group, arg_max(n_total, row_id) FILTER (WHERE row_id % 3 = 2 AND n_total IS NOT NULL) AS n_total,
@@ -200,14 +208,16 @@ def trace_rollup(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "section_results").groupBy("task", e("model"), e("finish_reason")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.coalesce("payload", F.lit("")))).alias("chars"))
 
 
-@query("""WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS v FROM orders WHERE o_orderkey % 7 <> 0), n AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS v FROM orders WHERE o_orderkey % 11 <> 0)
- SELECT coalesce(o.k, n.k) AS o_orderkey, CASE WHEN o.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' ELSE 'changed' END AS action FROM o FULL OUTER JOIN n ON o.k = n.k WHERE o.k IS NULL OR n.k IS NULL OR o.v <> n.v""")
+@query("""WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS v FROM orders UNION ALL SELECT -c_custkey, 'C' FROM customer), n AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS v FROM orders UNION ALL SELECT DISTINCT -o_custkey, 'C' FROM orders
+  UNION ALL SELECT -1000000000 - s_suppkey, 'S' FROM supplier)
+ SELECT coalesce(o.k, n.k) AS k, CASE WHEN o.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' ELSE 'changed' END AS action FROM o FULL OUTER JOIN n ON o.k = n.k WHERE o.k IS NULL OR n.k IS NULL OR o.v <> n.v""")
 def schema_diff(spark: SparkSession, d: str) -> DataFrame:
-    """U1, U2, U3, M10"""
-    o = table(spark, d, "orders")
-    old = o.filter("o_orderkey % 7 <> 0").select("o_orderkey", _C("o_orderstatus").alias("v"))
-    new = o.filter("o_orderkey % 11 <> 0").select("o_orderkey", F.when(_C("o_orderkey") % 5 == 0, "X").otherwise(_C("o_orderstatus")).alias("v"))
-    return R.keyed_diff(old, new, "o_orderkey", "v")
+    """Keys of all orders and customers before, and after some statuses changed, customers without orders went and suppliers came."""
+    o, c, s = table(spark, d, "orders"), table(spark, d, "customer"), table(spark, d, "supplier")
+    status = F.when(_C("o_orderkey") % 5 == 0, "X").otherwise(_C("o_orderstatus"))
+    old = o.select(_C("o_orderkey").alias("k"), _C("o_orderstatus").alias("v")).unionAll(c.select(-_C("c_custkey"), F.lit("C")))
+    new = o.select(_C("o_orderkey").alias("k"), status.alias("v")).unionAll(o.select(-_C("o_custkey"), F.lit("C")).distinct()).unionAll(s.select(-1000000000 - _C("s_suppkey"), F.lit("S")))
+    return R.keyed_diff(old, new, "k", "v")
 
 
 @query("""SELECT doc_id, sha256(text) AS digest, CASE WHEN doc_id % 10 = 0 THEN 'changed' ELSE 'same' END AS state FROM documents WHERE text IS NOT NULL""")
@@ -225,14 +235,14 @@ _VALUES = lambda rows: ", ".join(str(r) for r in rows)
 
 
 @query(f"""WITH RECURSIVE c(tbl, col, pos, kind) AS (VALUES {_VALUES(_MODEL)}), e(tbl, parent) AS (VALUES {_VALUES(_EXT)}),
- anc(tbl, ancestor, depth) AS (SELECT DISTINCT tbl, tbl, 0 FROM c UNION ALL SELECT a.tbl, e.parent, a.depth + 1 FROM anc a JOIN e ON e.tbl = a.ancestor WHERE a.depth < 16 AND e.parent <> a.tbl),
+ anc(tbl, ancestor, depth) AS (SELECT DISTINCT tbl, tbl, 0 FROM c UNION ALL SELECT a.tbl, e.parent, a.depth + 1 FROM anc a JOIN e ON e.tbl = a.ancestor WHERE a.depth < 40 AND e.parent <> a.tbl),
  m AS (SELECT a.tbl, c.col, a.depth, CAST(c.pos AS BIGINT) AS pos, c.kind, a.ancestor, row_number() OVER (PARTITION BY a.tbl, c.col ORDER BY a.depth, c.pos) AS rn FROM (SELECT tbl, ancestor, min(depth) AS depth FROM anc GROUP BY 1, 2) a JOIN c ON c.tbl = a.ancestor)
  SELECT tbl, col, depth, pos, kind, ancestor AS defined_in FROM m WHERE rn = 1""")
 def registry_inherit(spark: SparkSession, d: str) -> DataFrame:
     """M1, M2, M17, U5, J13, P13"""
     cols = spark.createDataFrame(_MODEL, "tbl string, col string, pos long, kind string")
     ext = spark.createDataFrame(_EXT, "tbl string, parent string")
-    return R.inherit_columns(spark, cols, ext)
+    return R.inherit_columns(cols, ext)
 
 
 @query("""WITH f(col, src) AS (VALUES ('country', 'countries'), ('area', 'regions'), ('theme', 'themes')), s AS (SELECT 'countries' AS src, name FROM countries UNION ALL SELECT 'regions', name FROM regions)
@@ -245,30 +255,34 @@ def missing_ontology(spark: SparkSession, d: str) -> DataFrame:
 
 
 _UNION = "(SELECT 'countries' AS lst, * FROM countries UNION ALL SELECT 'regions', * FROM regions)"
-_CASCADE = f"""WITH l AS (SELECT lst, name, label, acronym, code FROM {_UNION}),
- t AS (SELECT DISTINCT lst, name AS c, tok FROM (SELECT lst, name, unnest([name, label, acronym, code]) AS tok FROM l) WHERE tok IS NOT NULL AND name IS NOT NULL),
- ex AS (SELECT lst, tok AS k, min(c) AS canonical FROM t GROUP BY 1, 2 HAVING count(DISTINCT c) = 1),
- no AS (SELECT lst, {_K.format('tok')} AS k, min(c) AS canonical FROM t GROUP BY 1, 2 HAVING count(DISTINCT c) = 1),
- m AS (SELECT match_id, field, raw, coalesce(ex.canonical, no.canonical) AS canonical, CASE WHEN ex.canonical IS NOT NULL THEN 'exact' WHEN no.canonical IS NOT NULL THEN 'normalized' ELSE 'unmapped' END AS method
-  FROM choice_matches LEFT JOIN ex ON ex.lst = field AND ex.k = regexp_replace(coalesce(raw, ''), {TRIM}, '', 'g') LEFT JOIN no ON no.lst = field AND no.k = {_K.format('raw')} AND no.k <> '')"""
-
-
-def _cascade(spark: SparkSession, d: str) -> DataFrame:
+_CASCADE = f"""WITH l AS (SELECT lst, trim(name) AS c, unnest([name, label, acronym, code, ontology_term_uri, id]) AS tok FROM {_UNION} WHERE trim(coalesce(name, '')) <> ''),
+ ex AS (SELECT lst, trim(tok) AS k, min(c) AS canonical FROM l WHERE trim(coalesce(tok, '')) <> '' GROUP BY 1, 2 HAVING count(DISTINCT c) = 1),
+ no AS (SELECT lst, {_K.format('tok')} AS k, min(c) AS canonical FROM l WHERE {_K.format('tok')} <> '' GROUP BY 1, 2 HAVING count(DISTINCT c) = 1),
+ ca AS (SELECT lst, {_K.format('c')} AS k, min(c) AS canonical FROM l WHERE {_K.format('c')} <> '' GROUP BY 1, 2 HAVING count(DISTINCT c) = 1),
+ m AS (SELECT match_id, field, raw, coalesce(ex.canonical, no.canonical, ca.canonical) AS canonical, CASE WHEN regexp_replace(coalesce(raw, ''), {TRIM}, '', 'g') = '' THEN 'empty' WHEN ex.canonical IS NOT NULL THEN 'exact'
+   WHEN no.canonical IS NOT NULL THEN 'normalized' WHEN ca.canonical IS NOT NULL THEN 'normalized_canonical' ELSE 'unmapped' END AS method
+  FROM choice_matches LEFT JOIN ex ON ex.lst = field AND ex.k = regexp_replace(coalesce(raw, ''), {TRIM}, '', 'g') LEFT JOIN no ON no.lst = field AND no.k = {_K.format('raw')}
+  LEFT JOIN ca ON ca.lst = field AND ca.k = {_K.format('raw')})"""
+
+
+def _matched(spark: SparkSession, d: str, stages, fuzzy: bool, cutoffs: dict | None = None) -> DataFrame:
+    """(match_id, field, raw, canonical, method, suggestions) of every typed value against the list of its field."""
     both = None
     for lst in ("countries", "regions"):
-        entries = table(spark, d, lst)
-        toks = ["name", "label", "acronym", "code"]
-        exact = R.unambiguous_index(entries, "name", toks, lambda c: c)
-        norm = R.unambiguous_index(entries, "name", toks, T.norm_key)
-        raw = table(spark, d, "choice_matches").filter(_C("field") == lst).select("match_id", "field", "raw")
-        done = R.resolve(raw, "raw", [("exact", exact, lambda c: strip(F.coalesce(c, F.lit("")))), ("normalized", norm, T.norm_key)])
+        rows = table(spark, d, "choice_matches").filter(_C("field") == lst).select("match_id", "field", "raw")
+        found = Z.match_values(rows, "raw", stages(table(spark, d, lst), lst), cutoff=(cutoffs or {}).get(lst, Z.CUTOFF), fuzzy=fuzzy)
+        done = Z.with_matches(rows, "raw", found).withColumnRenamed("mapped", "canonical")
         both = done if both is None else both.unionAll(done)
     return both
 
 
+def _cascade(spark: SparkSession, d: str) -> DataFrame:
+    return _matched(spark, d, lambda entries, lst: Z.choice_stages(entries), fuzzy=False).drop("suggestions")
+
+
 @query(f"{_CASCADE} SELECT match_id, field, raw, canonical, method FROM m")
 def ontology_cascade(spark: SparkSession, d: str) -> DataFrame:
-    """R1, R2, R5, R9, R10, R14"""
+    """The stages before the fuzzy one."""
     return _cascade(spark, d)
 
 
@@ -287,23 +301,64 @@ def ontology_issues(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def ontology_fuzzy(spark: SparkSession, d: str) -> DataFrame:
-    """The residual of the cascade, of each field against its own list, by sequence-matcher ratio."""
-    residual = _cascade(spark, d).filter("canonical IS NULL AND trim(coalesce(raw, '')) <> ''")
-    both = None
-    for lst in ("countries", "regions"):
-        names = [r[0] for r in table(spark, d, lst).select("name").filter("name IS NOT NULL").distinct().limit(MOST_CHOICES + 1).collect()]
-        keyed = sorted((n.lower(), n) for n in names)
-        miss = residual.filter(_C("field") == lst).select(F.lower(F.trim("raw")).alias("raw"))
-        done = fuzzy_match(miss, "raw", keyed, cutoff=0.9)
-        done = done.select(F.lit(lst).alias("field"), "raw", "canonical", "score", F.array_join("suggestions", " | ").alias("suggestions"))
-        both = done if both is None else both.unionAll(done)
-    return both
+    """Choices of both lists with all stages, method and suggestions."""
+    return _matched(spark, d, lambda entries, lst: Z.choice_stages(entries), fuzzy=True).withColumn("suggestions", F.array_join("suggestions", " | "))
+
 
+_PLACE = "trim(regexp_replace(regexp_replace({}, '[()\\[\\]*''’`\".,;/_-]+', ' ', 'g'), '[\\s\\p{{Z}}]+', ' ', 'g'))"
+_BARE = "trim(replace(lower(strip_accents(coalesce({}, ''))), '&', ' and '))"
+_ALIAS = ", ".join("('{}', '{}', '{}')".format(lst, k.replace("'", "''"), v.replace("'", "''")) for lst, t in (("countries", Z.COUNTRY_ALIASES), ("regions", Z.REGION_ALIASES)) for k, v in t.items())
+_GEO = f"""WITH l AS (SELECT lst, trim(name) AS name, upper(trim(coalesce(code, ''))) AS code, {_PLACE.format("CASE WHEN lst = 'countries' THEN replace(" + _BARE.format('name') + ", '(the)', '') ELSE " + _BARE.format('name') + " END")} AS k FROM {_UNION} WHERE trim(coalesce(name, '')) <> ''),
+ al(lst, k, name) AS (VALUES {_ALIAS}), co AS (SELECT lst, code AS k, max(name) AS c FROM l WHERE code <> '' GROUP BY 1, 2), lo AS (SELECT lst, lower(name) AS k, max(name) AS c FROM l GROUP BY 1, 2),
+ ak AS (SELECT DISTINCT al.lst, al.k, al.name AS c FROM al JOIN l ON l.lst = al.lst AND l.name = al.name),
+ no AS (SELECT lst, k, min(name) AS c FROM (SELECT lst, k, name FROM l UNION ALL SELECT lst, regexp_replace(k, '^the\\s+', ''), name FROM l WHERE lst = 'countries') WHERE k <> '' GROUP BY 1, 2),
+ r AS (SELECT match_id, field, raw, regexp_replace(coalesce(raw, ''), {TRIM}, '', 'g') AS t, {_PLACE.format("CASE WHEN field = 'countries' THEN replace(" + _BARE.format('raw') + ", '(the)', '') ELSE " + _BARE.format('raw') + " END")} AS k FROM choice_matches)
+ SELECT match_id, field, raw, coalesce(co.c, lo.c, ak.c, no.c) AS canonical, CASE WHEN t = '' THEN 'empty' WHEN co.c IS NOT NULL THEN 'code' WHEN lo.c IS NOT NULL THEN 'exact_name' WHEN ak.c IS NOT NULL THEN 'alias' WHEN no.c IS NOT NULL THEN 'normalized_name' ELSE 'unmapped' END AS method
+ FROM r LEFT JOIN co ON co.lst = field AND co.k = upper(t) LEFT JOIN lo ON lo.lst = field AND lo.k = lower(t) LEFT JOIN ak ON ak.lst = field AND ak.k = r.k LEFT JOIN no ON no.lst = field AND no.k = r.k"""
 
-@query("""SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) % 3 AS backend FROM events WHERE event_id < 0 UNION ALL SELECT event_id, event_id % 3 FROM events""")
+
+@query(_GEO)
+def place_cascade(spark: SparkSession, d: str) -> DataFrame:
+    """Countries and regions by code, name, alias and normalised name."""
+    return _matched(spark, d, lambda entries, lst: Z.place_stages(entries, lst == "countries"), fuzzy=False).drop("suggestions")
+
+
+@query()
+def place_fuzzy(spark: SparkSession, d: str) -> DataFrame:
+    """Countries and regions with all stages, method and suggestions."""
+    done = _matched(spark, d, lambda entries, lst: Z.place_stages(entries, lst == "countries"), True, {"regions": Z.REGION_CUTOFF})
+    return done.withColumn("suggestions", F.array_join("suggestions", " | "))
+
+
+@query(f"""WITH {_CASCADE[5:]}, v AS (SELECT row_id, trim(regexp_replace(x, {TRIM}, '', 'g')) AS raw, i FROM (SELECT row_id, unnest(string_split(regions, ';')) AS x, generate_subscripts(string_split(regions, ';'), 1) AS i FROM resources WHERE regions IS NOT NULL) WHERE regexp_replace(x, {TRIM}, '', 'g') <> ''),
+ o AS (SELECT row_id, row_number() OVER (ORDER BY row_id) AS rn FROM resources),
+ s AS (SELECT o.rn, v.raw, v.i, coalesce(ex.canonical, no.canonical, ca.canonical) AS c FROM v JOIN o ON o.row_id = v.row_id LEFT JOIN ex ON ex.lst = 'regions' AND ex.k = v.raw LEFT JOIN no ON no.lst = 'regions' AND no.k = {_K.format('v.raw')} LEFT JOIN ca ON ca.lst = 'regions' AND ca.k = {_K.format('v.raw')})
+ SELECT 'cell' AS kind, rn AS row_no, string_agg(coalesce(c, raw), ',' ORDER BY i) AS val FROM s GROUP BY rn UNION ALL SELECT 'issue', rn + 1, raw FROM s WHERE c IS NULL""")
+def mapped_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Regions of resources mapped in place, and an issue for each value without an entry, by row of the sheet."""
+    cells = R.global_index(table(spark, d, "resources").select("row_id", "regions"), "row_id").filter("regions IS NOT NULL")
+    parts = F.filter(F.transform(F.split("regions", ";"), strip), lambda x: x != "")
+    cells = cells.select(_C("idx").cast("long").alias("row_no"), parts.alias("items"))
+    found = Z.match_values(cells.select(F.explode("items").alias("v")), "v", Z.choice_stages(table(spark, d, "regions")), fuzzy=False)
+    done, issues = Z.map_list_cells(cells, "row_no", "items", found)
+    return done.select(F.lit("cell").alias("kind"), "row_no", _C("cell").alias("val")).unionAll(issues.select(F.lit("issue"), "row_no", "raw"))
+
+
+@query(f"""WITH t AS (SELECT DISTINCT trim(name) AS c, {_K.format('tok')} AS n, trim(tok) AS x FROM (SELECT name, unnest([name, code, id]) AS tok FROM regions) WHERE trim(coalesce(tok, '')) <> ''),
+ ex AS (SELECT x AS k, min(c) AS c FROM t GROUP BY 1 HAVING count(DISTINCT c) = 1), no AS (SELECT n AS k, min(c) AS c FROM t WHERE n <> '' GROUP BY 1 HAVING count(DISTINCT c) = 1),
+ r AS (SELECT match_id, regexp_replace(coalesce(raw, ''), {TRIM}, '', 'g') AS a, regexp_replace(coalesce(mapped, ''), {TRIM}, '', 'g') AS b FROM choice_matches),
+ m AS (SELECT match_id, a, b, coalesce(ea.c, na.c, eb.c, nb.c) AS hit FROM r LEFT JOIN ex ea ON ea.k = a LEFT JOIN no na ON na.k = {_K.format('a')} LEFT JOIN ex eb ON eb.k = b LEFT JOIN no nb ON nb.k = {_K.format('b')})
+ SELECT match_id, coalesce(hit, '') AS organisation, CASE WHEN hit IS NOT NULL THEN '' WHEN a <> '' AND b = '' THEN a ELSE b END AS other FROM m""")
+def external_values(spark: SparkSession, d: str) -> DataFrame:
+    """A value, else another, mapped to an external list; what has no entry moves to the other field."""
+    rows = table(spark, d, "choice_matches").select("match_id", _C("raw").alias("organisation"), _C("mapped").alias("other"))
+    return Z.external_organisations(rows, "organisation", "other", table(spark, d, "regions").select("name", "code", "id"), fuzzy=False)
+
+
+@query("""SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) % 7 AS backend FROM orders""")
 def round_robin(spark: SparkSession, d: str) -> DataFrame:
     """Backend of each dense index, without a global window."""
-    return R.global_index(table(spark, d, "events").select("event_id"), "event_id").select("event_id", ((_C("idx") - 1) % 3).alias("backend"))
+    return R.global_index(table(spark, d, "orders").select("o_orderkey"), "o_orderkey").select("o_orderkey", ((_C("idx") - 1) % 7).alias("backend"))
 
 
 @query("""SELECT l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS rn FROM lineitem) WHERE rn <= 2""")
@@ -329,17 +384,17 @@ def project_row(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH p AS (SELECT resource, row_id, first_name, last_name, email FROM contacts WHERE resource IS NOT NULL AND length(trim(coalesce(first_name, ''))) > 1),
- c AS (SELECT row_id, resource, first_name, last_name, email FROM contacts WHERE resource IS NOT NULL),
+ c AS (SELECT row_id, resource, first_name, last_name, email FROM contacts),
  h AS (SELECT c.row_id, min(p.row_id) AS hit FROM c JOIN p ON p.resource = c.resource AND ((lower(trim(coalesce(p.email, ''))) <> '' AND lower(trim(p.email)) = lower(trim(c.email))) OR (lower(trim(coalesce(p.last_name, ''))) <> '' AND lower(trim(p.last_name)) = lower(trim(c.last_name)))) GROUP BY 1),
  r AS (SELECT c.*, length(trim(coalesce(c.first_name, ''))) <= 1 AS short, p.first_name AS pf, p.last_name AS pl, p.email AS pe FROM c LEFT JOIN h ON h.row_id = c.row_id LEFT JOIN p ON p.row_id = h.hit)
  SELECT row_id, CASE WHEN short THEN coalesce(pf, first_name) ELSE first_name END AS first_name, CASE WHEN short AND trim(coalesce(last_name, '')) = '' THEN pl ELSE last_name END AS last_name,
   CASE WHEN short AND trim(coalesce(email, '')) = '' THEN pe ELSE email END AS email FROM r""")
 def contact_repair(spark: SparkSession, d: str) -> DataFrame:
     """Contacts without a first name completed from the people of their resource (the first match by row_id)."""
-    c = table(spark, d, "contacts").filter("resource IS NOT NULL").select("row_id", "resource", "first_name", "last_name", "email")
+    c = table(spark, d, "contacts").select("row_id", "resource", "first_name", "last_name", "email")
     low = lambda x: F.lower(F.trim(F.coalesce(x, F.lit(""))))
     # Only people who share a key with a contact meet it: equi-joins, one person a contact and key.
-    people = c.filter("length(trim(coalesce(first_name, ''))) > 1")
+    people = c.filter("resource IS NOT NULL AND length(trim(coalesce(first_name, ''))) > 1")
     hits = None
     for key in ("email", "last_name"):
         firsts = people.select("resource", low(_C(key)).alias("k"), F.struct("row_id", "first_name", "last_name", "email").alias("p")).filter("k <> ''").groupBy("resource", "k").agg(F.min("p").alias("p"))

@@ -27,6 +27,20 @@ def query(sql: str | None = None):
 
 _C = F.col
 TRIM = r"'^[\s\p{Z}]+|[\s\p{Z}]+$'"
+WS = r"'[\s\x0b\x1c-\x1f\x{85}\p{Z}]+'"
+
+
+def _nws(x: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(replace(coalesce({x}, ''), chr(173), ''), '[‐-—]', '-', 'g'), {WS}, ' ', 'g'))"
+
+
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    """(src, id, text) of all papers and documents."""
+    p = table(spark, d, "pdf_text").select(F.lit("paper").alias("src"), _C("paper_id").alias("id"), _C("paper_text").alias("text"))
+    return p.unionAll(table(spark, d, "documents").select(F.lit("document"), "doc_id", "text"))
+
+
+_TEXTS = "(SELECT 'paper' AS src, paper_id AS id, paper_text AS text FROM pdf_text UNION ALL SELECT 'document', doc_id, text FROM documents)"
 
 
 def _sq(x: str) -> str:
@@ -71,33 +85,38 @@ def weak_papers(spark: SparkSession, d: str) -> DataFrame:
     return p.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(_C("w"), 1)).alias("weak"))
 
 
-@query("""SELECT row_id, trim(regexp_replace(regexp_replace(replace(concat('  a', chr(160), coalesce(description, ''), chr(8211), 'b', chr(173), 'c'), chr(173), ''),
- '[‐‑‒–—]', '-', 'g'), '[\\s' || chr(160) || ']+', ' ', 'g')) AS clean FROM resources""")
+@query(f"SELECT src, id, length({_nws('text')}) AS n, md5({_nws('text')}) AS digest FROM {_TEXTS}")
 def ws_normalize(spark: SparkSession, d: str) -> DataFrame:
     """T10"""
-    dirty = F.concat(F.lit("  a "), F.coalesce("description", F.lit("")), F.lit("–b­c"))
-    return table(spark, d, "resources").select("row_id", T.normalize_ws(dirty).alias("clean"))
+    clean = T.normalize_ws(_C("text"))
+    return _texts(spark, d).select("src", "id", F.length(clean).cast("long").alias("n"), F.md5(F.encode(clean, "utf-8")).alias("digest"))
 
 
-@query("""WITH t AS (SELECT o_orderkey, concat('see https://doi.org/10.1000/', o_orderkey, '.', o_orderstatus, '), and more') AS s,
-   CASE WHEN o_orderkey % 3 = 0 THEN concat('doi: 10.1000/', o_orderkey, '.') WHEN o_orderkey % 3 = 1 THEN concat('https://dx.doi.org/10.1000/', o_orderkey) ELSE concat(' ID ', o_orderkey, ' ') END AS i FROM orders)
- SELECT o_orderkey, regexp_replace(regexp_extract(s, '\\b(10\\.\\d{4,9}/[-._;()/:A-Za-z0-9]+)\\b', 1), '[.,;:)]+$', '') AS doi,
-  CASE WHEN o_orderkey % 3 = 2 THEN trim(i) ELSE concat('10.1000/', o_orderkey) END AS ident,
-  CASE WHEN o_orderkey % 3 = 2 THEN '' ELSE concat('https://doi.org/10.1000/', o_orderkey) END AS link FROM t""")
+_DOI = r"10\.\d{4,9}/[-._;()/:A-Za-z0-9]+"
+_BARE = "regexp_replace(regexp_replace(regexp_replace({}, '^(https?://)?(dx\\.)?doi\\.org/', '', 'i'), '^doi:\\s*', '', 'i'), '[.,;:)]+$', '')"
+
+
+@query(f"""WITH t AS (SELECT src, id, regexp_replace(regexp_extract({_nws('text')}, '\\b({_DOI})\\b', 1), '[.,;:)]+$', '') AS doi FROM {_TEXTS}),
+ c AS (SELECT src, id, doi, CASE id % 4 WHEN 0 THEN concat(' doi: ', doi, '.') WHEN 1 THEN concat('HTTPS://dx.doi.org/', doi) WHEN 2 THEN concat(doi, ' and more') ELSE doi END AS cell FROM t WHERE doi <> '')
+ SELECT src, id, doi, CASE WHEN id % 4 = 2 THEN trim(cell) ELSE doi END AS ident, CASE WHEN regexp_full_match({_BARE.format('trim(cell)')}, '{_DOI}') THEN concat('https://doi.org/', {_BARE.format('trim(cell)')}) ELSE '' END AS link FROM c""")
 def doi_first(spark: SparkSession, d: str) -> DataFrame:
-    """T11, T15, N8"""
-    k = _C("o_orderkey")
-    s = F.concat(F.lit("see https://doi.org/10.1000/"), k, F.lit("."), _C("o_orderstatus"), F.lit("), and more"))
-    i = F.when(k % 3 == 0, F.concat(F.lit("doi: 10.1000/"), k, F.lit("."))).when(k % 3 == 1, F.concat(F.lit("https://dx.doi.org/10.1000/"), k)).otherwise(F.concat(F.lit(" ID "), k, F.lit(" ")))
-    return table(spark, d, "orders").select("o_orderkey", T.first_doi(s).alias("doi"), T.identifier(i).alias("ident"), N.to_hyperlink(i, doi=True).alias("link"))
+    """The first DOI of every text, read again from the forms in which people write it."""
+    doi, k = _C("doi"), _C("id") % 4
+    cell = F.when(k == 0, F.concat(F.lit(" doi: "), doi, F.lit("."))).when(k == 1, F.concat(F.lit("HTTPS://dx.doi.org/"), doi)).when(k == 2, F.concat(doi, F.lit(" and more"))).otherwise(doi)
+    found = _texts(spark, d).select("src", "id", T.first_doi(T.normalize_ws(_C("text"))).alias("doi")).filter("doi IS NOT NULL")
+    return found.select("src", "id", "doi", T.identifier(cell).alias("ident"), N.to_hyperlink(cell, doi=True).alias("link"))
+
 
+_PART = "(?i)\\b(?:about|approximately|approx\\.?|circa|around|at least)?\\s*(\\d{2,6})\\s*(?:patients|participants)\\s*(?:will be included|included)\\b"
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 1000000 >= 10 THEN CAST(o_orderkey % 1000000 AS BIGINT) END AS n FROM orders""")
+
+@query(f"""WITH t AS (SELECT src, id, text FROM {_TEXTS} UNION ALL SELECT 'plan', row_id, concat('In all about', chr(160), number_of_participants, ' participants  ', CASE WHEN row_id % 2 = 0 THEN 'will be ' ELSE '' END, 'included.') FROM resources)
+ SELECT src, id, CAST(nullif(regexp_extract({_nws('text')}, '{_PART}', 1), '') AS BIGINT) AS n FROM t""")
 def participant_hint(spark: SparkSession, d: str) -> DataFrame:
-    """T12"""
-    k = _C("o_orderkey")
-    s = F.when(k % 2 == 0, F.concat(F.lit("In all "), k % 1000000, F.lit(" patients will be  included."))).otherwise(F.concat(k, F.lit(" letters were included")))
-    return table(spark, d, "orders").select("o_orderkey", T.participant_hint(s).alias("n"))
+    """Of every paper and document, and of a plan's sentence about every resource."""
+    s = F.concat(F.lit("In all about\u00a0"), _C("number_of_participants").cast("string"), F.lit(" participants  "), F.when(_C("row_id") % 2 == 0, "will be ").otherwise(""), F.lit("included."))
+    plans = table(spark, d, "resources").select(F.lit("plan").alias("src"), _C("row_id").alias("id"), s.alias("text"))
+    return _texts(spark, d).unionAll(plans).select("src", "id", T.participant_hint(_C("text")).alias("n"))
 
 
 _SAMPLES = ", ".join(f"CASE WHEN regexp_matches(coalesce(text, ''), '(?i)\\b{t.lower()}\\b') THEN '{t}' END" for t in T.SAMPLE_TYPES)
@@ -109,16 +128,25 @@ def sample_types(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.array_join(T.sample_types(_C("text")), ";").alias("types"))
 
 
-@query("""SELECT p_partkey, CASE WHEN length(p_name) > 0 THEN concat(array_to_string(list_slice(string_split(concat('study of big ', p_name), ' '), -4, -1), ' '), ' dataset') END AS hint
- FROM (SELECT p_partkey, p_name FROM part)""")
-def dataset_hint(spark: SparkSession, d: str) -> DataFrame:
-    """Names of data sets, here all of two words."""
-    s = F.concat(F.lit("9, the study of big "), _C("p_name"), F.lit(" dataset. THE STUDY OF BIG "), F.upper("p_name"), F.lit(" dataset"))
-    hint = F.try_element_at(T.dataset_hints(s), F.lit(1))
-    return table(spark, d, "part").select("p_partkey", F.regexp_replace(hint, "^study of big ", "of big ").alias("hint"))
+_DS = "(?i)\\b([A-Za-z0-9][A-Za-z0-9''()/\\- ]{0,60}\\bdataset)\\b"
 
 
-SQL["dataset_hint"] = "SELECT p_partkey, concat('of big ', p_name, ' dataset') AS hint FROM part"
+@query(f"""WITH t AS (SELECT src, id, text FROM {_TEXTS} UNION ALL SELECT 'plan', row_id, concat('We used 2 sets: the ', name, ' (NL) dataset, of the ', type, '/', acronym, ' dataset; THE ', upper(name), ' (NL) dataset. A dataset; The 3rd wave of an 1980''s follow-up dataset') FROM resources),
+ m AS (SELECT src, id, unnest(regexp_extract_all({_nws('text')}, '{_DS}', 1)) AS p, generate_subscripts(regexp_extract_all({_nws('text')}, '{_DS}', 1), 1) AS i FROM t),
+ c AS (SELECT src, id, i, regexp_replace(array_to_string(list_slice(string_split({_nws('p')}, ' '), -6, -1), ' '), '^((and|or|the|a|an|of|for|in)( |$))+', '', 'i') AS h FROM m WHERE length({_nws('p')}) >= 8),
+ f AS (SELECT src, id, min(i) AS i, arg_min(h, i) AS h FROM c WHERE lower(h) NOT IN ('dataset', 'data set') AND trim(h) <> '' GROUP BY src, id, lower(trim(h))),
+ r AS (SELECT *, row_number() OVER (PARTITION BY src, id ORDER BY i) AS rn FROM f)
+ SELECT t.src, t.id, coalesce(h.hints, '') AS hints FROM t LEFT JOIN (SELECT src, id, string_agg(h, ' | ' ORDER BY i) AS hints FROM r WHERE rn <= 3 GROUP BY 1, 2) h ON h.src = t.src AND h.id = t.id""")
+def dataset_hint(spark: SparkSession, d: str) -> DataFrame:
+    """Of every paper and document, and of a sentence about every resource."""
+    s = F.concat(
+        F.lit("We used 2 sets: the "), _C("name"), F.lit(" (NL) dataset, of the "), _C("type"), F.lit("/"), _C("acronym"), F.lit(" dataset; THE "), F.upper("name"),
+        F.lit(" (NL) dataset. A dataset; The 3rd wave of an 1980's follow-up dataset"),
+    )
+    none = lambda c: F.coalesce(_C(c), F.lit("")).alias(c)
+    r = table(spark, d, "resources").select("row_id", none("name"), none("type"), none("acronym"))
+    plans = r.select(F.lit("plan").alias("src"), _C("row_id").alias("id"), s.alias("text"))
+    return _texts(spark, d).unionAll(plans).select("src", "id", F.array_join(T.dataset_hints(_C("text")), " | ").alias("hints"))
 
 
 @query(r"""WITH n AS (SELECT paper_id, regexp_replace(regexp_replace(coalesce(path, ''), '/+$', ''), '^.*/', '') AS f FROM pdf_text),
@@ -169,21 +197,32 @@ def event_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "collection_events").select("row_id", T.event_name(_C("name")).alias("event"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'Registry; Hospital data' ELSE concat('Registry; Hospital data; ', o_orderstatus) END AS options,
- CASE WHEN o_orderkey % 2 = 0 THEN concat('Data ', o_orderkey, ' are available upon request.') END AS access FROM orders""")
+_REQ = "available (?:upon|on) request|upon reasonable request|made available on request"
+_FEE = "(?i)\\b(fee|cost|charge|payment|paid|pricing|subscription)\\b"
+
+
+@query(f"""WITH r AS (SELECT row_id, access_rights, data_access_fee, concat(coalesce(description, ''), CASE row_id % 3 WHEN 0 THEN ' The data are available  on request. There is no charge.' WHEN 1 THEN ' Files: upon reasonable request!' ELSE ' Closed.' END) AS s, keywords FROM resources),
+ k AS (SELECT row_id, regexp_replace(x, {TRIM}, '', 'g') AS o, i FROM (SELECT row_id, unnest(regexp_split_to_array(coalesce(keywords, ''), '[;,]')) AS x, generate_subscripts(regexp_split_to_array(coalesce(keywords, ''), '[;,]'), 1) AS i FROM r)),
+ l AS (SELECT row_id, string_agg(o, '; ' ORDER BY i) AS options FROM (SELECT row_id, arg_min(o, i) AS o, min(i) AS i FROM k WHERE o <> '' AND NOT regexp_matches(o, '(?i)\\b(survival|mortality|outcome|response|recurrence)\\b') GROUP BY row_id, lower(o)) GROUP BY row_id)
+ SELECT r.row_id, coalesce(l.options, '') AS options, CASE WHEN trim(coalesce(access_rights, '')) = '' AND regexp_matches({_nws('s')}, '(?i){_REQ}') THEN 'Restricted access' ELSE access_rights END AS rights,
+  nullif(substr(trim(regexp_extract({_nws('s')}, '(?i)([^.]*(?:{_REQ})[^.]*\\.)', 1)), 1, 400), '') AS sentence, CASE WHEN data_access_fee AND NOT regexp_matches({_nws('s')}, '{_FEE}') THEN NULL ELSE data_access_fee END AS fee
+ FROM r LEFT JOIN l ON l.row_id = r.row_id""")
 def linkage_access(spark: SparkSession, d: str) -> DataFrame:
-    """T23, T24"""
-    k = _C("o_orderkey")
-    s = F.concat(F.lit("Registry, mortality ; registry; Hospital data,survival rate;"), F.when(k % 2 == 0, F.lit(" ")).otherwise(_C("o_orderstatus")))
-    a = F.when(k % 2 == 0, F.concat(F.lit("First. Data "), k, F.lit(" are available upon request. Last."))).otherwise(F.lit("No data."))
-    return table(spark, d, "orders").select(
-        "o_orderkey", T.drop_tokens(s, "(?i)mortality|survival").alias("options"), T.sentence_with(a, "available (?:up)?on (?:reasonable )?request").alias("access")
+    """Keywords as linkage options, and the terms of access that the description tells."""
+    tail = F.when(_C("row_id") % 3 == 0, " The data are available  on request. There is no charge.").when(_C("row_id") % 3 == 1, " Files: upon reasonable request!").otherwise(" Closed.")
+    s = F.concat(F.coalesce("description", F.lit("")), tail)
+    return table(spark, d, "resources").select(
+        "row_id", T.drop_tokens(_C("keywords"), T.OUTCOMES).alias("options"), T.access_rights(_C("access_rights"), s).alias("rights"), T.sentence_with(s).alias("sentence"),
+        T.access_fee(_C("data_access_fee"), s).alias("fee"),
     )
 
 
-@query(r"""WITH c AS (SELECT 'country' AS lst, code, name, regexp_replace(replace(lower(strip_accents(name)), '&', ' and '), '\(the\)', ' ', 'g') AS k FROM countries
+_GEO = "regexp_replace(regexp_replace({}, '[()\\[\\]*''’`\".,;/_-]+', ' ', 'g'), '\\s+', ' ', 'g')"
+
+
+@query(f"""WITH c AS (SELECT 'country' AS lst, code, name, replace(replace(lower(strip_accents(name)), '&', ' and '), '(the)', '') AS k FROM countries
   UNION ALL SELECT 'region', code, name, replace(lower(strip_accents(name)), '&', ' and ') FROM regions)
- SELECT lst, code, name, trim(regexp_replace(regexp_replace(k, '[^a-z0-9\s]+', ' ', 'g'), '\s+', ' ', 'g')) AS k FROM c""")
+ SELECT lst, code, name, trim({_GEO.format('k')}) AS k FROM c""")
 def geo_keys(spark: SparkSession, d: str) -> DataFrame:
     """T18"""
     c = table(spark, d, "countries").select(F.lit("country").alias("lst"), "code", "name", T.geo_key(_C("name")).alias("k"))
@@ -208,43 +247,77 @@ def chunk_text(spark: SparkSession, d: str) -> DataFrame:
     return c.select("paper_id", "idx", F.length("chunk").alias("n_chars"), F.md5(F.encode("chunk", "utf-8")).alias("digest"))
 
 
-@query()
+_HEAD = "(?im)^\\s*(?:\\d{1,2}(?:\\.\\d+)?\\s*)?(?:references?|bibliography|works\\s+cited|literature\\s+cited|reference\\s+list)\\s*:?\\s*$"
+_SIGNS = (("\\[\\d{1,3}\\]", 3), ("(?i)\\(\\d{4}[a-z]?\\)", 3), ("(?i)\\b10\\.\\d{4,9}/\\S+", 1), ("(?i)\\b(?:doi|vol\\.?|pp\\.?|et al\\.)\\b", 4), ("\\b\\d{4}\\b", 12))
+_TOLD = " + ".join(f"(len(regexp_extract_all(tail, '{sign}')) >= {k})::INT" for sign, k in _SIGNS)
+
+
+# The k-th heading begins behind the texts before it and the headings before it.
+@query(f"""WITH p AS (SELECT paper_id, paper_text AS t, length(paper_text) AS n, regexp_extract_all(paper_text, '{_HEAD}') AS heads, regexp_split_to_array(paper_text, '{_HEAD}') AS gaps FROM pdf_text WHERE paper_text IS NOT NULL),
+ h AS (SELECT paper_id, t, n, k, CAST(list_sum(list_transform(gaps[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(heads[1:k - 1], lambda x: length(x))), 0) AS BIGINT) AS pos FROM (SELECT *, unnest(range(1, len(heads) + 1)) AS k FROM p)),
+ g AS (SELECT *, substr(t, pos + 1) AS tail FROM h WHERE pos >= CAST(floor(0.35 * n) AS BIGINT)),
+ c AS (SELECT paper_id, min(pos) AS pos FROM g WHERE length(tail) >= 600 AND {_TOLD} >= 2 GROUP BY paper_id),
+ r AS (SELECT p.paper_id, p.t, p.n, regexp_replace(substr(p.t, 1, c.pos), '[\\s\\x0b\\x1c-\\x1f\\x{{85}}\\p{{Z}}]+$', '') AS kept FROM p LEFT JOIN c ON c.paper_id = p.paper_id),
+ o AS (SELECT paper_id, n, CASE WHEN kept IS NULL OR length(kept) < greatest(1000, floor(0.2 * n)) THEN t ELSE kept END AS o FROM r)
+ SELECT q.paper_id, length(q.paper_text) AS n_before, length(o.o) AS n_after, md5(o.o) AS digest FROM pdf_text q LEFT JOIN o ON o.paper_id = q.paper_id""")
 def reference_strip(spark: SparkSession, d: str) -> DataFrame:
     """Papers without their reference lists."""
     p = spread(table(spark, d, "pdf_text").select("paper_id", "paper_text"))
-    return p.select("paper_id", F.length("paper_text").alias("n_before"), F.length(T.strip_references(_C("paper_text"))).alias("n_after"))
+    return p.select("paper_id", _C("paper_text").alias("before"), T.strip_references(_C("paper_text")).alias("t")).select(
+        "paper_id", F.length("before").cast("long").alias("n_before"), F.length("t").cast("long").alias("n_after"), F.md5(F.encode("t", "utf-8")).alias("digest")
+    )
 
 
-@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN CAST(o_orderkey AS BIGINT) WHEN 1 THEN CAST(o_orderkey AS BIGINT) WHEN 2 THEN -CAST(o_orderkey AS BIGINT) END AS whole,
-  CASE o_orderkey % 5 WHEN 0 THEN CAST(o_orderkey AS BIGINT) WHEN 1 THEN CAST(o_orderkey AS BIGINT) END AS non_negative FROM orders""")
+@query(f"""WITH t AS (SELECT src, id, regexp_extract(text, '[+-]?[0-9][0-9.,]*', 0) AS raw FROM {_TEXTS} UNION ALL SELECT 'wide', row_id, concat('-000', row_id, '1234567890123456789012') FROM resources
+  UNION ALL SELECT 'float', row_id, concat('+', row_id, '.00') FROM resources),
+ n AS (SELECT src, id, raw, CASE WHEN regexp_full_match(raw, '[+-]?[0-9]+') THEN CAST(CAST(raw AS HUGEINT) AS VARCHAR) WHEN regexp_full_match(raw, '[+-]?[0-9]+\\.0+') THEN CAST(CAST(CAST(raw AS DOUBLE) AS HUGEINT) AS VARCHAR) END AS whole FROM t)
+ SELECT src, id, raw, whole, CASE WHEN whole NOT LIKE '-%' THEN whole END AS non_negative FROM n""")
 def coerce_int(spark: SparkSession, d: str) -> DataFrame:
-    """N4"""
-    k = _C("o_orderkey").cast("string")
-    s = F.when(_C("o_orderkey") % 5 == 0, k).when(_C("o_orderkey") % 5 == 1, F.concat(F.lit(" "), k, F.lit(".00 "))).when(_C("o_orderkey") % 5 == 2, F.concat(F.lit("-"), k))
-    s = s.when(_C("o_orderkey") % 5 == 3, F.concat(k, F.lit(".5"))).otherwise(F.lit("n/a"))
-    return table(spark, d, "orders").select("o_orderkey", N.to_int(s).alias("whole"), N.to_int(s, True).alias("non_negative"))
+    """The first number of every text, and wide and float forms of every resource's."""
+    r = table(spark, d, "resources")
+    cells = (
+        _texts(spark, d).select("src", "id", F.regexp_extract("text", "[+-]?[0-9][0-9.,]*", 0).alias("raw"))
+        .unionAll(r.select(F.lit("wide"), "row_id", F.concat(F.lit("-000"), "row_id", F.lit("1234567890123456789012"))))
+        .unionAll(r.select(F.lit("float"), "row_id", F.concat(F.lit("+"), "row_id", F.lit(".00"))))
+    )
+    return cells.select("src", "id", "raw", N.int_text(_C("raw")).alias("whole"), N.int_text(_C("raw"), True).alias("non_negative"))
 
 
-@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'true' WHEN 1 THEN 'false' WHEN 2 THEN 'true' ELSE '' END AS b,
-  CASE o_orderkey % 5 WHEN 0 THEN 'true' WHEN 2 THEN 'true' ELSE 'false' END AS b_or_false FROM orders""")
+@query(f"""WITH t AS (SELECT 'resources' AS tbl, row_id, CAST(data_access_fee AS VARCHAR) AS raw FROM resources UNION ALL SELECT 'contacts', row_id, initials FROM contacts
+  UNION ALL SELECT 'numbers', row_id, CAST(row_id % 3 AS VARCHAR) FROM contacts UNION ALL SELECT 'words', row_id, CASE WHEN is_lead_organisation THEN ' YES' ELSE 'No ' END FROM organisations),
+ b AS (SELECT *, lower(regexp_replace(coalesce(raw, ''), {TRIM}, '', 'g')) AS s FROM t)
+ SELECT tbl, row_id, CASE WHEN s IN ('true', '1', 'yes', 'y') THEN 'true' WHEN s IN ('false', '0', 'no', 'n') THEN 'false' ELSE '' END AS b, CASE WHEN s IN ('true', '1', 'yes', 'y') THEN 'true' ELSE 'false' END AS b_or_false FROM b""")
 def coerce_bool(spark: SparkSession, d: str) -> DataFrame:
     """N5, N6"""
-    s = F.element_at(F.array(*map(F.lit, (" Yes ", "N", "1", "maybe", ""))), (_C("o_orderkey") % 5 + 1).cast("int"))
-    return table(spark, d, "orders").select("o_orderkey", N.to_bool(s).alias("b"), N.to_bool_or_false(s).alias("b_or_false"))
+    contacts = table(spark, d, "contacts")
+    cells = (
+        table(spark, d, "resources").select(F.lit("resources").alias("tbl"), "row_id", _C("data_access_fee").cast("string").alias("raw"))
+        .unionAll(contacts.select(F.lit("contacts"), "row_id", "initials")).unionAll(contacts.select(F.lit("numbers"), "row_id", (_C("row_id") % 3).cast("string")))
+        .unionAll(table(spark, d, "organisations").select(F.lit("words"), "row_id", F.when(_C("is_lead_organisation"), " YES").otherwise("No ")))
+    )
+    return cells.select("tbl", "row_id", N.to_bool(_C("raw")).alias("b"), N.to_bool_or_false(_C("raw")).alias("b_or_false"))
 
 
-_DATE = """CASE WHEN regexp_matches(s, '^\\d{4}-\\d{2}-\\d{2}( \\d{2}:\\d{2}(:\\d{2})?)?$') THEN try_cast(s AS TIMESTAMP)
-  WHEN regexp_matches(s, '^\\d{1,2}/\\d{1,2}/\\d{4}$') THEN try_strptime(s, '%d/%m/%Y') WHEN regexp_matches(s, '^\\d{1,2}-\\d{1,2}-\\d{4}$') THEN try_strptime(s, '%d-%m-%Y')
-  WHEN regexp_matches(s, '^\\d{1,2}\\.\\d{1,2}\\.\\d{4}$') THEN try_strptime(s, '%d.%m.%Y') WHEN regexp_matches(s, '^\\d{4}/\\d{1,2}/\\d{1,2}$') THEN try_strptime(s, '%Y/%m/%d')
-  WHEN regexp_matches(s, '^\\d{1,2} [A-Z][a-z]{2} \\d{4}$') THEN try_strptime(s, '%d %b %Y') WHEN regexp_matches(s, '^[A-Z][a-z]{2} \\d{1,2}, \\d{4}$') THEN try_strptime(s, '%b %d, %Y')
-  WHEN regexp_matches(s, '^\\d{1,2} [A-Z][a-z]{3,} \\d{4}$') THEN try_strptime(s, '%d %B %Y') WHEN regexp_matches(s, '^\\d{4}-\\d{2}-\\d{2}') THEN try_cast(substr(s, 1, 10) AS TIMESTAMP) END"""
+_FORMS = "['%Y-%m-%d', '%Y/%m/%d', '%d/%m/%Y', '%Y-%m-%d %H:%M', '%Y-%m-%d %H:%M:%S', '%Y/%m/%d %H:%M', '%Y/%m/%d %H:%M:%S', '%d/%m/%Y %H:%M', '%d/%m/%Y %H:%M:%S', '%Y-%m-%d %H:%M:%S.%f']"
 
 
-@query(f"""WITH e AS (SELECT row_id, regexp_replace(coalesce(start_date, ''), {TRIM}, '', 'g') AS s FROM collection_events), p AS (SELECT row_id, {_DATE} AS t FROM e)
- SELECT row_id, coalesce(strftime(t, '%Y-%m-%d'), '') AS start_date, coalesce(strftime(t, '%Y-%m-%d %H:%M:%S'), '') AS start_time FROM p""")
+@query(f"""WITH e AS (SELECT 'start' AS field, row_id, start_date AS raw FROM collection_events UNION ALL SELECT 'end', row_id, end_date FROM collection_events UNION ALL SELECT 'issued', row_id, issued FROM resources
+  UNION ALL SELECT 'loaded', row_id, strftime(loaded_at, '%Y-%m-%dT%H:%M:%S.%fZ') FROM resources UNION ALL SELECT 'zoned', row_id, strftime(loaded_at, '%Y-%m-%dT%H:%M+02:00') FROM resources
+  UNION ALL SELECT 'minutes', row_id, strftime(loaded_at, '%-d/%-m/%Y %H:%M') FROM resources UNION ALL SELECT 'compact', row_id, strftime(loaded_at, '%Y%m%dT%H%M%S') FROM resources UNION ALL SELECT 'dashed', row_id, strftime(loaded_at, '%d-%m-%Y') FROM resources),
+ s AS (SELECT field, row_id, regexp_replace(replace(replace(regexp_replace(coalesce(raw, ''), {TRIM}, '', 'g'), 'T', ' '), 'Z', ''), '\\s+', ' ', 'g') AS s FROM e),
+ p AS (SELECT field, row_id, coalesce(try_strptime(s, {_FORMS}), CASE WHEN regexp_full_match(s, '\\d{{8}} \\d{{6}}') THEN try_strptime(s, '%Y%m%d %H%M%S') END,
+  try_cast(nullif(regexp_extract(s, '^\\d{{4}}-\\d{{2}}-\\d{{2}}(?: \\d{{2}}:\\d{{2}}(?::\\d{{2}})?)?'), '') AS TIMESTAMP)) AS t FROM s)
+ SELECT field, row_id, coalesce(strftime(t, '%Y-%m-%d'), '') AS day, coalesce(strftime(t, '%Y-%m-%d %H:%M:%S'), '') AS moment FROM p""")
 def coerce_date(spark: SparkSession, d: str) -> DataFrame:
-    """N1, N2, N3"""
-    return table(spark, d, "collection_events").select("row_id", N.to_date_text(_C("start_date")).alias("start_date"), N.to_datetime_text(_C("start_date")).alias("start_time"))
+    """Typed dates, and times of loading in further forms."""
+    ev, r = table(spark, d, "collection_events"), table(spark, d, "resources")
+    cells = ev.select(F.lit("start").alias("field"), "row_id", _C("start_date").alias("raw")).unionAll(ev.select(F.lit("end"), "row_id", "end_date")).unionAll(r.select(F.lit("issued"), "row_id", "issued"))
+    forms = {
+        "loaded": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'", "zoned": "yyyy-MM-dd'T'HH:mm'+02:00'", "minutes": "d/M/yyyy HH:mm", "compact": "yyyyMMdd'T'HHmmss", "dashed": "dd-MM-yyyy",
+    }
+    for name, form in forms.items():
+        cells = cells.unionAll(r.select(F.lit(name), "row_id", F.date_format("loaded_at", form)))
+    return cells.select("field", "row_id", N.to_date_text(_C("raw")).alias("day"), N.to_datetime_text(_C("raw")).alias("moment"))
 
 
 @query(f"""SELECT row_id, CASE WHEN regexp_matches(e, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$') THEN e ELSE '' END AS email FROM (
@@ -255,12 +328,15 @@ def coerce_email(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "contacts").select("row_id", N.to_email(e).alias("email"))
 
 
-@query("""WITH w AS (SELECT row_id, CASE row_id % 4 WHEN 0 THEN replace(website, 'https://', 'http://') WHEN 1 THEN replace(website, 'https://', '') WHEN 2 THEN concat(website, ' x') ELSE website END AS w, website FROM resources)
- SELECT row_id, CASE WHEN website IS NULL OR trim(website) = '' OR row_id % 4 = 2 THEN '' ELSE regexp_replace(trim(website), '^https?://', 'https://') END AS website FROM w""")
+@query(f"""WITH w AS (SELECT row_id, CASE row_id % 5 WHEN 0 THEN replace(website, 'https://', 'http://') WHEN 1 THEN replace(website, 'https://', '') WHEN 2 THEN concat(website, ' x') WHEN 3 THEN concat(' ', replace(website, 'https://', 'www.')) ELSE website END AS w FROM resources),
+ t AS (SELECT row_id, regexp_replace(coalesce(w, ''), {TRIM}, '', 'g') AS s FROM w)
+ SELECT row_id, CASE WHEN regexp_matches(s, '^(?:https?://|www\\.)[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}(?::\\d+)?(?:[/?#]\\S*)?$') THEN CASE WHEN starts_with(s, 'www.') THEN concat('https://', s) ELSE s END
+  WHEN regexp_matches(s, '^[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}(?::\\d+)?(?:[/?#]\\S*)?$') THEN concat('https://', s) ELSE '' END AS website FROM t""")
 def coerce_hyperlink(spark: SparkSession, d: str) -> DataFrame:
     """N8"""
-    w, k = _C("website"), _C("row_id") % 4
-    s = F.when(k == 0, F.replace(w, F.lit("https://"), F.lit("http://"))).when(k == 1, F.replace(w, F.lit("https://"), F.lit(""))).when(k == 2, F.concat(w, F.lit(" x"))).otherwise(w)
+    w, k = _C("website"), _C("row_id") % 5
+    bare = lambda to: F.replace(w, F.lit("https://"), F.lit(to))
+    s = F.when(k == 0, bare("http://")).when(k == 1, bare("")).when(k == 2, F.concat(w, F.lit(" x"))).when(k == 3, F.concat(F.lit(" "), bare("www."))).otherwise(w)
     return table(spark, d, "resources").select("row_id", N.to_hyperlink(s).alias("website"))
 
 

@@ -14,10 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the cluster's own, else (tests, local mode) a fresh local one."""
+    """The shared folder for checkpoints: the cluster's own; in local mode (tests), where none is set, a fresh local one."""
     sc = spark.sparkContext
-    found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not found:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         found = tempfile.mkdtemp(prefix="studyloom-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(found)

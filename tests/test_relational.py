@@ -2,6 +2,8 @@ import json
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import random
+
 from pyspark.sql import functions as F
 
 from studyloom.functions import text as T
@@ -32,7 +34,7 @@ def test_identity_inheritance_and_defaults(spark, rows):
     df = spark.createDataFrame([(1, "k"), (2, "k"), (3, ""), (4, None)], "i long, k string")
     assert rows(R.first_by_identity(df, F.col("k"), "i").select("i")) == [(1,), (3,), (4,)]
     cols = spark.createDataFrame([("P", "a", 1, "int"), ("C", "a", 1, "text"), ("C", "b", 2, "int")], "tbl string, col string, pos long, kind string")
-    out = R.inherit_columns(spark, cols, spark.createDataFrame([("C", "P"), ("P", "C")], "tbl string, parent string"))
+    out = R.inherit_columns(cols, spark.createDataFrame([("C", "P"), ("P", "C")], "tbl string, parent string"))
     assert rows(out.filter("tbl = 'C'").select("col", "kind", "defined_in")) == [("a", "text", "C"), ("b", "int", "C")]
 
 
@@ -65,7 +67,7 @@ def test_chunk_table_nulls_and_empty(spark, rows):
 
 def test_fuzzy_needs_cutoff_and_margin(spark):
     v = spark.createDataFrame([("nothumbria",), ("abcd1",), (None,)], "raw string")
-    got = {r.raw: (r.canonical, r.suggestions[0]) for r in fuzzy_match(v, "raw", [("northumbria", "Northumbria"), ("abcd2", "X"), ("abcd3", "Y")], cutoff=0.7).collect()}
+    got = {r.raw: (r.canonical, r.suggestions[0]) for r in fuzzy_match(v, "raw", spark.createDataFrame([("northumbria", "Northumbria"), ("abcd2", "X"), ("abcd3", "Y")], "key string, canonical string"), cutoff=0.7).collect()}
     assert got["nothumbria"] == ("Northumbria", "Northumbria") and got["abcd1"][0] is None
 
 
@@ -96,21 +98,59 @@ def test_fuzzy_residual_covers_both_lists(spark, tmp_path):
     spark.createDataFrame([("Northumbria", None, None, "NO")], entry).write.parquet(f"{tmp_path}/regions.parquet")
     raw = [(1, "countries", "Xylandaniaa"), (2, "regions", "Northumbrja"), (3, "regions", "Northumbria"), (4, "regions", " ")]
     spark.createDataFrame(raw, "match_id long, field string, raw string").write.parquet(f"{tmp_path}/choice_matches.parquet")
-    got = {(r.field, r.raw): r.canonical for r in ontology_fuzzy(spark, str(tmp_path)).collect()}
-    assert got == {("countries", "xylandaniaa"): "Xylandania", ("regions", "northumbrja"): "Northumbria"}
-
-
-def test_slugs_are_unique_when_numbers_or_cuts_clash(spark):
-    slugs = ["a", "a", "a-2", "a", "a-2", "a-4", *("x" * 80 + c for c in "abab"), "x" * 76, "x" * 76]
-    got = [r.uid for r in R.unique_slugs(spark.createDataFrame(list(enumerate(slugs)), "row long, slug string"), "slug", "row").orderBy("row").collect()]
-    assert got[:6] == ["a", "a-3", "a-2", "a-5", "a-2-2", "a-4"]
-    assert len(set(got)) == len(slugs) and all(len(u) <= 80 for u in got)
+    got = {(r.field, r.raw): (r.canonical, r.method) for r in ontology_fuzzy(spark, str(tmp_path)).collect()}
+    assert got == {
+        ("countries", "Xylandaniaa"): (None, "unmapped"),
+        ("regions", "Northumbrja"): (None, "unmapped"), ("regions", "Northumbria"): ("Northumbria", "exact"), ("regions", " "): (None, "empty"),
+    }
+    # 20 of 21 letters in common: 0.952 is below the cutoff.
+
+
+def deal_brute(rows):
+    """Ids of (own, slug) of one group, one by one against all ids used."""
+    used = {own for own, _ in rows if own}
+    out = []
+    for own, slug in rows:
+        if own:
+            out.append(own)
+            continue
+        form, k = slug, 2
+        while form in used:
+            form, k = f"{slug}-{k}", k + 1
+        used.add(form)
+        out.append(form)
+    return out
+
+
+def test_ids_are_dealt_against_all_used_ids(spark):
+    rng = random.Random(3)
+    groups = {g: [(rng.choice([None, None, None, "a-3", "b", "x-1"]), rng.choice(["a", "a-2", "a-2-2", "b", "a-02", "c"])) for _ in range(40)] for g in "pqr"}
+    groups["one"] = [(None, "z")] * 5
+    rows = [(g, i, *r) for g, rs in groups.items() for i, r in enumerate(rs)]
+    df = spark.createDataFrame(rows, "g string, n long, own string, slug string")
+    got = {(r.g, r.n): r.uid for r in R.unique_ids(df, ["g"], "own", "slug", "n").collect()}
+    assert got == {(g, i): u for g, rs in groups.items() for i, u in enumerate(deal_brute(rs))}
+
+
+def test_numbers_of_a_hot_key_go_on_over_its_ranges(spark):
+    from studyloom.operators.skew import numbered
+
+    rows = [("hot", (i * 37) % 500) for i in range(500)] + [(None, i) for i in range(120)] + [("few", 3), ("few", 1)]
+    got = numbered(spark.createDataFrame(rows, "k string, o long"), ["k"], "o", "n", hot_rows=50).collect()
+    assert {(r.k, r.o): r.n for r in got} == {**{("hot", i): i + 1 for i in range(500)}, **{(None, i): i + 1 for i in range(120)}, ("few", 1): 1, ("few", 3): 2}
+
+
+def test_ancestry_at_any_depth(spark):
+    ext = spark.createDataFrame([(f"t{i}", f"t{i + 1}") for i in range(40)], "tbl string, parent string")
+    cols = spark.createDataFrame([(f"t{i}", f"c{i}", 1, "string") for i in range(41)], "tbl string, col string, pos long, kind string")
+    got = R.inherit_columns(cols, ext).filter("tbl = 't0'").orderBy("depth").collect()
+    assert [(r.col, r.depth) for r in got] == [(f"c{i}", i) for i in range(41)]
 
 
 def test_backends_are_dealt_in_turn_across_gaps(spark, tmp_path):
     from studyloom.plans.relational_queries import round_robin
 
     ids = [i * i * 3 + 7 for i in range(200)]
-    spark.createDataFrame([(i,) for i in reversed(ids)], "event_id long").write.parquet(f"{tmp_path}/events.parquet")
-    assert sorted(tuple(r) for r in round_robin(spark, str(tmp_path)).collect()) == [(x, i % 3) for i, x in enumerate(ids)]
+    spark.createDataFrame([(i,) for i in reversed(ids)], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    assert sorted(tuple(r) for r in round_robin(spark, str(tmp_path)).collect()) == [(x, i % 7) for i, x in enumerate(ids)]
     assert R.global_index(spark.createDataFrame([], "event_id long"), "event_id").count() == 0
