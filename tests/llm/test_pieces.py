@@ -37,51 +37,44 @@ def test_pieces_round_trip_and_paragraphs(spark, size):
     df = spark.createDataFrame([(i, x, "c", "c", "c") for i, x in enumerate(t)] + [(99, None, "c", "c", "c"), (5, t[5], "c", "c", "c")], SCHEMA)
     got = pieces.split_cells(df, "paper_id", "paper_text", limit=100, overlap=10, size=size).toPandas()
     for i, x in enumerate(t):
-        g = got[got["item"] == i].sort_values("piece_no")
+        g = got[got["item"] == i].drop_duplicates().sort_values("piece_no")  # repeated rows give their pieces again
         assert list(g.piece_no) == list(range(1, len(g) + 1))
         assert "".join(r.piece[r.core_start - r.start :] for r in g.itertuples()) == x
         for r in g.itertuples():
             assert r.piece == x[r.start : r.end] and 0 < len(r.piece) <= 100
             assert r.core_start - r.start <= 12
-    s = pieces.stitched(pieces.cell_ranges(df, "paper_id", "paper_text", size))
-    found = {}
-    for r in pieces.paragraphs(s).collect():
-        found.setdefault(r["item"], []).append((r.para_no, r.start, r.end))
-    for i, x in enumerate(t):
-        assert [(a, b) for _, a, b in sorted(found.get(i, []))] == brute_paragraphs(x)
-        assert [n for n, _, _ in sorted(found.get(i, []))] == list(range(1, len(brute_paragraphs(x)) + 1))
+    for x in t:
+        m = pieces.cell_marks(x, size) if x else pieces.Marks(0, [], [], [], [])
+        assert list(zip(m.starts, m.ends)) == brute_paragraphs(x)
 
 
-def test_files_are_read_by_byte_ranges(spark, tmp_path):
-    t = [x for x in texts() if x]
+@pytest.mark.parametrize("size", [64, 700, 5000])
+def test_files_by_byte_ranges_of_any_size_give_the_pieces_of_cells(spark, tmp_path, size):
+    t = [x for x in texts() if x] + [" " * 900 + "a. " + "b" * 40 + "\n\n" * 300 + "c d"]
     paths = []
     for i, x in enumerate(t):
         p = tmp_path / f"{i}.txt"
         p.write_bytes(x.encode())
-        paths.append(str(p))
-    got = pieces.split_files(spark, paths, limit=100, overlap=10, size=700).toPandas()
+        paths.append(p.as_uri())
+    got = pieces.split_files(spark, paths, limit=100, overlap=10, size=size).toPandas()
     for p, x in zip(paths, t):
         g = got[got["item"] == p].sort_values("piece_no")
-        assert "".join(r.piece[r.core_start - r.start :] for r in g.itertuples()) == x and all(g.piece.str.len() <= 100)
+        assert [(r.start, r.core_start, r.end) for r in g.itertuples()] == pieces.cell_pieces(x, 100, 10)
+        assert [r.piece for r in g.itertuples()] == [x[a:z] for a, _, z in pieces.cell_pieces(x, 100, 10)] and list(g.piece_no) == list(range(1, len(g) + 1))
 
 
 def test_cuts_prefer_paragraphs_then_sentences_then_words():
     text = "Aa bb. " * 10 + "\n\n" + "cc " * 30 + "\n\n" + "z" * 250
-    core = pieces.boundaries(text, "")
-    out = pieces.fold(0, len(text), True, core[7], core[8], core[9], 100, 0)
+    out = pieces.cell_pieces(text, 100, 0)
     assert out[0][2] == text.index("cc ") and text[out[1][2]] == "z" and [b - a for _, a, b in out[2:]] == [100, 100, 50]
 
 
 @settings(max_examples=80, deadline=None)
 @given(st.text(alphabet=" \n\tab.", max_size=300), st.integers(1, 40))
-def test_boundary_tables_do_not_depend_on_the_range(text, size):
-    ends = []
-    for at in range(0, len(text), size):
-        n, _, _, _, _, _, _, _, sentences, _ = pieces.boundaries(text[at : at + size], text[at + size : at + size + 1000])
-        ends += [at + s for s in sentences]
-    # A run of white space cut by a range edge still belongs to the range of its full stop.
-    want = [m.end() for m in re.finditer(r"[.!?…][\"'”’)\]]*\s+(?=\S)", text)]
-    assert set(want) <= set(ends)
+def test_marks_and_pieces_do_not_depend_on_the_range(text, size):
+    m = pieces.cell_marks(text, size)
+    assert m.sentences == [x.end() for x in re.finditer(r"[.!?…][\"'”’)\]]*\s+(?=\S)", text)] and m.words == [x.end() for x in re.finditer(r"\s+(?=\S)", text)]
+    assert pieces.cell_pieces(text, 20, 3, size) == pieces.cell_pieces(text, 20, 3)
 
 
 def test_long_paragraphs_and_empty(spark, rows):
