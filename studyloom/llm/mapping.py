@@ -3,9 +3,9 @@
 Method: a prefix-filter set-similarity join. Typed values (distinct ones only, so repeats cost nothing) and the names,
 labels, codes and acronyms of the list are brought to comparable forms; a form is the set of padded letter pairs of its
 words, ordered by global rarity; only the rare prefixes are joined, positional filters drop pairs that cannot share the
-pairs that the allowed edits leave whole, so no acceptable pair is lost; the shared pairs are counted exactly, and the best
-entry is kept if its words pair off with the typed ones within the edits their lengths allow. Values without such an entry, and values whose best entries are several, are
-reported as UNMATCHED.
+pairs that the allowed edits leave whole, so no acceptable pair is lost; Jaccard is counted exactly, candidates whose words
+do not pair off with the typed ones within the edits their lengths allow are left out, and the entry with the best Jaccard is
+kept. Values without an entry, and values whose best entries are several, are reported as UNMATCHED.
 
 Defined results: null and blank values give no row; repeated list rows count once; entries without code are never
 matched; an empty list leaves every value UNMATCHED; long values are compared whole. A value that fills much of the table
@@ -40,7 +40,7 @@ def value_forms(values: DataFrame) -> DataFrame:
                     code = letters(x)
                     if " " not in x or k == 0:
                         code = letters(v) if k == 0 else code
-                        if 1 < len(code) <= 16:
+                        if len(code) > 1:
                             rows.append((f, v, "c", k, code, grams(code)))
             yield pd.DataFrame(rows, columns=["field", "val", "kind", "reading", "form", "grams"], dtype=object)
 
@@ -128,7 +128,7 @@ def map_values(values: DataFrame, entries: DataFrame) -> DataFrame:
         typed.select("field", "val", "kind", "reading", "form").join(close, ["field", "kind", "form"])
         .join(listed.select("field", "kind", F.col("form").alias("other"), "code"), ["field", "kind", "other"])
     )
-    rank = F.struct(F.col("reading"), (F.col("kind") != "c").alias("k"), F.col("edits"), (-F.col("jaccard")).alias("j"))
+    rank = F.struct(F.col("reading"), (F.col("kind") != "c").alias("k"), (-F.col("jaccard")).alias("j"), F.col("edits"))
     best = hits.withColumn("rank", rank).withColumn("top", F.min("rank").over(Window.partitionBy("field", "val"))).filter("rank = top")
     one = best.groupBy("field", "val").agg(
         F.min("code").alias("code"), F.countDistinct("code").alias("n"), F.min("edits").alias("edits"), F.max("jaccard").alias("jaccard")

@@ -4,12 +4,11 @@ Method: every statistic of ``textstats`` is computed in one pass; the mean and c
 language over all documents (median and MAD pick the start set, concentration steps refine it, all as distributed
 aggregates of which only one row per language reaches the driver); the squared Mahalanobis distance of a document splits
 into one contribution per statistic. A document beyond the cut is not like prose of its language; which shape it has is
-read off the statistics. Statistics also tell odd layouts of prose (verse, one sentence per line without full stops) from
+read off the statistics by fixed bounds, as the distance alone does not tell one kind of junk from a list. Statistics also tell odd layouts of prose (verse, one sentence per line without full stops) from
 lists, since layout alone must not make prose a case.
 
 Defined results: null, empty and blank texts have zero statistics, no distance and no shape; a text with few common
-words takes the language it declares, else the pooled model; a language with fewer than ``MIN_LANGUAGE`` documents in its
-start set takes the pooled model; repeated documents give repeated rows; an empty table gives an empty table. Only doc_id,
+words takes the language it declares, else the pooled model; repeated documents give repeated rows; an empty table gives an empty table. Only doc_id,
 text and lang are read, so clashing names cannot matter. Whole texts are read.
 """
 
@@ -26,8 +25,8 @@ from studyloom.llm.textstats import LANGS, STATS, text_stats
 from studyloom.session import cut
 
 P = len(STATS)
-MIN_LANGUAGE = 30
-START_Z = 4.0  # start set: within so many robust standard deviations of the median in every statistic
+PRIOR_DOCS = 30  # documents that the pooled model counts as in that of a language
+START = 35.2  # start set: sum of squares of robust standard deviations from the median
 CUT = 34.5  # 0.999 quantile of chi-square with 13 degrees of freedom
 #: Least standard deviation of a statistic, so that one that is constant in prose cannot make the covariance singular.
 FLOOR = np.array([0.3, 0.2, 0.01, 0.02, 0.15, 0.03, 0.3, 0.25, 0.08, 0.1, 0.15, 0.03, 0.015])
@@ -51,30 +50,36 @@ def with_stats(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "lang").mapInPandas(run, schema)
 
 
-def _grouped(stats: DataFrame) -> DataFrame:
-    """Each row under its language and under the pooled group: two partial aggregates a row, no shuffle of rows."""
-    return stats.filter(F.col("log_words") > 0).withColumn(
-        "grp", F.explode(F.array_distinct(F.array(F.coalesce("lang", F.lit(POOLED)), F.lit(POOLED))))
-    )
-
-
 def fit_prose(stats: DataFrame, steps: int = 2) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """{language: (mean, inverse covariance)} of prose, and of all languages together under "*"."""
-    grouped = _grouped(stats)
-    med = grouped.groupBy("grp").agg(*[F.percentile_approx(s, 0.5, 1000).alias(s) for s in STATS]).collect()
-    centre = {r["grp"]: np.array([r[s] for s in STATS]) for r in med}
+    """{language: (mean, inverse covariance)} of prose, and of all languages together under "*".
+
+    Every step is one aggregate over all documents, of which one row per language reaches the driver; the pooled model is the
+    sum of the languages'. A language's model is drawn to the pooled one by ``PRIOR_DOCS`` documents, at every size alike.
+    """
+    rows = stats.filter(F.col("log_words") > 0).withColumn("grp", F.coalesce("lang", F.lit(POOLED)))
+
+    def middle(cols: list) -> dict[str, np.ndarray]:
+        got = rows_at.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(c, 0.5, 1000).alias(s) for c, s in zip(cols, STATS)]).collect()
+        own = {r["grp"]: (r["n"], np.array([r[s] for s in STATS], float)) for r in got}
+        spoken = {g: v for g, v in own.items() if g != POOLED} or own
+        total = sum(n for n, _ in spoken.values())
+        pooled = sum(n * v for n, v in spoken.values()) / total if total else None
+        # Documents that tell no language are judged by the pooled model.
+        return {**{g: v for g, (_, v) in spoken.items()}, POOLED: pooled} if total else {}
+
+    rows_at = rows
+    centre = middle([F.col(s) for s in STATS])
     if not centre:
         return {}
-    mads = grouped.join(
-        F.broadcast(stats.sparkSession.createDataFrame([(g, *map(float, c)) for g, c in centre.items()], ["grp", *[f"m_{s}" for s in STATS]])), "grp"
-    ).groupBy("grp").agg(*[F.percentile_approx(F.abs(F.col(s) - F.col(f"m_{s}")), 0.5, 1000).alias(s) for s in STATS]).collect()
-    spread = {r["grp"]: np.maximum(1.4826 * np.array([r[s] for s in STATS]), FLOOR) for r in mads}
+    middles = stats.sparkSession.createDataFrame([(g, *map(float, c)) for g, c in centre.items()], ["grp", *[f"m_{s}" for s in STATS]])  # one row a language
+    rows_at = rows.join(F.broadcast(middles), "grp")
+    spread = {g: np.maximum(1.4826 * v, FLOOR) for g, v in middle([F.abs(F.col(s) - F.col(f"m_{s}")) for s in STATS]).items()}
 
     pairs = [(i, j) for i in range(P) for j in range(i, P)]
-    model: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    model = {g: (centre[g], np.diag(1 / spread[g] ** 2)) for g in centre}
+    base = centre[POOLED]
     for step in range(steps + 1):
-        state = {g: (centre[g], np.diag(1 / spread[g] ** 2)) for g in centre} if step == 0 else model
-        limit = START_Z**2 * 2.2 if step == 0 else CUT
+        state, limit = model, START if step == 0 else CUT
 
         @F.pandas_udf("boolean")
         def inside(grp: pd.Series, *cols: pd.Series) -> pd.Series:
@@ -87,23 +92,28 @@ def fit_prose(stats: DataFrame, steps: int = 2) -> dict[str, tuple[np.ndarray, n
                 ok[own] = np.einsum("ij,jk,ik->i", z, inv, z) <= limit
             return pd.Series(ok)
 
-        base = state[POOLED][0]
         agg = [F.count(F.lit(1)).alias("n")]
         agg += [F.sum(F.col(s) - float(base[i])).alias(f"s{i}") for i, s in enumerate(STATS)]
         agg += [F.sum((F.col(STATS[i]) - float(base[i])) * (F.col(STATS[j]) - float(base[j]))).alias(f"p{i}_{j}") for i, j in pairs]
-        model = {}
-        for r in grouped.filter(inside("grp", *STATS)).groupBy("grp").agg(*agg).collect():
-            n = r["n"]
-            if n < MIN_LANGUAGE and r["grp"] != POOLED:
-                continue
-            mean = np.array([r[f"s{i}"] for i in range(P)]) / n
-            cov = np.zeros((P, P))
+        sums: dict[str, tuple[float, np.ndarray, np.ndarray]] = {}
+        for r in rows.filter(inside("grp", *STATS)).groupBy("grp").agg(*agg).collect():
+            products = np.zeros((P, P))
             for i, j in pairs:
-                cov[i, j] = cov[j, i] = r[f"p{i}_{j}"] / n - mean[i] * mean[j]
-            cov += np.diag(np.maximum(FLOOR**2 - np.diag(cov), 0) + 1e-9)
-            model[r["grp"]] = (mean + base, np.linalg.inv(cov))
-        if POOLED not in model:
+                products[i, j] = products[j, i] = r[f"p{i}_{j}"]
+            sums[r["grp"]] = (r["n"], np.array([r[f"s{i}"] for i in range(P)]), products)
+        if not sums:
             return state
+        n, s, q = (sum(v[k] for v in sums.values()) for k in range(3))
+        mean, cov = s / n, q / n - np.outer(s / n, s / n)
+        model = {}
+        for g in {*sums, POOLED}:
+            m, c = mean, cov
+            if g != POOLED:
+                k, t, u = sums[g]
+                w = k / (k + PRIOR_DOCS)
+                m, c = w * t / k + (1 - w) * mean, w * (u / k - np.outer(t / k, t / k)) + (1 - w) * cov
+            c = c + np.diag(np.maximum(FLOOR**2 - np.diag(c), 0) + 1e-9)
+            model[g] = (m + base, np.linalg.inv(c))
     return model
 
 
