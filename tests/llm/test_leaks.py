@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from studyloom.llm import leaks
 
@@ -32,31 +33,91 @@ def test_runs_of_twelve_words(spark, rows):
     assert leaks.leaks(d.limit(0), i).count() == 0 and leaks.leaks(d, i.limit(0)).count() == 0
 
 
-def test_blocks_of_items_give_the_same(spark, rows, monkeypatch):
+def test_blocks_of_items_give_the_same(spark, rows):
     items = spark.createDataFrame([(k, " ".join(passage(30)), "") for k in range(6)], ITEM)
     docs = spark.createDataFrame([(k, r.text[5:], "", "") for k, r in enumerate(items.collect())], DOC)
     whole = rows(leaks.leaks(docs, items))
-    monkeypatch.setattr(leaks, "BLOCK_WINDOWS", 30)
-    assert rows(leaks.leaks(docs, items)) == whole and len(whole) > 90
-
-
-def test_recall_under_edits_against_brute_force():
-    window, most = 16, 2
-    sample = window // most
-    reps = leaks.repetitions_for(0.95, window, most, sample)
-    base = [passage(window) for _ in range(300)]
-    ix = leaks.Index([(k, 1, w) for k, w in enumerate(base)], window, sample, reps)
-    found = 0
-    for k, w in enumerate(base):
-        e = list(w)
-        for _ in range(most):
-            e[RNG.randrange(window)] = "foreign"
-        ids = np.array([ix.vocab.get(x, 0) for x in e], np.int64)
-        hits = ix.search(ids, np.array([0]), most)
-        found += any(ix.item[g] == k for _, g, _ in hits)
-    assert found >= 0.9 * len(base)
+    assert rows(leaks.leaks(docs, items, block_windows=30)) == whole and len(whole) > 90
+
+
+def test_both_readings_count_the_same_places(spark):
+    a = passage(40)
+    items = spark.createDataFrame([(1, " ".join(a), "c")], ITEM)
+    head = "com-\npound at the start, then "
+    docs = spark.createDataFrame([(1, head + " ".join(a), "c", "c"), (2, head.replace("-\n", "") + " ".join(a), "c", "c"), (3, head + " ".join(a[:20]) + "-\n" + " ".join(a[20:]), "c", "c")], DOC)
+    got = {r.doc_id: (r.n_windows, r.first_pos, r.last_pos) for r in leaks.leaked_pairs(docs, items).collect()}
+    assert got[1] == got[2] == (29, 6, 34)
+    # Words of its own stand at a line-end hyphen: it is found in the reading with the parts apart, and both parts have one place.
+    assert got[3] == (28, 6, 33)
+
+
+def test_slices_lose_no_cut_word_and_no_window(monkeypatch):
+    text = " ".join(passage(300)).replace("w", "-\n ", 40) + " end"
+    whole = leaks.readings(text)
+    import pandas as pd
+
+    docs = pd.DataFrame({"doc_id": [1], "text": [text]})
+    for size in (5, 50, 333):
+        monkeypatch.setattr(leaks.slices, "__defaults__", (size,))
+        got = list(leaks._read(docs, 3))
+        assert [w for _, _, w in got] == [w for w, _ in whole] and all((p == q).all() for (_, p, _), (_, q) in zip(got, whole))
+
+
+def edited(words, kinds, rng):
+    out = list(words)
+    for kind in kinds:
+        k = rng.randrange(1, len(out) - 1)
+        if kind == "put in":
+            out.insert(k, "foreign")
+        elif kind == "left out":
+            del out[k]
+        else:
+            out[k] = "foreign"
+    return out
+
+
+def distance(text, item):
+    """Least edits of item against a beginning of text, plainly."""
+    row = list(range(len(text) + 1))
+    for i, w in enumerate(item, 1):
+        new = [i]
+        for j, v in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (w != v)))
+        row = new
+    return min(row)
+
+
+KINDS = [("changed", "changed"), ("put in",), ("left out",), ("put in", "put in"), ("left out", "left out"), ("put in", "left out"), ("changed", "put in"), ("changed", "left out")]
+
+
+@pytest.mark.parametrize("kinds", KINDS)
+def test_recall_of_edited_passages_against_brute_force(spark, kinds):
+    """Passages of the given evaluation items, edited and planted in other text; every window of every item is compared plainly."""
+    window, most, rng = 16, 2, random.Random(str(kinds))
+    items = [(r.item_id, leaks.words_of(r.text)) for r in spark.read.parquet("/root/testdata/sf0.001/eval_items.parquet").orderBy("item_id").limit(12).collect()]
+    docs = []
+    for k in range(60):
+        _, ws = items[k % len(items)]
+        at = rng.randrange(max(1, len(ws) - window - 4))
+        docs.append((k, passage(5) + edited(ws[at : at + window + 2], kinds, rng) + passage(20)))
+    d = spark.createDataFrame([(k, " ".join(ws), "", "") for k, ws in docs], DOC)
+    i = spark.createDataFrame([(k, " ".join(ws), "") for k, ws in items], ITEM)
+    got = {(r.doc_id, r.item_id, r.doc_pos, r.item_pos): r.edits for r in leaks.leaks(d, i, window=window, max_edits=most, max_items=99).collect()}
+    true = {}
+    for k, ws in docs:
+        for item, iw in items:
+            for p in range(len(iw) - window + 1):
+                for q in range(len(ws) - window + 1):
+                    part = ws[q : q + window + most]
+                    if len({*part} & {*iw[p : p + window]}) >= 9 and (e := distance(part, iw[p : p + window])) <= most:
+                        true[k, item, q + 1, p + 1] = e
+    assert true and all(true[x] == e for x, e in got.items() if x in true) and all(x in true for x in got)
+    assert len(got) >= 0.9 * len(true)
+    pairs = {x[:2] for x in true}
+    assert len({x[:2] for x in got} & pairs) >= 0.95 * len(pairs)
 
 
 def test_edit_distances():
-    a, b = np.array([[1, 2, 3, 4], [1, 2, 3, 4], [5, 6, 7, 8]]), np.array([[1, 2, 3, 4], [2, 3, 4, 9], [1, 2, 3, 4]])
-    assert leaks.edit_distances(a, b).tolist() == [0, 2, 4]
+    item = np.array([[1, 2, 3, 4]] * 5)
+    text = np.array([[1, 2, 3, 4, 9], [2, 3, 4, 9, 9], [5, 6, 7, 8, 9], [1, 8, 2, 3, 4], [1, 2, 4, 9, 9]])
+    assert leaks.edit_distances(text, item).tolist() == [0, 1, 4, 1, 1]
