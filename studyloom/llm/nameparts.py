@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from math import log
 
 from studyloom.llm.placenames import plain, within
 
@@ -25,45 +26,138 @@ FAMILIAR = {
 }
 TITLES = frozenset("dr prof professor mr mrs ms miss mx phd md msc bsc ir drs ing jr sr mag dipl habil em sir dame".split())
 PARTICLES = frozenset("van von der den de la le les di da del della ter ten te zu zum zur af het dos das du".split())
-# What words and abbreviations in names of organisations stand for; "" for words that tell no body apart.
+# What whole words in names of organisations stand for, in several languages; "" for words that tell no body apart.
+# Abbreviations and initials are not listed: the data and the likelihood of an abbreviation tell what they stand for.
 CONCEPT = {
-    "university": "university", "univ": "university", "uni": "university", "universitat": "university", "universiteit": "university", "universite": "university",
-    "universitair": "university", "universitaet": "university", "universitats": "university", "umc": "university medical", "medical": "medical", "medisch": "medical", "med": "medical", "medizin": "medical",
-    "medizinisches": "medical", "cancer": "cancer", "oncology": "cancer", "krebs": "cancer", "kanker": "cancer", "krebszentrum": "cancer", "kankercentrum": "cancer", "public": "public", "publ": "public", "health": "health",
-    "hlth": "health", "gesundheit": "health", "gezondheid": "health", "iph": "public health", "technology": "technology", "tech": "technology", "technological": "technology", "technical": "technology",
-    "technologie": "technology", "statistics": "statistics", "stat": "statistics", "stats": "statistics", "statistical": "statistics", "statistiek": "statistics", "statistik": "statistics",
-    "heart": "heart", "hart": "heart", "hartstichting": "heart", "herz": "heart", "herzstiftung": "heart", "cardiac": "heart", "birth": "birth", "births": "birth", "geboorte": "birth", "geburten": "birth", "biobank": "biobank",
-    "bio": "biobank", "bank": "biobank", "cohort": "cohort", "kohort": "cohort", "coop": "cohort", "cooperative": "cohort", "co": "", "ministry": "ministry", "min": "ministry", "ministerie": "ministry",
-    "ministerium": "ministry", "moh": "ministry health", "children": "children", "childrens": "children", "child": "children", "kinder": "children", "kinderziekenhuis": "children", "kinderklinik": "children",
-    "paediatric": "children", "pediatric": "children", "centre": "", "center": "", "ctr": "", "centrum": "", "zentrum": "", "institute": "", "institut": "", "instituut": "", "inst": "", "office": "", "off": "", "registry": "",
-    "register": "", "reg": "", "foundation": "", "fdn": "", "found": "", "stichting": "", "stiftung": "", "hospital": "", "hosp": "", "ziekenhuis": "", "krankenhaus": "", "comprehensive": "", "comp": "", "ltd": "", "limited": "",
-    "inc": "", "gmbh": "", "bv": "", "the": "", "of": "", "for": "", "and": "", "de": "", "van": "", "voor": "", "fur": "", "fuer": "", "der": "", "die": "", "het": "", "s": "", "national": "",
+    "university": "university", "universitat": "university", "universiteit": "university", "universite": "university", "universitair": "university", "universitaet": "university",
+    "universitats": "university", "medical": "medical", "medisch": "medical", "medizin": "medical", "medizinisches": "medical", "cancer": "cancer", "oncology": "cancer", "krebs": "cancer",
+    "kanker": "cancer", "krebszentrum": "cancer", "kankercentrum": "cancer", "public": "public", "health": "health", "gesundheit": "health", "gezondheid": "health", "technology": "technology",
+    "technological": "technology", "technical": "technology", "technologie": "technology", "statistics": "statistics", "statistical": "statistics", "statistiek": "statistics",
+    "statistik": "statistics", "heart": "heart", "hart": "heart", "hartstichting": "heart", "herz": "heart", "herzstiftung": "heart", "cardiac": "heart", "birth": "birth", "births": "birth",
+    "geboorte": "birth", "geburten": "birth", "biobank": "biobank", "cohort": "cohort", "kohort": "cohort", "cooperative": "cohort", "ministry": "ministry", "ministerie": "ministry",
+    "ministerium": "ministry", "children": "children", "childrens": "children", "child": "children", "kinder": "children", "kinderziekenhuis": "children", "kinderklinik": "children",
+    "paediatric": "children", "pediatric": "children", "centre": "", "center": "", "centrum": "", "zentrum": "", "institute": "", "institut": "", "instituut": "", "office": "",
+    "registry": "", "register": "", "foundation": "", "stichting": "", "stiftung": "", "hospital": "", "ziekenhuis": "", "krankenhaus": "", "comprehensive": "", "national": "",
     # units of a body
-    "department": "", "dept": "", "section": "", "sect": "", "division": "", "div": "", "unit": "", "services": "", "service": "", "laboratory": "", "lab": "", "labs": "", "research": "", "support": "", "data": "", "epidemiology": "",
-    "epidemiol": "", "biostatistics": "", "paediatrics": "", "pediatrics": "", "school": "", "faculty": "", "group": "", "at": "",
+    "department": "", "section": "", "division": "", "unit": "", "services": "", "service": "", "laboratory": "", "labs": "", "research": "", "support": "", "data": "",
+    "epidemiology": "", "biostatistics": "", "paediatrics": "", "pediatrics": "", "school": "", "faculty": "", "group": "",
 }
-_LONG = tuple(sorted(w for w in CONCEPT if len(w) >= 6))
+#: Words of grammar and of legal form.
+LIGHT = frozenset("the of for and de van voor fur fuer der die het s at".split())
+LEGAL = frozenset("ltd limited inc gmbh bv co".split())
+VOWELS = frozenset("aeiouy")
 _WORD = re.compile(r"[^\W\d_]+")
+_COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 
+# The channel: chances that a writer shortens a word or misspells it; that a shortened word is cut off behind a letter, or
+# cut off and closed with its last letter, else loses letters of its inside, a vowel oftener than a consonant.
+SHORTENED, MISSPELT, CUT_OFF, CLOSED = 0.2, 0.02, 0.5, 0.15
+KEEP = {True: 0.2, False: 0.6}  # vowel, consonant
+INITIALS = 0.02  # that a body is written by its initials
+LETTER = 2.0  # nats that a letter of a proper word carries
+SECOND = 0.01  # that a name has another proper word besides a longer one
+UNSEEN = 0.5  # occurrences that a listed word is credited with
 
-def body_parts(writing: str) -> tuple[str, str]:
-    """(core, concepts) of an organisation: the proper words run together, and what kind of body it is."""
+
+def shortening(full: str, short: str) -> float:
+    """Log chance that ``full``, once it is shortened, becomes ``short``: cut off, closed with its last letter, or with letters dropped behind the first one."""
+    n, m = len(full), len(short)
+    if not 1 < m < n or full[0] != short[0]:
+        return float("-inf")
+    chance = CUT_OFF / (n - 2) if full.startswith(short) and n > 2 else 0.0
+    # ways[j]: chance that the letters read so far left the first j of short.
+    ways = [0.0] * (m + 1)
+    ways[1] = 1.0
+    for ch in full[1:]:
+        keep = KEEP[ch in VOWELS]
+        for j in range(m, 0, -1):
+            ways[j] = ways[j] * (1 - keep) + (ways[j - 1] * keep if j > 1 and short[j - 1] == ch else 0.0)
+    if m > 2 and full[-1] == short[-1] and full.startswith(short[:-1]):
+        chance += CLOSED / (n - 2)
+    chance += (1 - CUT_OFF - CLOSED) * ways[m]
+    return log(chance) if chance > 0 else float("-inf")
+
+
+def split_words(writing: str) -> list[str]:
+    """Words of an organisation's name; a compound that is a listed word without its hyphens is one word."""
     t = plain(writing).replace("’", "'").replace("'s", "s")
-    core, kinds = [], set()
-    for w in _WORD.findall(t):
-        c = CONCEPT.get(w)
-        if c is None and len(w) >= 5:
-            near = [x for x in _LONG if abs(len(x) - len(w)) < 2 and within(w, x, 1) <= 1]
-            c = CONCEPT[near[0]] if near else None
-        if c is None:
-            core.append(w)
-        else:
-            kinds.update(c.split())
-    if kinds >= {"public", "ministry"} or "ministry" in kinds:
+    t = _COMPOUND.sub(lambda m: m.group().replace("-", "") if m.group().replace("-", "") in CONCEPT else m.group(), t)
+    return _WORD.findall(t)
+
+
+def told_kinds(words: list[str]) -> str:
+    """What kind of body the concepts tell, as one text."""
+    kinds = {k for w in words for k in w.split()}
+    if "ministry" in kinds:
         kinds -= {"public"}
     if "biobank" in kinds and len(kinds) > 1:
         kinds -= {"health"}
-    return "".join(core), " ".join(sorted(kinds))
+    return " ".join(sorted(kinds))
+
+
+def evidence_of(writing: str) -> list[tuple[str, str]]:
+    """What a writing tells of the channel: (listed word, "") for each, and (initials, kinds) of each run of listed words, with and
+    without the words of grammar."""
+    out: list[tuple[str, str]] = []
+    run: list[str] = []
+    for w in [*split_words(writing), ""]:
+        if w in CONCEPT:
+            out.append((w, ""))
+        if w in CONCEPT or (run and w in LIGHT):
+            run.append(w)
+            continue
+        while run and run[-1] in LIGHT:
+            run.pop()
+        full = [x for x in run if x in CONCEPT]
+        if 2 <= len(full) and len(run) <= 5 and (kinds := told_kinds([CONCEPT[x] for x in full])):
+            out += [(letters, kinds) for letters in {"".join(x[0] for x in run), "".join(x[0] for x in full)} if 2 <= len(letters) <= 4]
+        run = []
+    return out
+
+
+class Channel:
+    """Posterior of what a word of an organisation's name stands for."""
+
+    def __init__(self, words: dict[str, float], initials: dict[str, tuple[str, float]], writings: float):
+        """words: writings that hold each listed word; initials: kinds of body with their number, for each text of initials."""
+        self.words, self.initials, self.total = words, initials, max(writings, 1.0)
+        self.known: dict[str, tuple[str | None, float]] = {}
+
+    def stands_for(self, word: str) -> tuple[str | None, float]:
+        """(concepts or None, log posterior odds against a proper word) of a word that is not listed."""
+        if word not in self.known:
+            best: tuple[str | None, float] = (None, float("-inf"))
+            for full, concept in CONCEPT.items():
+                said = log(SHORTENED) + shortening(full, word)
+                if len(word) >= 5 and abs(len(full) - len(word)) < 2 and within(word, full, 1) == 1:
+                    said = max(said, log(MISSPELT) - log(30 * len(full)))
+                score = log((self.words.get(full, 0.0) + UNSEEN) / self.total) + said
+                if score > best[1]:
+                    best = (concept, score)
+            if word in self.initials:
+                kinds, n = self.initials[word]
+                score = log(n / self.total) + log(INITIALS) - log(2)
+                if score > best[1]:
+                    best = (kinds, score)
+            self.known[word] = (best[0], best[1] + LETTER * len(word))
+        return self.known[word]
+
+    def body_parts(self, writing: str) -> tuple[str, str]:
+        """(core, kinds) of an organisation: the proper words run together, and what kind of body it is."""
+        core, told = [], []
+        words = [w for w in split_words(writing) if w not in LIGHT and w not in LEGAL]
+        unknown = [w for w in words if w not in CONCEPT]
+        longest = max(unknown, key=len, default="")
+        for w in words:
+            if w in CONCEPT:
+                told.append(CONCEPT[w])
+                continue
+            concept, odds = self.stands_for(w)
+            if concept is not None and odds > (0.0 if w == longest else log(SECOND)):
+                told.append(concept)
+            else:
+                core.append(w)
+        return "".join(core), told_kinds(told)
 
 
 def person_tokens(first: str | None, last: str | None) -> tuple[list[str], list[list[str]]]:

@@ -1,12 +1,15 @@
 """Variant spellings of names typed by people (problem 2).
 
 Method: noisy-channel attribution. Distinct writings are counted first, so that repeats cost nothing. A name is taken apart
-into its proper words and the rest (kind of body, given name, titles, particles); abbreviations and familiar forms are
-undone by fixed tables. Frequent spellings of a proper word are the candidate canonical forms; for a variant v and a
-candidate c within one edit, the posterior combines the frequency prior with the chance that writers of c would produce
-exactly this typo in the share n(v) / n(c), at typo rates of the data, against the chance that v is a name of its own. Each variant is attached to its maximum
-posterior; chains of typos are followed. Candidates come from shared one-letter deletions, which loses no pair within one
-edit. An initial is attached to the family's most frequent given name that begins with it.
+into its proper words and the rest (kind of body, given name, titles, particles). For a word of a body that is not a whole
+listed word, the posterior combines how often each listed word, or run of words, stands in the data with the chance that a
+writer shortens it to this (cut off, letters dropped, initials) or misspells it, against the chance of a proper word.
+Frequent spellings of a proper word are the candidate canonical forms; for a variant v and a candidate c within two edits, the
+posterior combines the frequency prior with the chance that writers of c would produce exactly this typo in the share
+n(v) / n(c), at typo rates of the data, against the chance that v is a name of its own. Each variant is attached to its
+maximum posterior; chains of typos are followed to their end. Candidates come from shared deletions of one or two letters,
+which loses no pair within so many edits. Familiar forms of given names come from a fixed table. An initial is attached to the
+given name of the family that has the maximum posterior: as every name gives its initial alike, the most frequent one.
 
 Defined results: blank names, names of a unit only, and persons without a given or a family name get no entity; equal
 frequencies go to the alphabetically first; repeated rows share their entity (rows without a row_id of their own are not told apart); empty tables give empty results; names of any
@@ -22,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from studyloom.llm.nameparts import FAMILIAR, body_parts, person_tokens
+from studyloom.llm.nameparts import FAMILIAR, LETTER, Channel, evidence_of, person_tokens
 from studyloom.llm.placenames import within
 from studyloom.operators.skew import join_hot, self_pairs
 from studyloom.session import blank, cut, strip
@@ -31,18 +34,19 @@ TYPO = 0.15  # chance that a written name has a typo, as far as the data do not
 PRIOR = 20  # names that this chance counts as, against those of the data
 SHAPE = 0.1  # of the gamma distribution of a typo's rate: some typos are far more usual than others
 RARE = 10  # a word so many times rarer than a neighbour counts as its typo when the chance is estimated
-LETTER = 1.73  # nats that a letter of a name carries
+AGAIN = 0.3  # chance of a second typo in a misspelt name
+TWICE = 7  # two typos in a shorter word are never likelier than a word of its own
 BLOCK = 2000  # rows of a writing, and writings of an entity, that are paired at once
-LEAST = 5  # shorter words are compared as written
 
 
-def log_odds(n_c: float, n_v: float, length: int, typo: float = TYPO) -> float:
+def log_odds(n_c: float, n_v: float, length: int, typo: float = TYPO, edits: int = 1) -> float:
     """Log of the posterior odds that v (n_v times) is a typo of c (n_c times) rather than a name of its own.
 
     A typo is counted by a negative binomial, so that the share n_v / n_c decides at any size; a typo rarer than expected
     scores as one at its expected share. The count of a name of its own is log-uniform up to n_c.
     """
-    ways = 30.0 * length
+    ways = 30.0 * length if edits == 1 else (30.0 * length) ** 2 / 2
+    typo = typo if edits == 1 else typo * AGAIN
     n_c = min(n_c, n_v * ways / typo)
     rate = n_c * typo / ways
     seen = lgamma(n_v + SHAPE) - lgamma(SHAPE) - lgamma(n_v + 1) + n_v * log(rate / (rate + SHAPE)) + SHAPE * log(SHAPE / (rate + SHAPE))
@@ -57,42 +61,50 @@ def evidence(n_c: int, n_v: int, d_c: int, d_v: int) -> tuple[float, float]:
     return n_c * part / min(n_v, 1), max(n_v, 1.0)
 
 
-def attach_variants(words: DataFrame) -> DataFrame:
-    """(space, word, canon, odds) of words (space, word, n, and d, the distinct writings, else n): each word with its canonical form."""
+_ONE = "transform(sequence(1, length(word)), i -> concat(substring(word, 1, i - 1), substring(word, i + 1)))"
+_TWO = ("flatten(transform(sequence(1, length(word) - 1), i -> transform(sequence(i + 1, length(word)), j -> "
+        "concat(substring(word, 1, i - 1), substring(word, i + 1, j - i - 1), substring(word, j + 1)))))")
+
+
+def attach_variants(words: DataFrame, own: frozenset[str] = frozenset()) -> DataFrame:
+    """(space, word, canon, odds) of words (space, word, n, and d, the distinct writings, else n): each word with its canonical form.
+    Words of ``own`` are known as names of their own and are no typos."""
     if "d" not in words.columns:
         words = words.withColumn("d", F.col("n"))
-    long = words.filter(F.length("word") >= LEAST)
-    deletes = F.array_distinct(F.concat(F.array("word"), F.expr(
-        "transform(sequence(1, length(word)), i -> concat(substring(word, 1, i - 1), substring(word, i + 1)))")))
+    long = words.filter(F.length("word") >= 2)
+    deletes = F.array_distinct(F.concat(F.array("word"), F.expr(_ONE), F.when(F.length("word") >= TWICE, F.expr(_TWO)).otherwise(F.array().cast("array<string>"))))
     keyed = long.select("space", "word", "n", "d", F.explode(deletes).alias("key"))
     v = keyed.withColumnRenamed("word", "v").withColumnRenamed("n", "n_v").withColumnRenamed("d", "d_v")
     c = keyed.withColumnRenamed("word", "c").withColumnRenamed("n", "n_c").withColumnRenamed("d", "d_c")
-    # Words that share a deletion differ in one place of it: an alphabet's worth of words at most, not a group of rows.
-    pairs = v.join(c, ["space", "key"]).filter("n_c > n_v OR (n_c = n_v AND c < v)").select("space", "v", "c", "n_v", "n_c", "d_v", "d_c").distinct()
+    # Words that share a deletion differ in one or two places of it: an alphabet's worth of words at most, not a group of rows.
+    pairs = v.filter(~F.col("v").isin(*own)) if own else v
+    pairs = pairs.join(c, ["space", "key"]).filter("n_c > n_v OR (n_c = n_v AND c < v)").select("space", "v", "c", "n_v", "n_c", "d_v", "d_c").distinct()
 
-    @F.pandas_udf("boolean")
-    def near(v: pd.Series, c: pd.Series) -> pd.Series:
-        return pd.Series([within(a, b, 1) <= 1 for a, b in zip(v, c)], dtype="bool")
+    @F.pandas_udf("int")
+    def distance(v: pd.Series, c: pd.Series) -> pd.Series:
+        return pd.Series([within(a, b, 2) for a, b in zip(v, c)], dtype="int32")
 
     @F.pandas_udf("double")
-    def posterior(v: pd.Series, c: pd.Series, n_v: pd.Series, n_c: pd.Series, d_v: pd.Series, d_c: pd.Series, typo: pd.Series) -> pd.Series:
+    def posterior(v: pd.Series, c: pd.Series, n_v: pd.Series, n_c: pd.Series, d_v: pd.Series, d_c: pd.Series, typo: pd.Series, edits: pd.Series) -> pd.Series:
         return pd.Series([
-            log_odds(*evidence(*n), max(len(a), len(b)), t) for a, b, t, *n in zip(v, c, typo, n_c, n_v, d_c, d_v)
+            log_odds(*evidence(*n), max(len(a), len(b)), t, e) for a, b, t, e, *n in zip(v, c, typo, edits, n_c, n_v, d_c, d_v)
         ], dtype="float64")
 
-    pairs = cut(pairs.filter(near("v", "c")))
+    pairs = cut(pairs.withColumn("edits", distance("v", "c")).filter(f"edits = 1 OR (edits = 2 AND length(v) >= {TWICE} AND length(c) >= {TWICE})"))
     # The chance of a typo in each space, one row a space: the mean over its names, so that a hot one counts as one.
     share = F.sum("n_v") / (F.sum("n_v") + F.first("n_c"))
-    wrong = pairs.filter(F.col("n_c") >= RARE * F.col("n_v")).groupBy("space", F.col("c").alias("word")).agg(share.alias("share"))
+    wrong = pairs.filter(F.col("n_c") >= RARE * F.col("n_v")).filter("edits = 1").groupBy("space", F.col("c").alias("word")).agg(share.alias("share"))
     typo = (F.coalesce(F.sum("share"), F.lit(0)) + TYPO * PRIOR) / (F.count(F.lit(1)) + PRIOR)
     chance = long.filter(F.col("n") >= RARE).join(wrong, ["space", "word"], "left").groupBy("space").agg(typo.alias("typo"))
-    scored = pairs.join(F.broadcast(chance), "space", "left").fillna(TYPO, ["typo"]).withColumn("odds", posterior("v", "c", "n_v", "n_c", "d_v", "d_c", "typo")).filter("odds > 0")
+    scored = pairs.join(F.broadcast(chance), "space", "left").fillna(TYPO, ["typo"]).withColumn("odds", posterior("v", "c", "n_v", "n_c", "d_v", "d_c", "typo", "edits")).filter("odds > 0")
     best = scored.groupBy("space", "v").agg(F.min(F.struct((-F.col("odds")).alias("o"), (-F.col("n_c")).alias("m"), "c")).alias("b"))
-    link = cut(best.select("space", F.col("v").alias("word"), F.col("b.c").alias("canon"), (-F.col("b.o")).alias("odds")))
-    out = link
-    for _ in range(3):  # a typo of a typo: counts grow along a chain, so it ends
-        up = link.select("space", F.col("word").alias("canon"), F.col("canon").alias("up"))
-        out = out.join(up, ["space", "canon"], "left").select("space", "word", F.coalesce("up", "canon").alias("canon"), "odds")
+    out = cut(best.select("space", F.col("v").alias("word"), F.col("b.c").alias("canon"), (-F.col("b.o")).alias("odds")))
+    while True:  # a typo of a typo: counts grow along a chain, so it ends; paths double at every step
+        up = out.select("space", F.col("word").alias("canon"), F.col("canon").alias("up"))
+        further = out.join(up, ["space", "canon"])
+        if further.isEmpty():
+            break
+        out = cut(out.join(up, ["space", "canon"], "left").select("space", "word", F.coalesce("up", "canon").alias("canon"), "odds"))
     return words.select("space", "word").distinct().join(out, ["space", "word"], "left").select(
         "space", "word", F.coalesce("canon", "word").alias("canon"), "odds"
     )
@@ -109,9 +121,21 @@ def organisation_entities(organisations: DataFrame) -> DataFrame:
     rows = organisation_writings(organisations)
     counts = cut(rows.groupBy("w").agg(F.count(F.lit(1)).alias("n")))
 
+    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame([e for w in b["w"] for e in evidence_of(w)], columns=["key", "kinds"], dtype=object)
+
+    told = cut(counts.select("w").mapInPandas(tell, "key string, kinds string").groupBy("key", "kinds").agg(F.count(F.lit(1)).alias("n")))
+    # At most one row a listed word, and one a text of two to four initials (the commonest kind of body of each).
+    listed = {r["key"]: float(r["n"]) for r in told.filter("kinds = ''").collect()}
+    top = told.filter("kinds <> '' AND key RLIKE '^[a-z]{2,4}$'").groupBy("key").agg(F.min(F.struct((-F.col("n")).alias("m"), "kinds")).alias("t"))
+    initials = {r["key"]: (r["t"]["kinds"], float(-r["t"]["m"])) for r in top.collect()}
+    n_writings = float(counts.count())
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        channel = Channel(listed, initials, n_writings)
         for b in batches:
-            parts = [body_parts(w) for w in b["w"]]
+            parts = [channel.body_parts(w) for w in b["w"]]
             yield pd.DataFrame([(w, n, *p) for w, n, p in zip(b["w"], b["n"], parts)], columns=["w", "n", "word", "body"], dtype=object)
 
     parsed = cut(counts.mapInPandas(run, "w string, n long, word string, body string").filter("word <> ''"))
@@ -149,7 +173,7 @@ def contact_entities(contacts: DataFrame) -> DataFrame:
     tokens = sides.select("w", "n", "side", F.posexplode("parts").alias("pos", "word"))
     words = tokens.groupBy(F.lit("p").alias("space"), "word").agg(F.sum("n").alias("n"), F.countDistinct("w").alias("d"))
     familiar = F.create_map(*[F.lit(x) for kv in FAMILIAR.items() for x in kv])
-    canon = attach_variants(words).select("word", F.col("canon").alias("c0"))
+    canon = attach_variants(words, frozenset(FAMILIAR)).select("word", F.col("canon").alias("c0"))
     named = tokens.join(canon, "word").withColumn("canon", F.coalesce(F.try_element_at(familiar, F.col("c0")), "c0"))
     # How often a canonical word stands on either side tells given from family names, also in swapped fields.
     roles = named.filter(F.length("canon") > 1).groupBy("canon").agg(

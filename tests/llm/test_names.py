@@ -1,5 +1,7 @@
+from collections import Counter
+
 from studyloom.llm import names
-from studyloom.llm.nameparts import body_parts, person_tokens
+from studyloom.llm.nameparts import Channel, evidence_of, person_tokens, shortening
 
 ORG = "row_id long, name string, organisation string, kind string"
 PER = "row_id long, first_name string, last_name string, entity string"
@@ -9,7 +11,21 @@ def links(pairs, kind):
     return {(r.row_a, r.row_b) for r in pairs.collect() if r.kind == kind}
 
 
+def channel(*writings):
+    rows = [e for w in writings for e in evidence_of(w)]
+    listed, runs = Counter(k for k, kinds in rows if not kinds), Counter((k, kinds) for k, kinds in rows if kinds)
+    initials = {}
+    for (k, kinds), n in sorted(runs.items(), key=lambda x: (-x[1], x[0])):
+        initials.setdefault(k, (kinds, n))
+    return Channel(listed, initials, len(writings))
+
+
+WRITINGS = [f"{kind} {place}" for place in ("Telwamtaltrom", "Kosrelmanhus", "Rivumstanden", "Skanwunfamsim") for kind in (
+    "University of", "Kosrel University Medical Centre", "Institute of Public Health", "Ministry of Health of", "Heart Foundation", "Institute of Technology", "Cancer Centre", "Department of Epidemiology")]
+
+
 def test_parts():
+    body_parts = channel(*WRITINGS).body_parts
     assert body_parts("Univ. of Telwamtaltrom")[1] == body_parts("Universität Telwamtaltrom")[1] == "university"
     assert body_parts("UMC Kosrel")[1] == body_parts("Kosrel University Medical Centre")[1] == "medical university"
     assert body_parts("Data Office") == ("", "") and body_parts("Ministry of Health of Xylanda") == ("xylanda", "health ministry")
@@ -17,6 +33,23 @@ def test_parts():
     assert person_tokens(None, None) == ([], []) and person_tokens("T.B.", "van Has") == (["t", "b"], [["has"]])
 
 
+def test_abbreviations_are_told_by_their_likelihood_alone():
+    c = channel(*WRITINGS)
+    for short, kinds in {"Inst. Publ. Hlth": "health public", "IPH": "health public", "MoH": "health ministry", "Univ": "university", "Tech": "technology", "Heart Fdn": "heart", "Dept. of Cancer": "cancer", "Cancer Ctr.": "cancer", "Bio-Bank": "biobank"}.items():
+        assert c.body_parts(f"{short} Kromdrumhil") == ("kromdrumhil", kinds), short
+    assert c.body_parts("Zark Kromdrumhil Biobank") == ("zarkkromdrumhil", "biobank") and c.body_parts("Uni") == ("", "university")
+    assert shortening("health", "hlth") > shortening("health", "hth") and shortening("university", "tech") == float("-inf")
+    assert shortening("university", "univ") > shortening("university", "unvst") > float("-inf") == shortening("a", "a")
+
+
+def test_short_words_two_typos_and_long_chains(spark):
+    words = [("p", "bonn", 100), ("p", "bonm", 1), ("p", "groningen", 100), ("p", "grunignen", 1), ("p", "dom", 4), ("p", "tom", 90)]
+    chain = [("q", w, n) for w, n in (("abcdefghij", 10**15), ("abcdefghiz", 10**12), ("abcdefghyz", 10**9), ("abcdefgxyz", 10**6), ("abcdefwxyz", 10**3), ("abcdevwxyz", 1))]
+    got = {r.word: r.canon for r in names.attach_variants(spark.createDataFrame(words + chain, "space string, word string, n long"), frozenset({"dom"})).collect()}
+    assert got["bonm"] == "bonn" and got["grunignen"] == "groningen" and got["dom"] == "dom"
+    assert {got[w] for _, w, _ in chain} == {"abcdefghij"}
+
+
 def test_organisations(spark):
     o = [
         (1, None, "Kusstesskaslol Cancer Centre", "x"), (2, "Cancer Ctr. Kusstesskaslol", None, "x"), (3, "unit", "KUSSTESSKASLOL cancer center", "x"), (4, None, "Kusstessakslol Cancer Centre", "x"),
