@@ -47,7 +47,8 @@ def fuzzy_match(values: DataFrame, col: str, choices: DataFrame, cutoff: float =
         rows = [(raw, *hit) for raw in a["raw"] for hit in _best(raw, listed, top)]
         return pd.DataFrame(rows, columns=["raw", "minus", "canonical", "key"])
 
-    hits = left.groupBy("block", "salt").cogroup(right.groupBy("block", "salt")).applyInPandas(meet, "raw string, minus double, canonical string, key string")
+    by = lambda df: df.repartition(salts, "block", "salt").groupBy("block", "salt")  # noqa: E731 - few rows, but long work
+    hits = by(left).cogroup(by(right)).applyInPandas(meet, "raw string, minus double, canonical string, key string")
     # At most top rows a value and block.
     best = hits.groupBy("raw").agg(F.slice(F.array_sort(F.collect_list(F.struct("minus", "canonical", "key"))), 1, top).alias("hits"))
     score = lambda i: F.coalesce(-F.try_element_at("hits", F.lit(i))["minus"], F.lit(0.0))
