@@ -23,34 +23,50 @@ class Trie:
             node[1] = w
 
     def search(self, word: str, limit: int) -> list[tuple[str, int]]:
-        """All (vocabulary word, edits) within limit: the trie is walked together with the Levenshtein automaton of word,
-        whose state is the band of positions still within the limit; a branch ends where the state is empty."""
+        """All (vocabulary word, edits) within limit: the trie is walked together with the Levenshtein automaton of word. A state of
+        the automaton is one set of positions for each number of edits, kept as bits; a branch ends where all are empty."""
         n = len(word)
+        full, end = (1 << (n + 1)) - 1, 1 << n
+        at: dict[str, int] = {}
+        for i, ch in enumerate(word):
+            at[ch] = at.get(ch, 0) | 1 << i
         found: list[tuple[str, int]] = []
-        start = {i: i for i in range(min(limit, n) + 1)}
-        stack = [(self.root, start)]
+        stack = [(self.root, [(1 << (e + 1)) - 1 & full for e in range(limit + 1)])]
         while stack:
             (children, whole), state = stack.pop()
-            if whole is not None and n in state:
-                found.append((whole, state[n]))
+            if whole is not None:
+                for e, bits in enumerate(state):
+                    if bits & end:
+                        found.append((whole, e))
+                        break
             for ch, child in children.items():
-                nxt: dict[int, int] = {}
-                for i, e in state.items():
-                    if e < limit:
-                        if nxt.get(i, 99) > e + 1:
-                            nxt[i] = e + 1  # ch is missing in word
-                        if i < n and nxt.get(i + 1, 99) > e + (word[i] != ch):
-                            nxt[i + 1] = e + (word[i] != ch)
-                    elif i < n and word[i] == ch and nxt.get(i + 1, 99) > e:
-                        nxt[i + 1] = e
-                for i in sorted(nxt):  # letters of word too many
-                    if nxt[i] < limit and i < n and nxt.get(i + 1, 99) > nxt[i] + 1:
-                        nxt[i + 1] = nxt[i] + 1
-                if nxt:
+                same = at.get(ch, 0)
+                before = state[0]
+                new = (before & same) << 1
+                nxt = [new]
+                for bits in state[1:]:
+                    # A letter read, a letter of the word missing, another letter, a letter of the word too many.
+                    new = ((bits & same) << 1 | before | before << 1 | new << 1) & full
+                    nxt.append(new)
+                    before = bits
+                if new:
                     stack.append((child, nxt))
         return found
 
 
+LONG = 10
+
+
+def edits_for(read: str) -> int:
+    """Edits within which candidates of a read word are looked for."""
+    return 1 if len(read) < 4 else 2 if len(read) < LONG else 3
+
+
+def likely(word: str, confusions: int) -> bool:
+    """True if a word may be printed where so many confusions made it what was read."""
+    return len(word) > 1 and confusions <= (1 if len(word) < 5 else 2 if len(word) < 9 else 3)
+
+
 def misreadings(printed: str, read: str, limit: int = 3) -> int:
     """Least number of confusions that turn printed into read; limit + 1 if it cannot be told so."""
     n, m = len(printed), len(read)
@@ -73,27 +89,26 @@ def misreadings(printed: str, read: str, limit: int = 3) -> int:
 
 
 class Lexicon:
-    """Words with their share of papers, and the bigrams that serve as context."""
+    """Words with the number of papers that have them, and the bigrams that serve as context."""
 
-    def __init__(self, words: dict[str, int], pairs: dict[tuple[str, str], int] | None = None):
+    def __init__(self, words: dict[str, int], pairs: dict[tuple[str, str], int] | None = None, known: dict[str, list[tuple[str, int]]] | None = None):
+        """known: the candidates of all read words that have any (then ``words`` need not hold the whole vocabulary); else they are
+        looked up in the trie of ``words``."""
         self.words, self.pairs = words, pairs or {}
-        self.trie = Trie(words)
-        self.known: dict[str, list[tuple[str, int]]] = {}
+        self.trie = Trie(words) if known is None else None
+        self.known = {} if known is None else known
+        #: Papers that have a candidate, where it is not among ``words``.
+        self.counts: dict[str, int] = {}
         #: Tokens known to be sound as they stand, with their plain form.
         self.fine: dict[str, str] = {}
 
     def candidates(self, read: str) -> list[tuple[str, int]]:
         """Vocabulary words that can have been misread as ``read``, with the number of confusions."""
+        if self.trie is None:
+            return self.known.get(read, [])
         if read not in self.known:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            limit = 1 if len(read) < 4 else 2 if len(read) < 10 else 3
-            out = []
-            for w, _ in self.trie.search(read, limit):
-                k = misreadings(w, read)
-                if k <= (1 if len(w) < 5 else 2 if len(w) < 9 else 3) and len(w) > 1:
-                    out.append((w, k))
-            self.known[read] = out
+            found = [(w, misreadings(w, read)) for w, _ in self.trie.search(read, edits_for(read))]
+            self.known[read] = [(w, k) for w, k in found if likely(w, k)]
         return self.known[read]
 
     def repair(self, read: str, before: str = "", after: str = "") -> str | None:
@@ -105,6 +120,6 @@ class Lexicon:
         def score(c: tuple[str, int]) -> tuple:
             w, k = c
             context = (self.pairs.get((before, w), 0) > 0) + (self.pairs.get((w, after), 0) > 0)
-            return (context - 1.5 * k, self.words[w], w)
+            return (context - 1.5 * k, self.words.get(w) or self.counts.get(w, 0), w)
 
         return max(found, key=score)[0]

@@ -1,10 +1,14 @@
 """Noise in text from scanned pages (problem 6).
 
-Method: a vocabulary is counted over all papers (a word must stand in a share of the papers, so that its size is bounded by
-the words of a paper, not by the corpus; words that are far more frequent misreadings of others are taken out); for an
-unknown word the Levenshtein automaton is intersected with the vocabulary trie, which yields every candidate within the
-limit; candidates that character confusions explain are ranked with their neighbours' bigrams and frequency; then page
-furniture is removed and the text is reflowed, words cut at line ends being joined.
+Method: a vocabulary is counted over all papers (words in at least two of them, at any size of the corpus; words that are far
+more frequent misreadings of others are taken out); the Levenshtein automaton of every word that is looked up anywhere is
+intersected once with the vocabulary trie, which yields every candidate within the limit; candidates that character confusions
+explain are ranked with their neighbours' bigrams and frequency; then page furniture is removed and the text is reflowed, words
+cut at line ends being joined.
+
+Neither the vocabulary nor its trie is held as a whole anywhere: it is cut into blocks by length of word, and the looked-up
+words meet the blocks of the lengths that their edits allow. Papers are handled in groups of ``GROUP``; a group is given the part
+of the vocabulary, the candidates and the bigrams that its own texts ask for.
 
 Defined results: null and blank texts give no damage and an empty text; repeated papers each give their rows; a paper is
 read whole; an empty table gives empty results. Only paper_id, paper_text and n_pages are read.
@@ -12,92 +16,169 @@ read whole; an empty table gives empty results. Only paper_id, paper_text and n_
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
-from studyloom.llm.lexicon import Lexicon, Trie, misreadings
-from studyloom.llm.pages import analyse, lexical_words
-from studyloom.session import cut
+from studyloom.llm.lexicon import LONG, Lexicon, Trie, edits_for, likely, misreadings
+from studyloom.llm.pages import analyse, asked, gone_lines, lexical_words
+from studyloom.session import cut, parallelism
 
-#: A vocabulary word stands in at least this share of the papers (and in LEAST): at most words-per-paper / SHARE words.
-SHARE, LEAST = 0.01, 2
+#: A vocabulary word, and a bigram that serves as context, stands in at least so many papers.
+LEAST = 2
 #: A word that a word so many times as frequent explains as a misreading is no vocabulary.
 FAR_MORE = 8
+GROUP = 32  # papers of a group
+BLOCK = 50_000  # vocabulary words of a trie
+READS = 500  # read words that meet a block at once, as far as tasks allow
 
 
-def lexicon(papers: DataFrame) -> tuple[dict[str, int], dict[tuple[str, str], int]]:
-    """Vocabulary with paper counts, and bigrams of it in at least the same share of papers."""
-    n = papers.count()
-    least = max(LEAST, int(SHARE * n))
+def prepared(papers: DataFrame) -> DataFrame:
+    """(grp, paper_id, paper_text, gone): papers spread in groups, with the lines that are page furniture."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            count: dict[tuple[str, str], int] = {}
-            for t in b["paper_text"]:
-                if isinstance(t, str) and t:
-                    words, pairs = lexical_words(t)
-                    for w in words:
-                        count[w, ""] = count.get((w, ""), 0) + 1
-                    for p in pairs:
-                        count[p] = count.get(p, 0) + 1
-            yield pd.DataFrame({
-                "a": pd.Series([k[0] for k in count], dtype=object), "b": pd.Series([k[1] for k in count], dtype=object), "n": list(count.values())
-            })
-
-    counts = papers.select("paper_text").mapInPandas(run, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    counts = cut(counts)
-    words = {r["a"]: r["n"] for r in counts.filter("b = ''").select("a", "n").collect()}
-    shared = papers.sparkSession.sparkContext.broadcast(words)
-
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = shared.value
-        trie = Trie(vocabulary)
-        for b in batches:
-            keep = []
-            for w in b["a"]:
-                near = trie.search(w, 2) if len(w) > 2 else []
-                keep.append(not any(v != w and vocabulary[v] >= FAR_MORE * vocabulary[w] and misreadings(v, w) <= 2 for v, _ in near))
-            yield pd.DataFrame({"a": pd.Series([w for w, k in zip(b["a"], keep) if k], dtype=object)})
+            gone = [sorted(gone_lines(t, int(n) if n == n and n is not None else None)) if isinstance(t, str) and t else [] for t, n in zip(b["paper_text"], b["n_pages"])]
+            yield pd.DataFrame({"grp": b["grp"], "paper_id": b["paper_id"], "paper_text": b["paper_text"].astype(object), "gone": pd.Series(gone, dtype=object)})
 
-    single = counts.filter("b = ''").select("a")
-    sound = {r["a"] for r in single.repartition(max(1, min(64, len(words) // 200))).mapInPandas(judge, "a string").collect()}
-    pairs = {
-        (r["a"], r["b"]): r["n"] for r in counts.filter("b <> ''").collect() if r["a"] in sound and r["b"] in sound
-    }
-    return {w: k for w, k in words.items() if w in sound}, pairs
+    groups = max(1, -(-papers.count() // GROUP))
+    # Rows are numbered as they lie in the files, so groups are even even if one paper is repeated without end.
+    grouped = papers.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).alias("grp"), "paper_id", "paper_text", "n_pages")
+    spread = grouped.repartition(max(1, min(groups, parallelism(papers.sparkSession) * 2)), "grp")
+    return cut(spread.mapInPandas(run, "grp long, paper_id long, paper_text string, gone array<int>"))
 
 
-def _analysed(papers: DataFrame, schema: str, shape) -> DataFrame:
-    words, pairs = lexicon(papers)
-    shared = papers.sparkSession.sparkContext.broadcast((words, pairs))
+def told(groups: DataFrame) -> DataFrame:
+    """(grp, a, b, n, ask, look): words (b is "") and bigrams of a group with the papers of it that count for the vocabulary; ask tells
+    that an analysis may look them up, look that it may want candidates."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lex = Lexicon(*shared.value)
         for b in batches:
-            for i, t, n in zip(b["paper_id"], b["paper_text"], b["n_pages"]):
-                found, text = analyse(t, lex, int(n) if n == n and n is not None else None) if isinstance(t, str) else ([], "")
-                yield shape(i, found, text)
+            rows = []
+            for g, part in b.groupby("grp"):
+                count: Counter = Counter()
+                ask: set[tuple[str, str]] = set()
+                wanted: set[str] = set()
+                for t, gone in zip(part["paper_text"], part["gone"]):
+                    if isinstance(t, str) and t:
+                        words, pairs = lexical_words(t)
+                        count.update((w, "") for w in words)
+                        count.update(pairs.keys())
+                        forms, look, near = asked(t, {int(i) for i in gone})
+                        wanted |= look
+                        ask.update((f, "") for f in forms)
+                        ask |= near
+                rows += [(g, x, y, count[x, y], (x, y) in ask, not y and x in wanted) for x, y in count.keys() | ask]
+            yield pd.DataFrame(rows, columns=["grp", "a", "b", "n", "ask", "look"], dtype=object)
+
+    return cut(groups.mapInPandas(run, "grp long, a string, b string, n long, ask boolean, look boolean"))
+
+
+def retrieved(reads: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(read, word, n, edits, confusions) of all vocabulary words (word, n) that can have been misread as each read word (read)."""
+    reads = cut(reads)
+    salts = max(1, min(parallelism(reads.sparkSession) * 2, -(-reads.count() // READS)))
+    upto = lambda c: F.explode(F.sequence(F.lit(0), c - 1))
+    # A small vocabulary is one block for all lengths.
+    parted = vocabulary.count() > BLOCK
+    by_len = lambda c: F.length(c) if parted else F.lit(0)
+    reach = F.when(F.length("read") < LONG, 2).otherwise(3)
+    lens = F.explode(F.sequence(F.length("read") - reach, F.length("read") + reach)) if parted else F.lit(0)
+    chunks = vocabulary.groupBy(by_len("word").alias("len")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("chunks"))
+    left = reads.select("read", lens.alias("len")).join(chunks, "len").select("read", "len", upto(F.col("chunks")).alias("chunk")).withColumn("salt", F.pmod(F.xxhash64("read"), F.lit(salts)).cast("int"))
+    right = vocabulary.withColumn("len", by_len("word")).join(chunks, "len").withColumn("chunk", F.pmod(F.xxhash64("word"), F.col("chunks")).cast("int")).withColumn("salt", upto(F.lit(salts)))
+
+    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        counts = dict(zip(b["word"], b["n"]))
+        trie = Trie(counts)
+        rows = [
+            (r, w, counts[w], e, k) for r in a["read"] for w, e in trie.search(r, max(2, edits_for(r)))
+            if w != r and (k := misreadings(w, r)) <= 3
+        ] if counts else []
+        return pd.DataFrame(rows, columns=["read", "word", "n", "edits", "confusions"], dtype=object)
+
+    by = ["len", "chunk", "salt"]
+    # A stated number of partitions: the rows are few, but each is long work.
+    spread = lambda df: df.repartition(parallelism(reads.sparkSession) * 2, *by).groupBy(*by)
+    return spread(left).cogroup(spread(right.select(*by, "word", "n"))).applyInPandas(meet, "read string, word string, n long, edits int, confusions int")
+
+
+@F.pandas_udf(BooleanType())
+def _possible(read: pd.Series, word: pd.Series, edits: pd.Series, confusions: pd.Series) -> pd.Series:
+    return pd.Series([e <= edits_for(r) and likely(w, k) for r, w, e, k in zip(read, word, edits, confusions)], dtype="bool")
+
+
+def lexicons(groups: DataFrame) -> DataFrame:
+    """(grp, kind, a, b, n): for each group the vocabulary words it asks for ("word", a, n), the candidates of the unknown words
+    ("candidate", a read, b word, n confusions; "count", b word, n) and the bigrams that may be their context ("pair", a, b)."""
+    rows = told(groups)
+    counted = cut(rows.filter("n > 0").groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST))
+    vocabulary = counted.filter("b = ''").select(F.col("a").alias("word"), "n")
+    # The vocabulary itself is looked up to find what is unsound in it.
+    reads = rows.filter("look").select(F.col("a").alias("read")).unionByName(vocabulary.select(F.col("word").alias("read"))).distinct()
+    near = cut(retrieved(reads, vocabulary))
+    own = vocabulary.select(F.col("word").alias("read"), F.col("n").alias("own"))
+    unsound = near.join(own, "read").filter((F.length("read") > 2) & (F.col("edits") <= 2) & (F.col("confusions") <= 2) & (F.col("n") >= FAR_MORE * F.col("own")))
+    sound = cut(vocabulary.join(unsound.select(F.col("read").alias("word")).distinct(), "word", "left_anti"))
+    found = near.filter(_possible("read", "word", "edits", "confusions")).join(sound.select("word"), "word")
+    found = cut(found.join(sound.select(F.col("word").alias("read")), "read", "left_anti").select("read", "word", "n", "confusions"))
+    forms = rows.filter("b = '' AND ask").select("grp", "a")
+    words = forms.join(sound, F.col("a") == F.col("word")).select("grp", F.lit("word").alias("kind"), "a", F.lit("").alias("b"), "n")
+    options = forms.join(found, F.col("a") == F.col("read")).select("grp", "a", "word", "n", "confusions")
+    candidates = options.select("grp", F.lit("candidate").alias("kind"), "a", F.col("word").alias("b"), F.col("confusions").cast("long").alias("n"))
+    counts = options.select("grp", F.lit("count").alias("kind"), F.lit("").alias("a"), F.col("word").alias("b"), "n").distinct()
+    # Either neighbour may stand as it is or be read as one of its candidates.
+    ask = rows.filter("b <> '' AND ask").select("grp", "a", "b")
+    may = lambda side: found.select(F.col("read").alias(side), F.col("word").alias(f"{side}_may"))
+    both = ask.join(may("a"), "a", "left").join(may("b"), "b", "left").filter("a_may IS NOT NULL OR b_may IS NOT NULL")
+    forms_of = lambda side: F.array_compact(F.array(F.col(side), F.col(f"{side}_may")))
+    ways = both.select("grp", F.explode(forms_of("a")).alias("a"), "b", "b_may").select("grp", "a", F.explode(forms_of("b")).alias("b")).distinct()
+    context = ways.join(counted.filter("b <> ''").select("a", "b"), ["a", "b"]).select("grp", F.lit("pair").alias("kind"), "a", "b", F.lit(1).cast("long").alias("n"))
+    return words.unionByName(candidates).unionByName(counts).unionByName(context)
+
+
+def lexicon_of(rows: pd.DataFrame) -> Lexicon:
+    """Lexicon of a group from its rows."""
+    part = {k: v for k, v in rows.groupby("kind")}
+    of = lambda k: part[k][["a", "b", "n"]].itertuples(index=False) if k in part else ()
+    known: dict[str, list[tuple[str, int]]] = {}
+    for read, word, k in of("candidate"):
+        known.setdefault(read, []).append((word, int(k)))
+    lex = Lexicon({a: int(n) for a, _, n in of("word")}, {(a, b): 1 for a, b, _ in of("pair")}, known)
+    lex.counts = {b: int(n) for _, b, n in of("count")}
+    return lex
 
-    return papers.select("paper_id", "paper_text", "n_pages").mapInPandas(run, schema)
 
+def _analysed(papers: DataFrame, schema: str, shape) -> DataFrame:
+    groups = prepared(papers)
+    parts = cut(lexicons(groups))
 
-def damage(papers: DataFrame) -> DataFrame:
-    """(paper_id, line_no, damage)."""
+    def run(part: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        lex = lexicon_of(rows)
+        out = []
+        for i, t, gone in zip(part["paper_id"], part["paper_text"], part["gone"]):
+            found, text = analyse(t, lex, {int(g) for g in gone}) if isinstance(t, str) else ([], "")
+            out += shape(i, found, text)
+        return pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")], dtype=object)
+
+    by_group = lambda df: df.repartition(parallelism(papers.sparkSession) * 2, "grp").groupBy("grp")
+    return by_group(groups).cogroup(by_group(parts)).applyInPandas(run, schema)
 
-    def shape(i, found, _text) -> pd.DataFrame:
-        return pd.DataFrame({"paper_id": [i] * len(found), "line_no": [k for k, _ in found], "damage": pd.Series([d for _, d in found], dtype=object)})
 
-    return _analysed(papers, "paper_id long, line_no long, damage string", shape)
+def damage(papers: DataFrame) -> DataFrame:
+    """(paper_id, line_no, damage)."""
+    return _analysed(papers, "paper_id long, line_no long, damage string", lambda i, found, _: [(i, k, d) for k, d in found])
 
 
 def repaired(papers: DataFrame) -> DataFrame:
     """(paper_id, text, n_furniture, n_broken, n_misread): continuous paragraphs, divided by blank lines."""
 
-    def shape(i, found, text) -> pd.DataFrame:
-        n = {k: sum(d == k for _, d in found) for k in ("furniture", "broken_word", "misread")}
-        return pd.DataFrame({"paper_id": [i], "text": pd.Series([text], dtype=object), "n_furniture": [n["furniture"]], "n_broken": [n["broken_word"]], "n_misread": [n["misread"]]})
+    def shape(i, found, text) -> list[tuple]:
+        n = Counter(d for _, d in found)
+        return [(i, text, n["furniture"], n["broken_word"], n["misread"])]
 
     return _analysed(papers, "paper_id long, text string, n_furniture long, n_broken long, n_misread long", shape)

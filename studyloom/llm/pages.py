@@ -14,7 +14,7 @@ _PAGE = re.compile(rf"^\W*(?:p[ao]g[ec]\W*)?(?:{_NUM})(?:\s*(?:of|oi|0f|/)\s*(?:
 _PAGED = re.compile(rf"^(?:(?:{_NUM})(?:\s{{2,}}|\s*[|–—]\s*)(?P<a>.+)|(?P<b>.+?)(?:\s{{2,}}|\s*[|–—]\s*)(?:{_NUM}))$")
 _LONE = re.compile(r"^\d{1,4}$")
 _ROMAN = re.compile(r"^[\s\-–—]*[ivxl]{1,7}[\s\-–—]*$")
-_RIGHTS = re.compile(r"©|all rights? r[ec]s[ec]rv[ec]d|study group, all", re.I)
+_RIGHTS = re.compile(r"©|all rights? r[ec]s[ec]rv[ec]d", re.I)
 _ROW = re.compile(r"^(?:\S+(?: \S+){0,3})?(?:(?:^|\s{2,}|\t)[\d.,()%<>=\-–/ ]+)+$")
 _HEADING = re.compile(r"^(?:\d{1,2}(?:\.\d{1,2})*\.?\s+)?[A-Z][^.!?]{2,60}$")
 _TOKEN = re.compile(r"\S+")
@@ -299,10 +299,9 @@ def misread(token: str, lex: Lexicon, before: str, after: str, opens: bool) -> s
     return None
 
 
-def analyse(text: str, lex: Lexicon, n_pages: int | None = None) -> tuple[list[tuple[int, str]], str]:
-    """((line number from 1, damage) in order, repaired text as paragraphs divided by blank lines)."""
+def analyse(text: str, lex: Lexicon, gone: set[int]) -> tuple[list[tuple[int, str]], str]:
+    """((line number from 1, damage) in order, repaired text as paragraphs divided by blank lines). gone: lines of furniture."""
     lines = split_lines(text)
-    gone = furniture(lines, n_pages)
     found: set[tuple[int, str]] = {(i + 1, "furniture") for i in gone}
     paragraphs: list[str] = []
     fine = lex.fine
@@ -348,7 +347,7 @@ def analyse(text: str, lex: Lexicon, n_pages: int | None = None) -> tuple[list[t
                     tok = tok.replace(body, _cased(fixed, body), 1)
                 words.append(tok)
                 before, opens = _core(tok).lower(), tok[-1:] in ".!?" and len(tok) > 1
-                if fixed is None and (before in lex.words or _NUMERIC.match(before)) and len(fine) < 1_000_000:
+                if fixed is None and (before in lex.words or _NUMERIC.match(before)):
                     fine[tok] = before
         if carry is not None:
             words.append(carry[1] + "-")
@@ -384,3 +383,55 @@ def lexical_words(text: str) -> tuple[set[str], Counter]:
             else:
                 before = ""
     return words, pairs
+
+
+def _repairable(raw: str, opens: bool) -> bool:
+    """True if misread() may look for candidates of a token that is not in the vocabulary."""
+    if sum(map(str.isalpha, raw)) < 2:
+        return False
+    if _WORDISH.match(raw):
+        return len(raw) > 2 and (opens or not raw[:1].isupper())
+    return not _IDENTIFIER.search(raw)
+
+
+def asked(text: str, gone: set[int]) -> tuple[set[str], set[str], set[tuple[str, str]]]:
+    """(every form that an analysis of the text may look up, those of which it may want candidates, every pair of neighbours
+    whose context it may look at)."""
+    lines = split_lines(text)
+    forms: set[str] = set()
+    look: set[str] = set()
+    pairs: set[tuple[str, str]] = set()
+    for block in blocks_of(lines, gone):
+        if not running(lines, block):
+            continue
+        before: set[str] = set()
+        carry, opens = "", True
+        for k, i in enumerate(block):
+            line: list[tuple[tuple[str, ...], str]] = []  # what each token may be read as, and the token
+            toks = _TOKEN.findall(lines[i].strip("\x0c"))
+            if carry and toks:
+                a, b = carry.strip(EDGE), _core(toks[0])
+                forms.update((b.lower(), a.lower().rsplit("-", 1)[-1]))
+                look.update(((a + b).lower(), f"{a}-{b}".lower()))
+                line.append(((a + b, f"{a}-{b}"), toks[0]))
+                toks, carry = toks[1:], ""
+            if toks and k + 1 < len(block) and len(toks[-1]) > 1 and toks[-1][-1] in HYPHENS and toks[-1][-2].isalnum():
+                carry = toks.pop()[:-1]
+            line += [((_core(t),), t) for t in toks]
+            for reads, token in line:
+                own: set[str] = set()
+                for r in reads:
+                    for p in {r, *(x.strip(EDGE) for x in r.split("-"))}:
+                        own.add(p.lower())
+                        if _repairable(p, opens):
+                            look.add(p.lower())
+                own.discard("")
+                forms |= own
+                pairs.update((x, y) for x in before for y in own)
+                before = own
+                opens = token[-1] in ".!?" and len(token) > 1
+    return {f for f in forms | look if sum(map(str.isalpha, f)) > 1}, look, pairs
+
+
+def gone_lines(text: str, n_pages: int | None = None) -> set[int]:
+    return furniture(split_lines(text), n_pages)

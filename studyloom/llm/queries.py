@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studyloom.llm import leaks, mapping, mixing, names, ocr, pieces, quality
-from studyloom.session import cut, spread, table
+from studyloom.session import cut, table
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -46,11 +46,11 @@ def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return ocr.damage(spread(table(spark, d, "pdf_text"))).distinct()
+    return ocr.damage(table(spark, d, "pdf_text")).distinct()
 
 
 def p6_text(spark: SparkSession, d: str) -> DataFrame:
-    return ocr.repaired(spread(table(spark, d, "pdf_text")))
+    return ocr.repaired(table(spark, d, "pdf_text"))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:

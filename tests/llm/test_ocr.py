@@ -1,9 +1,12 @@
+from collections import Counter
+
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from studyloom.llm import ocr
 from studyloom.llm.lexicon import Lexicon, Trie, misreadings
-from studyloom.llm.pages import analyse, furniture, lexical_words
+from studyloom.llm.pages import analyse, furniture, gone_lines, lexical_words
 
 CLEAN = "The association between dietary fibre and school performance was small after adjustment for education. Each visit lasted about two hours and ended with the collection of samples."
 PAGE = """Green space and hip fracture in adolescents of | 1
@@ -39,7 +42,7 @@ def lexicon():
 
 
 def test_page():
-    found, text = analyse(PAGE, lexicon(), 3)
+    found, text = analyse(PAGE, lexicon(), gone_lines(PAGE, 3))
     lines = PAGE.split("\n")
     by = {k: sorted(lines[n - 1] for n, d in found if d == k) for k in ("furniture", "broken_word", "misread")}
     assert [x[-3:] for x in by["furniture"]] == ["| 1", "| 2", "| 3"] or sorted(x[-3:] for x in by["furniture"]) == sorted(["| 1", "| 2", "| 3"] + (["2"] if "2" in by["furniture"] else []))
@@ -79,9 +82,42 @@ def test_misreadings():
 def test_vocabulary_leaves_out_frequent_misreadings_and_handles_edges(spark, rows):
     p = [(i, CLEAN + (" fibrc" if i < 2 else ""), 1, "c", 0, "c") for i in range(40)] + [(90, None, None, "c", 0, "c"), (91, "", 0, "c", 0, "c"), (92, CLEAN.replace("fibre", "fibrc"), None, "c", 0, "c"), (92, CLEAN, None, "c", 0, "c")]
     df = spark.createDataFrame(p, SCHEMA)
-    words, _ = ocr.lexicon(df)
-    assert "fibre" in words and "fibrc" not in words
+    known = {r.a for r in ocr.lexicons(ocr.prepared(df)).filter("kind = 'word'").collect()}
+    assert "fibre" in known and "fibrc" not in known
     assert rows(ocr.damage(df).filter("paper_id >= 90")) == [(92, 1, "misread")]
     fixed = {(r.paper_id, r.n_misread): r.text for r in ocr.repaired(df).filter("paper_id >= 90").collect()}
     assert fixed[92, 1] == CLEAN and fixed[90, 0] == "" and fixed[91, 0] == ""
     assert ocr.damage(df.limit(0)).count() == 0
+
+
+def whole_lexicon(texts):
+    """Vocabulary, bigrams and trie of all papers in one place."""
+    words, pairs = Counter(), Counter()
+    for t in texts:
+        w, p = lexical_words(t)
+        words.update(w)
+        pairs.update(p.keys())
+    words = {w: n for w, n in words.items() if n >= ocr.LEAST}
+    trie = Trie(words)
+    bad = {w for w in words if len(w) > 2 and any(v != w and words[v] >= ocr.FAR_MORE * words[w] and misreadings(v, w) <= 2 for v, _ in trie.search(w, 2))}
+    sound = {w: n for w, n in words.items() if w not in bad}
+    return Lexicon(sound, {p: n for p, n in pairs.items() if n >= ocr.LEAST})
+
+
+@pytest.mark.parametrize("group,block", [(3, 50_000), (40, 25)])
+def test_groups_and_blocks_give_what_one_lexicon_gives(spark, monkeypatch, group, block):
+    papers = spark.read.parquet("/root/testdata/sf0.001/pdf_text.parquet").unionByName(spark.read.parquet("/root/testdata/sf0.01/pdf_text.parquet").filter("paper_id % 4 = 0"))
+    rows = papers.select("paper_id", "paper_text", "n_pages").collect()
+    lex = whole_lexicon([r.paper_text for r in rows if r.paper_text])
+    want = {(r.paper_id, n, d) for r in rows if r.paper_text for n, d in analyse(r.paper_text, lex, gone_lines(r.paper_text, r.n_pages))[0]}
+    monkeypatch.setattr(ocr, "GROUP", group)
+    monkeypatch.setattr(ocr, "BLOCK", block)
+    assert {tuple(r) for r in ocr.damage(papers).collect()} == want and len(want) > 100
+
+
+def test_rare_words_and_their_misreadings_count_at_any_size(spark):
+    """A word of two papers is vocabulary whatever the number of papers, and mends a misreading of it."""
+    rare = "The zymotic lattice was then described with great care by all of them."
+    for many in (4, 120):
+        p = [(i, CLEAN, 1, "c", 0, "c") for i in range(many)] + [(900, rare, 1, "c", 0, "c"), (901, rare, 1, "c", 0, "c"), (902, rare.replace("zymotic", "zyrnotic"), 1, "c", 0, "c")]
+        assert [(r.paper_id, r.damage) for r in ocr.damage(spark.createDataFrame(p, SCHEMA)).collect()] == [(902, "misread")]
