@@ -1,8 +1,10 @@
-"""Calls of an external extraction model as a DataFrame operator (L1-L3, L6, L8, L10): chunk, ask, read, merge."""
+"""Calls of an external extraction model as a DataFrame operator (A15-A17, G3, L1-L6, L8, L10, L11): chunk, ask, read, merge."""
 
 from __future__ import annotations
 
+import itertools
 import json
+import os
 import time
 from collections.abc import Callable, Iterator
 
@@ -10,8 +12,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from studyloom.operators.answers import detail_of, distinct_items, overlaid
 from studyloom.operators.chunks import chunk_bounds
 from studyloom.operators.nested import filled, read_object
+from studyloom.session import cut, parallelism
 
 Client = Callable[[str], str]
 #: A factory is called once in each Python worker; it must be picklable.
@@ -34,6 +38,8 @@ def ask(client: Client, prompt: str, tries: int = 12, pause: float = 1.0) -> tup
     for n in range(tries):
         try:
             return client(prompt), n + 1
+        except ContextOverflow:
+            raise
         except Exception:  # noqa: BLE001 - whatever the client raises is tried again
             if n + 1 == tries:
                 raise
@@ -79,28 +85,141 @@ def with_defaults(result: dict, template: dict) -> dict:
     return {k: result.get(k, empty(t)) for k, t in template.items()} | {k: v for k, v in result.items() if k not in template}
 
 
-def extract(docs: DataFrame, key: str, text: str, template: dict, instructions: str, factory: Factory, size: int = 45_000, overlap: int = 4000, tries: int = 12, pause: float = 1.0) -> DataFrame:
-    """L3: (key, result as JSON, n_chunks, n_filled, n_calls) of every document. An answer that cannot be read is asked for once more."""
+class ContextOverflow(Exception):
+    """Raised by a client whose model cannot take so long a prompt."""
+
+
+def pooled(clients: list[Factory]) -> Factory:
+    """A factory that deals the clients of several servers in turn to the workers' processes."""
+
+    def make() -> Client:
+        made = [f() for f in clients]
+        turn = itertools.count(os.getpid())
+        return lambda prompt: made[next(turn) % len(made)](prompt)
+
+    return make
+
+
+def _read(client: Client, prompt: str, tries: int, pause: float) -> tuple[dict | None, int]:
+    """(object, calls): an answer that cannot be read is asked for once more."""
+    calls = 0
+    for _ in range(2):
+        answer, n = ask(client, prompt, tries, pause)
+        calls += n
+        if (obj := read_object(answer)) is not None:
+            return typed(obj), calls
+    return None, calls
+
+
+def extract_text(client: Client, text: str, template: dict, instructions: str, size: int = 45_000, overlap: int = 4000, threshold: int | None = 60_000, tries: int = 12, pause: float = 1.0) -> tuple[dict, dict]:
+    """L3: (result with the template's defaults, trace): asked at once; in chunks if the text is longer than the threshold, if the
+    model overflows, or if nothing was filled (the first and the last only with a threshold)."""
     shape = json.dumps(template, ensure_ascii=False)
+    trace = {"chunks": 0, "filled": 0, "calls": 0, "way": "whole"}
+    parts: list[dict] = []
+
+    def run(chunks: list[str]) -> None:
+        trace["chunks"] = len(chunks)
+        for chunk in chunks:
+            obj, calls = _read(client, prompt_of(instructions, shape, chunk), tries, pause)
+            trace["calls"] += calls
+            if obj is not None:
+                parts.append(obj)
+
+    chunked = threshold is not None and len(text) > threshold
+    if not chunked:
+        try:
+            run([text])
+            chunked = threshold is not None and not any(map(filled, parts))
+        except ContextOverflow:
+            chunked = True
+    if chunked:
+        parts.clear()
+        trace["way"] = "chunks"
+        run(chunk_bounds(text, size, overlap))
+    trace["filled"] = sum(map(filled, parts))
+    return with_defaults(merge(parts), template), trace
+
+
+# Fields of an item that the first stage asks for.
+SEED_KEYS = ("name", "pid", "number_of_participants", "main_medical_condition", "description", "keywords")
+
+
+def seed_template(template: dict, name: str = "subpopulations") -> dict:
+    """Template of the first stage: the list with the few fields that tell its items apart."""
+    item = (template.get(name) or [{}])[0]
+    seed = {k: item[k] for k in SEED_KEYS if isinstance(item, dict) and k in item}
+    return {name: [seed or {"name": None, "pid": None, "number_of_participants": None}]}
+
+
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+
+
+def extract(docs: DataFrame, key: str, text: str, template: dict, instructions: str, factory: Factory, size: int = 45_000, overlap: int = 4000, tries: int = 12, pause: float = 1.0, threshold: int | None = 60_000) -> DataFrame:
+    """L3, L2: (key, result as JSON, n_chunks, n_filled, n_calls, way) of every document; null texts give the template's defaults."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = factory()
         for b in batches:
             for k, t in zip(b["k"], b["t"]):
-                parts, calls = [], 0
-                chunks = chunk_bounds(t, size, overlap) if isinstance(t, str) else []
-                for chunk in chunks:
-                    obj = None
-                    for _ in range(2):
-                        answer, n = ask(client, prompt_of(instructions, shape, chunk), tries, pause)
-                        calls += n
-                        if (obj := read_object(answer)) is not None:
-                            break
-                    if obj is not None:
-                        parts.append(typed(obj))
-                result = json.dumps(with_defaults(merge(parts), template), ensure_ascii=False)
-                yield pd.DataFrame({key: [k], "result": [result], "n_chunks": [len(chunks)], "n_filled": [sum(map(filled, parts))], "n_calls": [calls]})
+                found = extract_text(client, t, template, instructions, size, overlap, threshold, tries, pause) if isinstance(t, str) and t.strip() else (with_defaults({}, template), {"chunks": 0, "filled": 0, "calls": 0, "way": "none"})
+                row = (k, json.dumps(found[0], ensure_ascii=False), *(found[1][x] for x in ("chunks", "filled", "calls", "way")))
+                yield pd.DataFrame([row], columns=[key, "result", "n_chunks", "n_filled", "n_calls", "way"], dtype=object)
+
+    return _texts(docs, key, text).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, result string, n_chunks long, n_filled long, n_calls long, way string")
 
+
+def extract_two_stages(docs: DataFrame, key: str, text: str, template: dict, instructions: str, factory: Factory, name: str = "subpopulations", tries: int = 12, pause: float = 1.0) -> DataFrame:
+    """(key, result as JSON, n_seeds, n_calls): first the items' seeds, then the details of each seed on its own, spread over all
+    workers; details are chosen, laid over their seeds, put in order and freed of repeats."""
     kind = dict(docs.dtypes)[key]
-    src = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    return src.mapInPandas(run, f"{key} {kind}, result string, n_chunks long, n_filled long, n_calls long")
+    few, shape = json.dumps(seed_template(template, name), ensure_ascii=False), json.dumps(template, ensure_ascii=False)
+
+    def seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = factory()
+        for b in batches:
+            rows = []
+            for k, t in zip(b["k"], b["t"]):
+                obj, calls = _read(client, prompt_of(instructions, few, t), tries, pause) if isinstance(t, str) and t.strip() else (None, 0)
+                items = distinct_items((obj or {}).get(name) or [])
+                rows += [(k, i, json.dumps(x, ensure_ascii=False), calls if i == 0 else 0) for i, x in enumerate(items)] or [(k, -1, None, calls)]
+            yield pd.DataFrame(rows, columns=["k", "i", "seed", "calls"], dtype=object)
+
+    found = cut(_texts(docs, key, text).mapInPandas(seeds, f"k {kind}, i int, seed string, calls int"))
+    asked = found.filter("i >= 0").join(_texts(docs, key, text), "k").repartition(parallelism(docs.sparkSession) * 2, "k", "i")
+
+    def details(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = factory()
+        for b in batches:
+            rows = []
+            for k, i, seed, calls, t in zip(b["k"], b["i"], b["seed"], b["calls"], b["t"]):
+                item = json.loads(seed)
+                own = f"{instructions}\nOnly the item: {seed}"
+                obj, n = _read(client, prompt_of(own, shape, t), tries, pause)
+                rows.append((k, i, json.dumps(overlaid(item, detail_of(item, (obj or {}).get(name) or [])), ensure_ascii=False), calls + n))
+            yield pd.DataFrame(rows, columns=["k", "i", "item", "calls"], dtype=object)
+
+    done = asked.select("k", "i", "seed", "calls", "t").mapInPandas(details, f"k {kind}, i int, item string, calls int")
+    none = found.filter("i < 0").select("k", "i", F.lit(None).cast("string").alias("item"), "calls")
+    both = done.unionByName(none).groupBy("k").agg(F.array_sort(F.collect_list(F.struct("i", "item"))).alias("items"), F.sum("calls").alias("n_calls"))
+
+    @F.pandas_udf("string")
+    def result(items: pd.Series) -> pd.Series:
+        read = [[json.loads(x["item"]) for x in xs if x["item"] is not None] for xs in items]
+        return pd.Series([json.dumps({name: distinct_items(xs)}, ensure_ascii=False) for xs in read], dtype=object)
+
+    listed = F.filter("items", lambda x: x["i"] >= 0)
+    return both.select(F.col("k").alias(key), result(listed).alias("result"), F.size(listed).alias("n_seeds"), "n_calls")
+
+
+def extract_passes(docs: DataFrame, key: str, text: str, passes: dict[str, tuple[dict, str]], factory: Factory, two_stage: tuple[str, ...] = (), **how) -> DataFrame:
+    """(key, section, result, n_calls) of every pass (section: template, instructions) over every document."""
+    out = None
+    for section, (template, instructions) in passes.items():
+        run = extract_two_stages if section in two_stage else extract
+        one = run(docs, key, text, template, instructions, factory, **how).select(key, F.lit(section).alias("section"), "result", F.col("n_calls").cast("long").alias("n_calls"))
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise ValueError("no pass is given")
+    return out

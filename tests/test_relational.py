@@ -85,7 +85,7 @@ def stub():
 
 def test_extraction_retries_reads_and_merges(spark):
     df = spark.createDataFrame([(1, "word " * 1000), (2, None)], "k long, t string").coalesce(1)
-    got = {r.k: r for r in inference.extract(df, "k", "t", {"name": "string|null", "tags": ["string"], "more": ["string"]}, "", stub, size=2000, overlap=0, tries=3, pause=0).collect()}
+    got = {r.k: r for r in inference.extract(df, "k", "t", {"name": "string|null", "tags": ["string"], "more": ["string"]}, "", stub, size=2000, overlap=0, tries=3, pause=0, threshold=1000).collect()}
     assert json.loads(got[1].result) == {"name": "N", "tags": ["a"], "more": [], "flag": True} and got[1].n_chunks == 3 and got[1].n_calls == 5
     assert json.loads(got[2].result) == {"name": None, "tags": [], "more": []} and got[2].n_chunks == 0
 
