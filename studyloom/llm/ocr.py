@@ -118,14 +118,15 @@ def lexicons(groups: DataFrame) -> DataFrame:
     rows = told(groups)
     counted = cut(rows.filter("n > 0").groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST))
     vocabulary = counted.filter("b = ''").select(F.col("a").alias("word"), "n")
-    # The vocabulary itself is looked up to find what is unsound in it.
-    reads = rows.filter("look").select(F.col("a").alias("read")).unionByName(vocabulary.select(F.col("word").alias("read"))).distinct()
-    near = cut(retrieved(reads, vocabulary))
+    # Only a word that is far more frequent than the rarest can explain another one: a small trie tells what is unsound, and so
+    # does that of the sound words what may have been printed.
+    frequent = vocabulary.filter(F.col("n") >= FAR_MORE * LEAST)
+    explained = retrieved(vocabulary.select(F.col("word").alias("read")), frequent)
     own = vocabulary.select(F.col("word").alias("read"), F.col("n").alias("own"))
-    unsound = near.join(own, "read").filter((F.length("read") > 2) & (F.col("edits") <= 2) & (F.col("confusions") <= 2) & (F.col("n") >= FAR_MORE * F.col("own")))
+    unsound = explained.join(own, "read").filter((F.length("read") > 2) & (F.col("edits") <= 2) & (F.col("confusions") <= 2) & (F.col("n") >= FAR_MORE * F.col("own")))
     sound = cut(vocabulary.join(unsound.select(F.col("read").alias("word")).distinct(), "word", "left_anti"))
-    found = near.filter(_possible("read", "word", "edits", "confusions")).join(sound.select("word"), "word")
-    found = cut(found.join(sound.select(F.col("word").alias("read")), "read", "left_anti").select("read", "word", "n", "confusions"))
+    reads = rows.filter("look").select(F.col("a").alias("read")).distinct().join(sound.select(F.col("word").alias("read")), "read", "left_anti")
+    found = cut(retrieved(reads, sound).filter(_possible("read", "word", "edits", "confusions")).select("read", "word", "n", "confusions"))
     forms = rows.filter("b = '' AND ask").select("grp", "a")
     words = forms.join(sound, F.col("a") == F.col("word")).select("grp", F.lit("word").alias("kind"), "a", F.lit("").alias("b"), "n")
     options = forms.join(found, F.col("a") == F.col("read")).select("grp", "a", "word", "n", "confusions")
