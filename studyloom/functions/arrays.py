@@ -1,4 +1,4 @@
-"""Arrays, lists in text and JSON as Column expressions."""
+"""Arrays, lists in text and JSON as Column expressions."""
 
 from __future__ import annotations
 
@@ -60,7 +60,7 @@ def add_default(arr: Column, label: str, when: Column) -> Column:
 
 def backfill(parent: Column, children: Column) -> Column:
     """The parent list, or the union of the children's lists if it is empty."""
-    return F.when(F.size(parent) > 0, parent).otherwise(dedupe_ci(F.flatten(children)))
+    return F.when(F.size(parent) > 0, parent).otherwise(dedupe_ci(F.flatten(F.filter(children, lambda x: x.isNotNull()))))
 
 
 def lenient_json(c: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Relational shapes of the pipeline: joins, indexes, merges, windows, set operations (J, G, W, U, P, M)."""
+"""Relational shapes of the pipeline: joins, indexes, merges, windows, set operations."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Templates, instruction texts and their differences as tables."""
+"""Templates, instruction texts and their differences as tables."""
 
 from __future__ import annotations
 

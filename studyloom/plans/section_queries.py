@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from studyloom.operators import answers as X
 from studyloom.operators import registry as G
 from studyloom.operators import sections as S
+from studyloom.operators import workbook as V
 from studyloom.plans.text_queries import _BARE, _DOI, _FEE, _PART, _REQ, TRIM, _nws
 from studyloom.session import strip, table
 
@@ -40,7 +41,8 @@ def section_values(spark: SparkSession, d: str) -> DataFrame:
     """Values of the overview and subpopulation sections as columns in the order of their templates."""
     s = table(spark, d, "section_results").filter("task IN ('task_overview', 'task_subpopulations')")
     wide = s.select("section_id", *[F.when(_C("task") == t, _C("payload")).alias(t) for t in ("task_overview", "task_subpopulations")])
-    return X.section_columns(wide, {"task_overview": ["pid", "name", "acronym", "type", "keywords", "start_year", "external_identifiers"], "task_subpopulations": ["subpopulations"]})
+    out = X.section_columns(wide, {"task_overview": ["pid", "name", "acronym", "type", "keywords", "start_year", "external_identifiers"], "task_subpopulations": ["subpopulations"]})
+    return out.toDF(*[c.replace(".", "_") for c in out.columns])
 
 
 @query(f"""SELECT row_id, CASE WHEN regexp_replace(coalesce(pid, ''), {TRIM}, '', 'g') <> '' THEN {_BARE.format("regexp_replace(pid, " + TRIM + ", '', 'g')")} WHEN regexp_replace(coalesce(name, ''), {TRIM}, '', 'g') <> '' THEN name
@@ -182,3 +184,25 @@ def registry_lookup(spark: SparkSession, d: str) -> DataFrame:
     """Fields written loosely, found in the table or its ancestors."""
     wanted = table(spark, d, "part").select(_C("p_brand").alias("tbl"), F.lower(F.replace("p_type", F.lit(" "), F.lit("-"))).alias("field")).distinct()
     return G.lookup_columns(wanted, G.registry(*_model(spark, d)))
+
+
+@query(f"""WITH t AS (SELECT id, unnest([id, name, organisation]) AS tok FROM organisations WHERE regexp_replace(coalesce(id, ''), {TRIM}, '', 'g') <> ''),
+ x AS (SELECT regexp_replace(tok, {TRIM}, '', 'g') AS k, min(trim(id)) AS c FROM t WHERE regexp_replace(coalesce(tok, ''), {TRIM}, '', 'g') <> '' GROUP BY 1 HAVING count(DISTINCT trim(id)) = 1),
+ y AS (SELECT regexp_replace(lower(tok), '[^a-z0-9]+', '', 'g') AS k, min(trim(id)) AS c FROM t WHERE regexp_replace(lower(coalesce(tok, '')), '[^a-z0-9]+', '', 'g') <> '' GROUP BY 1 HAVING count(DISTINCT trim(id)) = 1),
+ r AS (SELECT row_id, regexp_replace(coalesce(publisher, ''), {TRIM}, '', 'g') AS p, CASE WHEN start_year >= 0 THEN CAST(start_year AS VARCHAR) ELSE '' END AS start_year, CASE WHEN data_access_fee THEN 'true' WHEN NOT data_access_fee THEN 'false' ELSE '' END AS fee FROM resources)
+ SELECT row_id, start_year, fee AS data_access_fee, coalesce(x.c, y.c, '') AS publisher FROM r LEFT JOIN x ON x.k = p LEFT JOIN y ON y.k = regexp_replace(lower(p), '[^a-z0-9]+', '', 'g')""")
+def fixed_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Values first, then references against the ids and names of the fixed target table."""
+    r = table(spark, d, "resources").select("row_id", *[_C(c).cast("string").alias(c) for c in ("start_year", "data_access_fee", "publisher")])
+    orgs = table(spark, d, "organisations").select("id", "name", "organisation")
+    kinds = {"resources": {"start_year": "non_negative_int", "data_access_fee": "bool"}, "organisations": {"id": "string"}}
+    return V.fix_tables({"resources": r, "organisations": orgs}, kinds, {("resources", "publisher"): ("organisations", "id", ["id", "name", "organisation"])})["resources"]
+
+
+@query("""WITH old AS (SELECT DISTINCT p_type AS task FROM part), new AS (SELECT DISTINCT p_type AS task, CASE WHEN p_type LIKE 'S%' THEN 'new' ELSE 'own' END AS body FROM part WHERE p_type NOT LIKE 'E%' UNION ALL SELECT 'ADDED', 'new')
+ SELECT coalesce(old.task, new.task) AS task, CASE WHEN old.task IS NULL THEN 'new' WHEN new.task IS NULL THEN 'kept' WHEN new.body = 'own' THEN 'same' ELSE 'merged' END AS action, coalesce(new.body, 'own') AS body FROM old FULL OUTER JOIN new ON old.task = new.task""")
+def merged_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Sections of two states put together."""
+    types = table(spark, d, "part").select(_C("p_type").alias("task")).distinct()
+    new = types.filter("task NOT LIKE 'E%'").withColumn("body", F.when(_C("task").startswith("S"), "new").otherwise("own")).unionAll(spark.createDataFrame([("ADDED", "new")], "task string, body string"))
+    return V.merge_sections(types.withColumn("body", F.lit("own")), new)

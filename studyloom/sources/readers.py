@@ -1,4 +1,4 @@
-"""Sources (S1-S17): every reader has an explicit schema; nothing is inferred from data."""
+"""Sources (S3-S6, S10, S16, K9): every reader has an explicit schema; nothing is inferred from data."""
 
 from __future__ import annotations
 

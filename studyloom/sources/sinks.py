@@ -1,4 +1,4 @@
-"""Sinks (K1-K8): one folder per table; files are written by the executors."""
+"""Sinks (K1-K3, K8, U6): one folder per table; files are written by the executors."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 
 def write_tables(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
-    """K1, K2: every table under its name."""
+    """K1, K2: every table under its name, as Parquet, CSV or JSON lines (no workbook writer is installed)."""
     for name, df in tables.items():
         w = df.write.mode("overwrite").format(fmt)
         (w.option("header", "true") if fmt == "csv" else w).save(f"{folder}/{name}")
