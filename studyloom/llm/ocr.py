@@ -67,7 +67,7 @@ def told(groups: DataFrame) -> DataFrame:
                     if isinstance(t, str) and t:
                         words, pairs = lexical_words(t)
                         count.update((w, "") for w in words)
-                        count.update(pairs.keys())
+                        count.update(pairs)
                         forms, look, near = asked(t, {int(i) for i in gone})
                         wanted |= look
                         ask.update((f, "") for f in forms)

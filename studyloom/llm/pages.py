@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import lru_cache
 
 from studyloom.llm.lexicon import Lexicon
 from studyloom.llm.placenames import within
@@ -359,29 +360,32 @@ def _cased(fixed: str, read: str) -> str:
     return fixed[:1].upper() + fixed[1:] if read[:1].isupper() else fixed
 
 
-def lexical_words(text: str) -> tuple[set[str], Counter]:
-    """(distinct words, bigrams) of the insides of lines: words cut at line ends are left out."""
+@lru_cache(maxsize=200_000)
+def _word_of(token: str) -> tuple[str, bool]:
+    """(plain word of a token or "", whether a sentence goes on behind it)."""
+    w = _core(token).lower()
+    return (w, token[-1:] not in ".!?;:") if _WORDISH.match(w) else ("", False)
+
+
+def lexical_words(text: str) -> tuple[set[str], set[tuple[str, str]]]:
+    """(distinct words, distinct bigrams) of the insides of lines: words cut at line ends are left out."""
     words: set[str] = set()
-    pairs: Counter = Counter()
+    pairs: set[tuple[str, str]] = set()
     cut = False
     for line in split_lines(text):
-        toks = [t for t in _TOKEN.findall(line)]
+        toks = _TOKEN.findall(line)
         if not toks:
             continue
         inner = toks[1:] if cut else toks
         cut = toks[-1][-1] in HYPHENS
-        if cut:
-            inner = inner[:-1]
         before = ""
-        for t in inner:
-            w = _core(t).lower()
-            if _WORDISH.match(w):
+        for t in inner[:-1] if cut else inner:
+            w, on = _word_of(t)
+            if w:
                 words.add(w)
                 if before:
-                    pairs[before, w] += 1
-                before = w if t[-1:] not in ".!?;:" else ""
-            else:
-                before = ""
+                    pairs.add((before, w))
+            before = w if on else ""
     return words, pairs
 
 
@@ -394,6 +398,15 @@ def _repairable(raw: str, opens: bool) -> bool:
     return not _IDENTIFIER.search(raw)
 
 
+@lru_cache(maxsize=200_000)
+def _asks(token: str) -> tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]]:
+    """What a token asks for: (its forms, those to look up where it opens a sentence, those to look up elsewhere)."""
+    parts = dict.fromkeys([token, *(x.strip(EDGE) for x in token.split("-"))] if "-" in token else [token])
+    forms = dict.fromkeys(p.lower() for p in parts if p)
+    opening, inside = ([p.lower() for p in parts if _repairable(p, o)] for o in (True, False))
+    return tuple(forms), tuple(opening), tuple(inside)
+
+
 def asked(text: str, gone: set[int]) -> tuple[set[str], set[str], set[tuple[str, str]]]:
     """(every form that an analysis of the text may look up, those of which it may want candidates, every pair of neighbours
     whose context it may look at)."""
@@ -404,33 +417,35 @@ def asked(text: str, gone: set[int]) -> tuple[set[str], set[str], set[tuple[str,
     for block in blocks_of(lines, gone):
         if not running(lines, block):
             continue
-        before: set[str] = set()
+        before: tuple[str, ...] = ()
         carry, opens = "", True
         for k, i in enumerate(block):
-            line: list[tuple[tuple[str, ...], str]] = []  # what each token may be read as, and the token
+            line: list[tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...], str]] = []
             toks = _TOKEN.findall(lines[i].strip("\x0c"))
             if carry and toks:
                 a, b = carry.strip(EDGE), _core(toks[0])
                 forms.update((b.lower(), a.lower().rsplit("-", 1)[-1]))
                 look.update(((a + b).lower(), f"{a}-{b}".lower()))
-                line.append(((a + b, f"{a}-{b}"), toks[0]))
+                both = [_asks(a + b), _asks(f"{a}-{b}")]
+                line.append((*(tuple(dict.fromkeys(x for one in both for x in one[j])) for j in range(3)), toks[0]))
                 toks, carry = toks[1:], ""
             if toks and k + 1 < len(block) and len(toks[-1]) > 1 and toks[-1][-1] in HYPHENS and toks[-1][-2].isalnum():
                 carry = toks.pop()[:-1]
-            line += [((_core(t),), t) for t in toks]
-            for reads, token in line:
-                own: set[str] = set()
-                for r in reads:
-                    for p in {r, *(x.strip(EDGE) for x in r.split("-"))}:
-                        own.add(p.lower())
-                        if _repairable(p, opens):
-                            look.add(p.lower())
-                own.discard("")
-                forms |= own
-                pairs.update((x, y) for x in before for y in own)
+            for own, opening, inside, token in (*line, *((*_asks(t.strip(EDGE)), t) for t in toks)):
+                look.update(opening if opens else inside)
+                forms.update(own)
+                if len(own) == 1 == len(before):
+                    pairs.add((before[0], own[0]))
+                else:
+                    pairs.update((x, y) for x in before for y in own)
                 before = own
                 opens = token[-1] in ".!?" and len(token) > 1
-    return {f for f in forms | look if sum(map(str.isalpha, f)) > 1}, look, pairs
+    return {f for f in forms | look if _worded(f)}, look, pairs
+
+
+@lru_cache(maxsize=200_000)
+def _worded(form: str) -> bool:
+    return sum(map(str.isalpha, form)) > 1
 
 
 def gone_lines(text: str, n_pages: int | None = None) -> set[int]:

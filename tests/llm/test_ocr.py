@@ -38,7 +38,7 @@ SCHEMA = "paper_id long, paper_text string, n_pages long, damage string, line_no
 
 def lexicon():
     words, pairs = lexical_words(CLEAN + " The long-term visit. The performance, ended, small, collection.")
-    return Lexicon({w: 5 for w in words}, {p: 3 for p in pairs})
+    return Lexicon({w: 5 for w in words}, dict.fromkeys(pairs, 3))
 
 
 def test_page():
@@ -96,7 +96,7 @@ def whole_lexicon(texts):
     for t in texts:
         w, p = lexical_words(t)
         words.update(w)
-        pairs.update(p.keys())
+        pairs.update(p)
     words = {w: n for w, n in words.items() if n >= ocr.LEAST}
     trie = Trie(words)
     bad = {w for w in words if len(w) > 2 and any(v != w and words[v] >= ocr.FAR_MORE * words[w] and misreadings(v, w) <= 2 for v, _ in trie.search(w, 2))}
