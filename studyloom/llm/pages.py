@@ -46,12 +46,11 @@ def page_numbers(lines: list[str]) -> set[int]:
     """Lines of a lone number that go up by one from page to page and stand outside tables."""
     cand = [(i, int(s)) for i, x in enumerate(lines) if _LONE.match(s := x.strip().strip("\x0c").strip())]
     best: dict[int, tuple[int, int]] = {}  # index into cand: (chain length, previous)
+    ends: dict[int, tuple[int, int]] = {}  # number: (length of the longest chain that ends in it, the last such index)
     for k, (_, v) in enumerate(cand):
-        best[k] = (1, -1)
-        for j in range(k - 1, max(-1, k - 40), -1):
-            gap = v - cand[j][1]
-            if 1 <= gap <= 3 and best[j][0] + 1 > best[k][0]:
-                best[k] = (best[j][0] + 1, j)
+        longest, at = max((ends[v - gap] for gap in (1, 2, 3) if v - gap in ends), default=(0, -1))
+        best[k] = (longest + 1, at)
+        ends[v] = max(ends.get(v, (0, -1)), (longest + 1, k))
     if not best:
         return set()
     end = max(best, key=lambda k: best[k][0])
