@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from studyloom.llm.nameparts import FAMILIAR, LETTER, Channel, evidence_of, person_tokens
 from studyloom.llm.placenames import within
-from studyloom.operators.skew import join_hot, self_pairs
+from studyloom.operators.skew import by_sort, join_hot, self_pairs
 from studyloom.session import blank, cut, strip
 
 TYPO = 0.15  # chance that a written name has a typo, as far as the data do not tell
@@ -78,7 +78,7 @@ def attach_variants(words: DataFrame, own: frozenset[str] = frozenset()) -> Data
     c = keyed.withColumnRenamed("word", "c").withColumnRenamed("n", "n_c").withColumnRenamed("d", "d_c")
     # Words that share a deletion differ in one or two places of it: an alphabet's worth of words at most, not a group of rows.
     pairs = v.filter(~F.col("v").isin(*own)) if own else v
-    pairs = pairs.join(c, ["space", "key"]).filter("n_c > n_v OR (n_c = n_v AND c < v)").select("space", "v", "c", "n_v", "n_c", "d_v", "d_c").distinct()
+    pairs = pairs.join(by_sort(c), ["space", "key"]).filter("n_c > n_v OR (n_c = n_v AND c < v)").select("space", "v", "c", "n_v", "n_c", "d_v", "d_c").distinct()
 
     @F.pandas_udf("int")
     def distance(v: pd.Series, c: pd.Series) -> pd.Series:
@@ -95,17 +95,17 @@ def attach_variants(words: DataFrame, own: frozenset[str] = frozenset()) -> Data
     share = F.sum("n_v") / (F.sum("n_v") + F.first("n_c"))
     wrong = pairs.filter(F.col("n_c") >= RARE * F.col("n_v")).filter("edits = 1").groupBy("space", F.col("c").alias("word")).agg(share.alias("share"))
     typo = (F.coalesce(F.sum("share"), F.lit(0)) + TYPO * PRIOR) / (F.count(F.lit(1)) + PRIOR)
-    chance = long.filter(F.col("n") >= RARE).join(wrong, ["space", "word"], "left").groupBy("space").agg(typo.alias("typo"))
+    chance = long.filter(F.col("n") >= RARE).join(by_sort(wrong), ["space", "word"], "left").groupBy("space").agg(typo.alias("typo"))
     scored = pairs.join(F.broadcast(chance), "space", "left").fillna(TYPO, ["typo"]).withColumn("odds", posterior("v", "c", "n_v", "n_c", "d_v", "d_c", "typo", "edits")).filter("odds > 0")
     best = scored.groupBy("space", "v").agg(F.min(F.struct((-F.col("odds")).alias("o"), (-F.col("n_c")).alias("m"), "c")).alias("b"))
     out = cut(best.select("space", F.col("v").alias("word"), F.col("b.c").alias("canon"), (-F.col("b.o")).alias("odds")))
     while True:  # a typo of a typo: counts grow along a chain, so it ends; paths double at every step
         up = out.select("space", F.col("word").alias("canon"), F.col("canon").alias("up"))
-        further = out.join(up, ["space", "canon"])
+        further = out.join(by_sort(up), ["space", "canon"])
         if further.isEmpty():
             break
-        out = cut(out.join(up, ["space", "canon"], "left").select("space", "word", F.coalesce("up", "canon").alias("canon"), "odds"))
-    return words.select("space", "word").distinct().join(out, ["space", "word"], "left").select(
+        out = cut(out.join(by_sort(up), ["space", "canon"], "left").select("space", "word", F.coalesce("up", "canon").alias("canon"), "odds"))
+    return words.select("space", "word").distinct().join(by_sort(out), ["space", "word"], "left").select(
         "space", "word", F.coalesce("canon", "word").alias("canon"), "odds"
     )
 
@@ -141,8 +141,8 @@ def organisation_entities(organisations: DataFrame) -> DataFrame:
     parsed = cut(counts.mapInPandas(run, "w string, n long, word string, body string").filter("word <> ''"))
     words = parsed.groupBy(F.lit("o").alias("space"), "word").agg(F.sum("n").alias("n"), F.countDistinct("w").alias("d"))
     canon = attach_variants(words).select("word", "canon")
-    entity = parsed.join(canon, "word").select("w", F.concat_ws("|", "canon", "body").alias("entity"))
-    joined = join_hot(rows, entity, ["w"], counts).filter("entity IS NOT NULL")
+    entity = parsed.join(by_sort(canon), "word").select("w", F.concat_ws("|", "canon", "body").alias("entity"))
+    joined = join_hot(rows, by_sort(entity), ["w"], counts).filter("entity IS NOT NULL")
     return joined.select(F.lit("organisation").alias("kind"), "row_id", F.col("w").alias("writing"), "entity")
 
 
@@ -174,13 +174,13 @@ def contact_entities(contacts: DataFrame) -> DataFrame:
     words = tokens.groupBy(F.lit("p").alias("space"), "word").agg(F.sum("n").alias("n"), F.countDistinct("w").alias("d"))
     familiar = F.create_map(*[F.lit(x) for kv in FAMILIAR.items() for x in kv])
     canon = attach_variants(words, frozenset(FAMILIAR)).select("word", F.col("canon").alias("c0"))
-    named = tokens.join(canon, "word").withColumn("canon", F.coalesce(F.try_element_at(familiar, F.col("c0")), "c0"))
+    named = tokens.join(by_sort(canon), "word").withColumn("canon", F.coalesce(F.try_element_at(familiar, F.col("c0")), "c0"))
     # How often a canonical word stands on either side tells given from family names, also in swapped fields.
     roles = named.filter(F.length("canon") > 1).groupBy("canon").agg(
         F.sum(F.when(F.col("side") == 0, F.col("n")).otherwise(0)).alias("as_given"),
         F.sum(F.when(F.col("side") == 1, F.col("n")).otherwise(0)).alias("as_family"),
     )
-    known = named.join(roles, "canon", "left").fillna(0, ["as_given", "as_family"])
+    known = named.join(by_sort(roles), "canon", "left").fillna(0, ["as_given", "as_family"])
     part = known.groupBy("w", "n", "side").agg(
         F.max(F.struct("as_family", (-F.col("pos")).alias("p"), "canon", "as_given")).alias("fam"), F.min(F.struct("pos", "canon")).alias("first")
     )
@@ -197,10 +197,10 @@ def contact_entities(contacts: DataFrame) -> DataFrame:
     ))
     full = people.filter(F.length("given") > 1).groupBy("family", "given").agg(F.sum("n").alias("n"))
     top = full.groupBy("family", F.substring("given", 1, 1).alias("initial")).agg(F.min(F.struct((-F.col("n")).alias("m"), "given")).alias("t"))
-    who = people.withColumn("initial", F.substring("given", 1, 1)).join(top, ["family", "initial"], "left")
+    who = people.withColumn("initial", F.substring("given", 1, 1)).join(by_sort(top), ["family", "initial"], "left")
     given = F.when(F.length("given") > 1, F.col("given")).otherwise(F.coalesce("t.given", "given"))
     entity = who.select("w", F.concat_ws("|", "family", given).alias("entity"))
-    joined = join_hot(rows, entity, ["w"], counts).filter("entity IS NOT NULL")
+    joined = join_hot(rows, by_sort(entity), ["w"], counts).filter("entity IS NOT NULL")
     return joined.select(F.lit("contact").alias("kind"), "row_id", F.col("w").alias("writing"), "entity")
 
 
@@ -208,7 +208,7 @@ def entities(organisations: DataFrame, contacts: DataFrame) -> DataFrame:
     """(kind, row_id, writing, entity, n_rows): one row per record that names an entity."""
     e = organisation_entities(organisations).unionByName(contact_entities(contacts))
     size = e.groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("n_rows"))
-    return e.join(size, ["kind", "entity"]).select("kind", "row_id", F.regexp_replace("writing", "\u0001", " ").alias("writing"), "entity", "n_rows")
+    return e.join(by_sort(size), ["kind", "entity"]).select("kind", "row_id", F.regexp_replace("writing", "\u0001", " ").alias("writing"), "entity", "n_rows")
 
 
 def linked_pairs(organisations: DataFrame, contacts: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -223,9 +223,9 @@ def linked_pairs(organisations: DataFrame, contacts: DataFrame, block: int = BLO
     pairs = self_pairs(written, ["kind", "entity"], "writing", ["blocks"], block)
     for side in ("a", "b"):
         pairs = pairs.withColumn(f"block_{side}", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"blocks_{side}") - 1)))
-    rows = join_hot(e.select("kind", "writing", "row_id"), written.select("kind", "writing", "blocks"), ["kind", "writing"], written)
+    rows = join_hot(e.select("kind", "writing", "row_id"), by_sort(written.select("kind", "writing", "blocks")), ["kind", "writing"], written)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("row_id"), F.col("blocks"))).drop("blocks")
     for side in ("a", "b"):
         own = rows.select("kind", *[F.col(c).alias(f"{c}_{side}") for c in ("writing", "block", "row_id")])
-        pairs = pairs.join(own, ["kind", f"writing_{side}", f"block_{side}"])
+        pairs = pairs.join(by_sort(own), ["kind", f"writing_{side}", f"block_{side}"])
     return pairs.select("kind", F.least("row_id_a", "row_id_b").alias("row_a"), F.greatest("row_id_a", "row_id_b").alias("row_b"))

@@ -11,6 +11,12 @@ HOT_SHARE = 1000  # a key is hot if it has more than 1 / HOT_SHARE of the rows,
 HOT_ROWS = 100_000  # and at least so many
 
 
+def by_sort(df: DataFrame) -> DataFrame:
+    """The side of a join that grows with the data. The planner takes sizes from the files and does not see what is packed in them or
+    exploded later, so it would broadcast such a side through the driver; by sorting, nothing of it gets there."""
+    return df.hint("merge")
+
+
 def join_hot(rows: DataFrame, mapped: DataFrame, keys: list[str], counts: DataFrame, n: str = "n") -> DataFrame:
     """Left join of rows with mapped (one row per key); counts: rows per key. Hot keys, at most HOT_SHARE, go by broadcast."""
     total = counts.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
@@ -25,10 +31,10 @@ def self_pairs(members: DataFrame, group: list[str], item: str, keep: list[str],
     """Pairs (item_a < item_b, and keep_a, keep_b) within each group; large groups are cut into blocks of rows, so that no
     task holds a whole group: the left side of a group is spread over its blocks, the right side is repeated in each."""
     sizes = members.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias("__blocks")).filter("__blocks >= 1")
-    m = members.join(sizes, group)
+    m = members.join(by_sort(sizes), group)
     left = m.select(*group, F.pmod(F.xxhash64(item), F.col("__blocks")).alias("__b"), *[F.col(c).alias(f"{c}_a") for c in [item, *keep]])
     right = m.select(*group, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__blocks") - 1)).alias("__b"), *[F.col(c).alias(f"{c}_b") for c in [item, *keep]])
-    return left.join(right, [*group, "__b"]).filter(F.col(f"{item}_a") < F.col(f"{item}_b")).drop("__b")
+    return left.join(by_sort(right), [*group, "__b"]).filter(F.col(f"{item}_a") < F.col(f"{item}_b")).drop("__b")
 
 
 def numbered(df: DataFrame, keys: list[str], order: str, into: str, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -98,3 +98,29 @@ def test_a_share_of_typos_counts_alike_at_any_size(spark):
     words = [("p", "ursula", 83), ("p", "urula", 2), ("p", "vuldruki", 68_000), ("p", "vuldrukki", 1), ("p", "vuldruky", 30_000)]
     got = {r.word: r.canon for r in names.attach_variants(spark.createDataFrame(words, "space string, word string, n long")).collect()}
     assert got == {"ursula": "ursula", "urula": "ursula", "vuldruki": "vuldruki", "vuldrukki": "vuldruki", "vuldruky": "vuldruky"}
+
+
+def test_no_side_that_grows_is_broadcast_through_the_driver(spark, monkeypatch):
+    """Joins are planned alike whatever the planner takes for small: only the bounded tables that the code names are broadcast."""
+    plans = []
+
+    def kept(df, cut=names.cut):
+        out = cut(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        return out
+
+    monkeypatch.setattr(names, "cut", kept)
+    o = spark.createDataFrame([(i, None, w, "") for i, w in enumerate(WRITINGS * 2 + [w.replace("mwam", "mwm").lower() for w in WRITINGS])], ORG)
+    c = spark.createDataFrame([(1, "Elizabeth", "Basskersrur", ""), (2, "Liz", "Basskersrur", ""), (3, "Elizabth", "Bassekrsrur", "")], PER)
+    got, usual = {}, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in ("-1", "1g"):
+        plans.clear()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            pairs = names.linked_pairs(o, c)
+            linked = sorted(map(tuple, pairs.collect()))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+        plans.append(pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        got[threshold] = ([p.count("BroadcastExchange") for p in plans], linked)
+    assert got["-1"] == got["1g"] and len(got["1g"][1]) > 3
