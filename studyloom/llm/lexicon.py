@@ -1,4 +1,4 @@
-"""Vocabulary trie, Levenshtein automaton and misreading model (part of problem 6)."""
+"""Vocabulary trie, its walks by edits and by confusions, and misreading model (part of problem 6)."""
 
 from __future__ import annotations
 
@@ -11,6 +11,14 @@ CONFUSIONS = {
 }
 
 
+#: What may be printed where something is read, with the length of what is read.
+PRINTED: dict[str, list[tuple[str, int]]] = {}
+for _printed, _reads in CONFUSIONS.items():
+    for _read in _reads:
+        PRINTED.setdefault(_read, []).append((_printed, len(_read)))
+_WIDEST = max(map(len, PRINTED))
+
+
 class Trie:
     """Vocabulary trie; a node is [children, word or None]."""
 
@@ -54,6 +62,43 @@ class Trie:
         return found
 
 
+    def explained(self, read: str, limit: int = 3) -> dict[str, int]:
+        """Every word that at most so many confusions turn into read, with the least number of them (see ``misreadings``): the trie is
+        walked along what may be printed at each place of read, so the words that no confusion leads to are never met."""
+        n = len(read)
+        ways = [[w for size in range(1, _WIDEST + 1) if j + size <= n for w in PRINTED.get(read[j : j + size], ())] for j in range(n)]
+        found: dict[str, int] = {}
+        stack = [(self.root, 0, 0)]
+        while stack:
+            (children, whole), j, k = stack.pop()
+            if j == n:
+                if whole is not None and k < found.get(whole, limit + 1):
+                    found[whole] = k
+                continue
+            if (child := children.get(read[j])) is not None:
+                stack.append((child, j + 1, k))
+            if k < limit:
+                for printed, size in ways[j]:
+                    node = children.get(printed[0])
+                    if node is not None and len(printed) > 1:
+                        node = node[0].get(printed[1])
+                    if node is not None:
+                        stack.append((node, j + size, k + 1))
+        return found
+
+
+def edits_between(a: str, b: str, limit: int) -> int:
+    """Edit distance; limit + 1 if greater."""
+    if abs(len(a) - len(b)) > limit:
+        return limit + 1
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b):
+            row.append(min(last[j + 1] + 1, row[j] + 1, last[j] + (x != y)))
+    return min(row[-1], limit + 1)
+
+
 LONG = 10
 
 

@@ -13,13 +13,13 @@ HYPHENS = "-‐¬­"
 _NUM = r"[0-9OolI!]{1,4}|[ivxlIVXL]{1,7}"
 _PAGE = re.compile(rf"^\W*(?:p[ao]g[ec]\W*)?(?:{_NUM})(?:\s*(?:of|oi|0f|/)\s*(?:{_NUM}))?\W*$", re.I)
 _PAGED = re.compile(rf"^(?:(?:{_NUM})(?:\s{{2,}}|\s*[|–—]\s*)(?P<a>.+)|(?P<b>.+?)(?:\s{{2,}}|\s*[|–—]\s*)(?:{_NUM}))$")
-_LONE = re.compile(r"^\d{1,4}$")
 _ROMAN = re.compile(r"^[\s\-–—]*[ivxl]{1,7}[\s\-–—]*$")
 _RIGHTS = re.compile(r"©|all rights? r[ec]s[ec]rv[ec]d", re.I)
 _ROW = re.compile(r"^(?:\S+(?: \S+){0,3})?(?:(?:^|\s{2,}|\t)[\d.,()%<>=\-–/ ]+)+$")
 _HEADING = re.compile(r"^(?:\d{1,2}(?:\.\d{1,2})*\.?\s+)?[A-Z][^.!?]{2,60}$")
-_TOKEN = re.compile(r"\S+")
+_DIGITS = re.compile(r"\d+")
 EDGE = ".,;:()[]\"'“”‘’?"
+KEPT = 30_000  # tokens whose forms are remembered: the frequent ones, at any size of the corpus
 
 
 def split_lines(text: str) -> list[str]:
@@ -28,8 +28,9 @@ def split_lines(text: str) -> list[str]:
 
 def _bare(line: str) -> tuple[str, bool]:
     """(line without page number, whether it had one)."""
-    s = line.strip().strip("\x0c").strip()
-    if m := _PAGED.match(s):
+    s = line.strip()
+    # A page number stands behind a bar or dash or a wide gap (white space but single blanks does not print).
+    if ("  " in s or "|" in s or "–" in s or "—" in s or not s.isprintable()) and (m := _PAGED.match(s)):
         return (m.group("a") or m.group("b")).strip(), True
     return s, False
 
@@ -42,9 +43,13 @@ def _alike(a: str, b: str) -> bool:
     return within(a, b, max(2, len(a) // 14)) <= max(2, len(a) // 14)
 
 
+def _lone(s: str) -> bool:
+    return len(s) <= 4 and s.isdecimal()
+
+
 def page_numbers(lines: list[str]) -> set[int]:
     """Lines of a lone number that go up by one from page to page and stand outside tables."""
-    cand = [(i, int(s)) for i, x in enumerate(lines) if _LONE.match(s := x.strip().strip("\x0c").strip())]
+    cand = [(i, int(s)) for i, x in enumerate(lines) if _lone(s := x.strip())]
     best: dict[int, tuple[int, int]] = {}  # index into cand: (chain length, previous)
     ends: dict[int, tuple[int, int]] = {}  # number: (length of the longest chain that ends in it, the last such index)
     for k, (_, v) in enumerate(cand):
@@ -64,7 +69,8 @@ def page_numbers(lines: list[str]) -> set[int]:
 
 def _row(line: str) -> bool:
     s = line.strip()
-    return bool(s) and bool(_ROW.match(s)) and any(c.isdigit() for c in s)
+    # The end tells most lines of text apart.
+    return bool(s) and (s[-1] in ".,()%<>=-–/" or s[-1].isdecimal()) and bool(_ROW.match(s)) and any(c.isdigit() for c in s)
 
 
 def _apart(lines: list[str], i: int) -> bool:
@@ -87,25 +93,25 @@ def furniture(lines: list[str], n_pages: int | None = None) -> set[int]:
     if not full:
         return out
     numbers = page_numbers(lines)
+    rights = _RIGHTS.search("\n".join(lines)) is not None
     for i in full:
-        s = lines[i].strip().strip("\x0c").strip()
-        if _RIGHTS.search(s):
+        s = lines[i].strip()
+        if rights and _RIGHTS.search(s):
             out.add(i)
-        elif _ROMAN.match(s) or (_PAGE.match(s) and not _LONE.match(s) and not s.endswith(".") and re.search(r"[a-zA-Z\-–—]", s)):
+        elif _ROMAN.match(s) or (_PAGE.match(s) and not _lone(s) and not s.endswith(".") and re.search(r"[a-zA-Z\-–—]", s)):
             out.add(i)
         elif i in numbers and not any(_row(lines[j]) and j not in numbers for j in (i - 1, i + 1) if 0 <= j < len(lines)):
             out.add(i)
-        elif _LONE.match(s) and i not in numbers and _apart(lines, i):
+        elif _lone(s) and i not in numbers and _apart(lines, i):
             out.add(i)
-    # The title block and the authors' line tell what headers may say.
-    first = next((i for i in full if i not in out and not _bare(lines[i])[1]), full[0])
-    # A header above the title reads like its beginning.
+    # The title block and the authors' line tell what headers may say. A header above the title reads like its beginning.
     groups: list[tuple[str, list[int]]] = []
     index: dict[str, int] = {}
     short = [i for i in full if i not in out and len(lines[i].strip()) <= 110]
+    bare = {i: _bare(lines[i]) for i in short}
+    keys = {i: _DIGITS.sub("#", b.lower()) for i, (b, _) in bare.items()}
     for i in short:
-        b, _ = _bare(lines[i])
-        key = re.sub(r"\d+", "#", b.lower())
+        key = keys[i]
         if key in index:
             groups[index[key]][1].append(i)
         else:
@@ -113,7 +119,7 @@ def furniture(lines: list[str], n_pages: int | None = None) -> set[int]:
             groups.append((key, [i]))
     many = [(k, m) for k, m in groups if len(m) >= 2]
     many.sort(key=lambda g: -len(g[1]))
-    paged = Counter(re.sub(r"\d+", "#", _bare(lines[i])[0].lower()) for i in short if _bare(lines[i])[1] and not _row(lines[i]))
+    paged = Counter(keys[i] for i in short if bare[i][1] and not _row(lines[i]))
     title_at, title, authors_at, authors = _head(lines, out, paged)
     keep = set(title_at) | set(authors_at)
     least = max(2, round(0.3 * n_pages)) if n_pages else 3
@@ -130,17 +136,20 @@ def furniture(lines: list[str], n_pages: int | None = None) -> set[int]:
         if like_title or like_authors or numbered or (len(own) >= max(3, least) and alone >= 0.9 * len(own) and not _row(lines[own[0]]) and "#" not in k[:3]):
             tops.append(k)
             out.update(own)
-    # Single occurrences: misread headers, and headers of short papers.
+    # Single occurrences: misread headers, and headers of short papers. What is alike differs in length by two at most.
+    sized: dict[int, list[str]] = {}
+    for t in tops:
+        for size in range(len(t) - 2, len(t) + 3):
+            sized.setdefault(size, []).append(t)
     for i in short:
         if i in out or i in keep:
             continue
-        b, num = _bare(lines[i])
-        k = re.sub(r"\d+", "#", b.lower())
+        k = keys[i]
         if len(k) < 6:
             continue
         like_title = title and len(k) > 16 and (title.startswith(k) or _alike(title[: len(k)], k))
         like_authors = authors and (_alike(authors, k) or _alike(authors + " et al.", k))
-        if like_title or like_authors or any(_alike(t, k) for t in tops):
+        if like_title or like_authors or any(_alike(t, k) for t in sized.get(len(k), ())):
             out.add(i)
     return out - set(authors_at) - set(title_at)
 
@@ -312,7 +321,7 @@ def analyse(text: str, lex: Lexicon, gone: set[int]) -> tuple[list[tuple[int, st
         words: list[str] = []
         opens, before, carry = True, "", None
         for k, i in enumerate(block):
-            toks = _TOKEN.findall(lines[i].strip("\x0c"))
+            toks = lines[i].split()
             if carry is not None and toks:
                 at, head = carry
                 one, reads = join_kind(head, toks[0], lex)
@@ -334,6 +343,10 @@ def analyse(text: str, lex: Lexicon, gone: set[int]) -> tuple[list[tuple[int, st
             if toks and k + 1 < len(block) and len(toks[-1]) > 1 and toks[-1][-1] in HYPHENS and toks[-1][-2].isalnum():
                 carry = (i, toks[-1][:-1])
                 toks = toks[:-1]
+            if toks and all(map(fine.__contains__, toks)):
+                words += toks
+                before, opens = fine[toks[-1]], toks[-1][-1] in ".!?" and len(toks[-1]) > 1
+                continue
             for t, tok in enumerate(toks):
                 if (low := fine.get(tok)) is not None:
                     words.append(tok)
@@ -359,7 +372,7 @@ def _cased(fixed: str, read: str) -> str:
     return fixed[:1].upper() + fixed[1:] if read[:1].isupper() else fixed
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=KEPT)
 def _word_of(token: str) -> tuple[str, bool]:
     """(plain word of a token or "", whether a sentence goes on behind it)."""
     w = _core(token).lower()
@@ -368,24 +381,22 @@ def _word_of(token: str) -> tuple[str, bool]:
 
 def lexical_words(text: str) -> tuple[set[str], set[tuple[str, str]]]:
     """(distinct words, distinct bigrams) of the insides of lines: words cut at line ends are left out."""
-    words: set[str] = set()
-    pairs: set[tuple[str, str]] = set()
+    tokens: set[str] = set()
+    near: set[tuple[str, str]] = set()
     cut = False
-    for line in split_lines(text):
-        toks = _TOKEN.findall(line)
+    for line in text.lower().split("\n"):
+        toks = line.split()
         if not toks:
             continue
-        inner = toks[1:] if cut else toks
+        first = cut
         cut = toks[-1][-1] in HYPHENS
-        before = ""
-        for t in inner[:-1] if cut else inner:
-            w, on = _word_of(t)
-            if w:
-                words.add(w)
-                if before:
-                    pairs.add((before, w))
-            before = w if on else ""
-    return words, pairs
+        if first or cut:
+            toks = toks[first : len(toks) - cut]
+        tokens.update(toks)
+        near.update(zip(toks, toks[1:]))
+    told = {t: _word_of(t) for t in tokens}
+    pairs = {(x[0], y[0]) for a, b in near if (x := told[a])[1] and x[0] and (y := told[b])[0]}
+    return {w for w, _ in told.values() if w}, pairs
 
 
 def _repairable(raw: str, opens: bool) -> bool:
@@ -397,7 +408,7 @@ def _repairable(raw: str, opens: bool) -> bool:
     return not _IDENTIFIER.search(raw)
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=KEPT)
 def _asks(token: str) -> tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]]:
     """What a token asks for: (its forms, those to look up where it opens a sentence, those to look up elsewhere)."""
     parts = dict.fromkeys([token, *(x.strip(EDGE) for x in token.split("-"))] if "-" in token else [token])
@@ -406,10 +417,22 @@ def _asks(token: str) -> tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]
     return tuple(forms), tuple(opening), tuple(inside)
 
 
-def asked(text: str, gone: set[int]) -> tuple[set[str], set[str], set[tuple[str, str]]]:
-    """(every form that an analysis of the text may look up, those of which it may want candidates, every pair of neighbours
-    whose context it may look at)."""
+class Calm:
+    """Tokens that ask for no candidates, with their forms and whether they end a sentence: those that never do, and those that do only
+    where they open a sentence."""
+
+    def __init__(self) -> None:
+        self.never: dict[str, tuple[tuple[str, ...], bool]] = {}
+        self.inside: dict[str, tuple[tuple[str, ...], bool]] = {}
+
+
+def asked(text: str, gone: set[int], known: set[str] | frozenset[str] = frozenset(), calm: Calm | None = None) -> tuple[set[str], set[str], set[tuple[str, str]]]:
+    """(every form that an analysis of the text may look up, those of which it may want candidates, every pair of neighbours whose
+    context it may look at, as it may want candidates of one of them). Forms that are ``known`` to be in the vocabulary are left out.
+    calm: kept from text to text while ``known`` stays; the forms of tokens that it holds were given with an earlier text."""
     lines = split_lines(text)
+    calm = calm or Calm()
+    never, within_line = calm.never, calm.inside
     forms: set[str] = set()
     look: set[str] = set()
     pairs: set[tuple[str, str]] = set()
@@ -417,10 +440,12 @@ def asked(text: str, gone: set[int]) -> tuple[set[str], set[str], set[tuple[str,
         if not running(lines, block):
             continue
         before: tuple[str, ...] = ()
-        carry, opens = "", True
+        # opens: a sentence begins here; unsure: candidates of the token before may be wanted.
+        carry, opens, unsure = "", True, False
         for k, i in enumerate(block):
             line: list[tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...], str]] = []
-            toks = _TOKEN.findall(lines[i].strip("\x0c"))
+            x = lines[i]
+            toks = x.split()
             if carry and toks:
                 a, b = carry.strip(EDGE), _core(toks[0])
                 forms.update((b.lower(), a.lower().rsplit("-", 1)[-1]))
@@ -430,19 +455,41 @@ def asked(text: str, gone: set[int]) -> tuple[set[str], set[str], set[tuple[str,
                 toks, carry = toks[1:], ""
             if toks and k + 1 < len(block) and len(toks[-1]) > 1 and toks[-1][-1] in HYPHENS and toks[-1][-2].isalnum():
                 carry = toks.pop()[:-1]
-            for own, opening, inside, token in (*line, *((*_asks(t.strip(EDGE)), t) for t in toks)):
+            if toks and not line:
+                # Most lines are calm as a whole; one in which no sentence begins may also hold what is looked up only there.
+                held = never if opens or ". " in x or "? " in x or "! " in x or not x.isprintable() else within_line
+                if all(map(held.__contains__, toks)):
+                    if unsure:
+                        pairs.update((x, y) for x in before for y in held[toks[0]][0])
+                    (before, opens), unsure = held[toks[-1]], False
+                    continue
+            for one in (*line, *toks):
+                if (kept := (never if opens else within_line).get(one)) is not None:
+                    own, opens = kept
+                    if unsure:
+                        pairs.update((x, y) for x in before for y in own)
+                        unsure = False
+                    before = own
+                    continue
+                own, opening, inside, token = (*_asks(one.strip(EDGE)), one) if isinstance(one, str) else one
+                if one is token and own and own[0] in known:  # parts are read only of what is no word as a whole
+                    own, opening, inside = own[:1], (), ()
                 look.update(opening if opens else inside)
                 forms.update(own)
-                if len(own) == 1 == len(before):
-                    pairs.add((before[0], own[0]))
-                else:
+                # A word cut at a line end is looked up however it is written.
+                wants = not all(map(known.__contains__, own if one is not token else opening if opens else inside))
+                if unsure or wants:
                     pairs.update((x, y) for x in before for y in own)
-                before = own
+                before, unsure = own, wants
                 opens = token[-1] in ".!?" and len(token) > 1
-    return {f for f in forms | look if _worded(f)}, look, pairs
+                if one is token and all(map(known.__contains__, inside)):
+                    within_line[one] = own, opens
+                    if all(map(known.__contains__, opening)):
+                        never[one] = own, opens
+    return {f for f in forms | look if _worded(f) and f not in known}, look - known, pairs
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=KEPT)
 def _worded(form: str) -> bool:
     return sum(map(str.isalpha, form)) > 1
 

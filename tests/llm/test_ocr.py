@@ -5,8 +5,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from studyloom.llm import ocr
-from studyloom.llm.lexicon import Lexicon, Trie, misreadings
-from studyloom.llm.pages import analyse, furniture, gone_lines, lexical_words
+from studyloom.llm.lexicon import PRINTED, Lexicon, Trie, edits_between, misreadings
+from studyloom.llm.pages import analyse, asked, furniture, gone_lines, lexical_words
 
 CLEAN = "The association between dietary fibre and school performance was small after adjustment for education. Each visit lasted about two hours and ended with the collection of samples."
 PAGE = """Green space and hip fracture in adolescents of | 1
@@ -121,3 +121,29 @@ def test_rare_words_and_their_misreadings_count_at_any_size(spark):
     for many in (4, 120):
         p = [(i, CLEAN, 1, "c", 0, "c") for i in range(many)] + [(900, rare, 1, "c", 0, "c"), (901, rare, 1, "c", 0, "c"), (902, rare.replace("zymotic", "zyrnotic"), 1, "c", 0, "c")]
         assert [(r.paper_id, r.damage) for r in ocr.damage(spark.createDataFrame(p, SCHEMA)).collect()] == [(902, "misread")]
+
+
+PRINTS = [*WORDS, "modern", "modem", "burn", "bum", "fill", "hill", "clown", "down", "illness", "corner", "comer", "bottle", "wavvy", "wawy"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sampled_from(PRINTS), st.lists(st.tuples(st.integers(0, 9), st.sampled_from(sorted(PRINTED))), max_size=4))
+def test_walk_by_confusions_finds_all_that_confusions_explain(word, changes):
+    read = word
+    for at, part in changes:
+        at = at % (len(read) + 1)
+        read = read[:at] + part + read[at + 1 :]
+    trie = Trie(PRINTS)
+    for limit in (0, 1, 3):
+        assert trie.explained(read, limit) == {w: k for w in PRINTS if (k := misreadings(w, read, limit)) <= limit}
+    assert {w: edits_between(w, read, 3) for w in PRINTS} == {w: min(distance(w, read), 4) for w in PRINTS}
+
+
+def test_sound_words_ask_for_nothing():
+    """Only what is not in the vocabulary is looked up and has a context; before, every pair of every text was handed on."""
+    known = lexical_words(CLEAN)[0] | {"samples", "education"}
+    assert asked(CLEAN, set(), known) == (set(), set(), set())
+    forms, look, pairs = asked(CLEAN.replace("fibre", "fibrc"), set(), known)
+    assert forms == look == {"fibrc"} and pairs == {("dietary", "fibrc"), ("fibrc", "and")}
+    every = asked(CLEAN.replace("fibre", "fibrc"), set())
+    assert pairs < every[2] and "fibrc" in every[0]
